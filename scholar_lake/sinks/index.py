@@ -1,0 +1,26 @@
+"""The stored search index."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from scholar_lake.operators.search import document_lengths, postings
+
+
+def write_index(documents: DataFrame, path: str, field: str = "title_abstract",
+                stop_words: tuple[str, ...] = (), partitions: int | None = None) -> None:
+    """Write postings and document lengths of one text field.
+
+    Range partitioning by (token, id) cuts the postings into even parts wherever a cut falls, also inside one very
+    frequent token; sorted rows let a query skip every row group without its tokens.
+    """
+    found = postings(documents, field, stop_words=stop_words)
+    ranged = (found.repartitionByRange(partitions, "token", "id") if partitions
+              else found.repartitionByRange("token", "id"))
+    ranged.sortWithinPartitions("token", "id", "pos").write.mode("overwrite").parquet(f"{path}/postings")
+    document_lengths(documents, field, stop_words=stop_words).write.mode("overwrite").parquet(f"{path}/lengths")
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(postings, lengths)``."""
+    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths")
