@@ -16,11 +16,11 @@ def bind(value: Column, body) -> Column:
 def read_index(raw: Column) -> Column:
     """Index from its raw JSON: either the map itself or the older ``{IndexLength, InvertedIndex}`` document.
 
-    Text that is neither gives null. A token may itself be called InvertedIndex: its value is then a list, the
-    first reading fails on it and the second applies.
+    Text that is neither gives null. The older reading is tried only where its key occurs at all. A token may itself be
+    called InvertedIndex: its value is then a list, the older reading fails on it and the plain one applies.
     """
     older = F.from_json(raw, f"IndexLength int, InvertedIndex {INDEX_TYPE}")["InvertedIndex"]
-    return F.coalesce(older, F.from_json(raw, INDEX_TYPE))
+    return F.coalesce(F.when(raw.contains('"InvertedIndex"'), older), F.from_json(raw, INDEX_TYPE))
 
 
 def rebuild_abstract(index: Column) -> Column:
@@ -39,7 +39,7 @@ def rebuild_abstract(index: Column) -> Column:
 
     def text(all_pairs: Column) -> Column:
         slots = F.size(all_pairs)
-        ordered = F.array_sort(F.filter(all_pairs, lambda p: (p["pos"] >= 0) & (p["pos"] < slots)))
+        ordered = F.sort_array(F.filter(all_pairs, lambda p: (p["pos"] >= 0) & (p["pos"] < slots)))
         return bind(ordered, lambda o: bind(_last_per_position(o), lambda w: _spell(w, slots)))
 
     return bind(pairs, text)
@@ -69,7 +69,7 @@ def abstract_text(raw: Column) -> Column:
 
 def build_index(tokens: Column) -> Column:
     """Inverted index of a token list (null for an empty one): the inverse of :func:`rebuild_abstract`."""
-    pairs = F.array_sort(F.transform(tokens, lambda t, i: F.struct(t.alias("tok"), i.alias("pos"))))
+    pairs = F.sort_array(F.transform(tokens, lambda t, i: F.struct(t.alias("tok"), i.alias("pos"))))
 
     def grouped(p: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(p) - 1),

@@ -15,6 +15,6 @@ def strip_id(url: Column, prefix_length: int = ID_PREFIX_LENGTH) -> Column:
 
 def partition_label(file_path: Column) -> Column:
     """``<date>-<file stem>`` of a snapshot file, as used to name the outputs of one input file."""
-    parent = F.regexp_replace(F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1), "updated_date=", "")
-    stem = F.regexp_extract(file_path, r"([^/]+?)(\.[^./]*)?$", 1)
-    return F.concat(parent, F.lit("-"), stem)
+    parent = F.substring_index(F.substring_index(file_path, "/", -2), "/", 1)
+    stem = F.regexp_replace(F.substring_index(file_path, "/", -1), r"\.[^.]*$", "")
+    return F.concat(F.replace(parent, F.lit("updated_date="), F.lit("")), F.lit("-"), stem)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from scholar_lake.functions.abstracts import bind
 from scholar_lake.functions.ids import strip_id
 
 
@@ -20,7 +21,7 @@ def clean_list(items: Column, strip: bool = False) -> Column:
     """
     kept = F.transform(F.filter(items, lambda x: F.length(x) > 0), clean_item)
     if strip:
-        kept = F.filter(F.transform(kept, strip_id), lambda x: x.isNotNull())
+        kept = F.filter(F.transform(kept, lambda x: strip_id(x)), lambda x: x.isNotNull())
     return F.when(F.size(kept) > 0, kept)
 
 
@@ -32,3 +33,18 @@ def list_literal(items: Column) -> Column:
 def society_names(societies: Column) -> Column:
     """Organisation names of a list of societies, cleaned."""
     return clean_list(F.transform(societies, lambda s: s["organization"]))
+
+
+def unique_items(items: Column, key: list[str]) -> Column:
+    """Structs of a list with one per key, the greatest in each; the key must be the leading fields.
+
+    Sorting makes equal keys neighbours, which keeps this n log n for very long lists (array_distinct compares
+    structs pairwise).
+    """
+    def differs(item: Column, following: Column) -> Column:
+        same = F.lit(True)
+        for name in key:
+            same = same & following[name].eqNullSafe(item[name])
+        return following.isNull() | ~same
+
+    return bind(F.sort_array(items), lambda s: F.filter(s, lambda x, i: differs(x, F.get(s, i + 1))))

@@ -1,8 +1,11 @@
 """Nested records to relational tables.
 
-Every function takes the records of one entity and returns its tables by name, each with the columns and types of its
-:class:`~scholar_lake.schemas.TableSpec`. Missing parents give null, null or empty lists give no rows. All of it is
-projection and generation; the only shuffle is the uniqueness of link keys.
+Every function takes the records of one entity and returns one of its tables with the columns and types of the table's
+:class:`~scholar_lake.schemas.TableSpec`. Missing parents give null, null or empty lists give no rows.
+
+The key of a link table starts with the id of the record that owns the row. Where records are unique by id, duplicate keys can
+only come from one record, and they are removed inside it before its list is spread out. So flattening is projection and
+generation throughout and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from scholar_lake.functions.abstracts import abstract_text
 from scholar_lake.functions.casting import conform, empty_as_null
 from scholar_lake.functions.documents import apc_value, grants_json, is_primary, mesh_json
 from scholar_lake.functions.ids import strip_id
-from scholar_lake.functions.lists import clean_list, society_names
+from scholar_lake.functions.lists import clean_list, society_names, unique_items
 from scholar_lake.operators.dedup import unique_links
 from scholar_lake.schemas import TABLES, tables_of
 from scholar_lake.sources.validation import not_null_split
@@ -24,11 +27,14 @@ def shape(rows: DataFrame, table: str) -> DataFrame:
     return empty_as_null(conform(rows, TABLES[table].columns))
 
 
-def accept(rows: DataFrame, table: str) -> DataFrame:
-    """Rows that satisfy a table's NOT NULL columns and, for link tables, its key."""
+def accept(rows: DataFrame, table: str, unique_records: bool = False) -> DataFrame:
+    """Rows that satisfy a table's NOT NULL columns and, for link tables, its key.
+
+    With ``unique_records`` (no two records share an id) the key already holds and needs no shuffle.
+    """
     spec = TABLES[table]
     good, _ = not_null_split(rows, spec.not_null)
-    return good if spec.key == ("id",) else unique_links(good, spec.key)
+    return good if unique_records or spec.key == ("id",) else unique_links(good, spec.key)
 
 
 def rejected(rows: DataFrame, table: str) -> DataFrame:
@@ -120,32 +126,38 @@ def works(records: DataFrame) -> DataFrame:
         mesh_json(F.col("mesh")).alias("mesh"), grants_json(F.col("grants")).alias("grants"), *_dates()), "works")
 
 
-def _links(records: DataFrame, items: Column, **columns) -> DataFrame:
-    """One row per list element: the owner's id and the named functions of the element."""
-    owner = next(iter(columns))
-    each = records.select(strip_id(F.col("id")).alias(owner), F.explode(items).alias("_item"))
-    return each.select(owner, *[make(F.col("_item")).alias(name) for name, make in columns.items() if make])
+def _links(records: DataFrame, table: str, items: Column, *fields) -> DataFrame:
+    """One row per list element: the owner's id and the given functions of the element, in the table's column order."""
+    owner, *names = TABLES[table].columns
+    made = F.transform(items, lambda x: F.struct(*[make(x).alias(name) for name, make in zip(names, fields)]))
+    return _spread_out(records, table, owner, made, names)
+
+
+def _spread_out(records: DataFrame, table: str, owner: str, items: Column, names: list[str]) -> DataFrame:
+    key = [name for name in TABLES[table].key if name != owner]
+    each = records.select(strip_id(F.col("id")).alias(owner), F.explode(unique_items(items, key)).alias("_item"))
+    return shape(each.select(owner, *[F.col(f"_item.{name}").alias(name) for name in names]), table)
+
+
+def _short_id(item: Column) -> Column:
+    return strip_id(item["id"])
 
 
 def institutions_associations(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("associated_institutions"), institution_a_id=None,
-                        institution_b_id=lambda x: strip_id(x["id"]), relationship=lambda x: x["relationship"]),
-                 "institutions_associations")
+    return _links(records, "institutions_associations", F.col("associated_institutions"),
+                  _short_id, lambda x: x["relationship"])
 
 
 def institutions_concepts(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("x_concepts"), institution_id=None,
-                        concept_id=lambda x: strip_id(x["id"]), score=lambda x: x["score"]), "institutions_concepts")
+    return _links(records, "institutions_concepts", F.col("x_concepts"), _short_id, lambda x: x["score"])
 
 
 def concepts_ancestors(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("ancestors"), concept_a_id=None,
-                        concept_b_id=lambda x: strip_id(x["id"])), "concepts_ancestors")
+    return _links(records, "concepts_ancestors", F.col("ancestors"), _short_id)
 
 
 def concepts_related(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("related_concepts"), concept_a_id=None,
-                        concept_b_id=lambda x: strip_id(x["id"]), score=lambda x: x["score"]), "concepts_related")
+    return _links(records, "concepts_related", F.col("related_concepts"), _short_id, lambda x: x["score"])
 
 
 def works_authorships(records: DataFrame) -> DataFrame:
@@ -158,11 +170,10 @@ def works_authorships(records: DataFrame) -> DataFrame:
 
 
 def works_authorship_institutions(records: DataFrame) -> DataFrame:
-    by_author = records.select(strip_id(F.col("id")).alias("work_id"), F.explode("authorships").alias("a"))
-    each = by_author.select("work_id", strip_id(F.col("a.author.id")).alias("author_id"),
-                            F.explode("a.institutions").alias("i"))
-    return shape(each.select("work_id", "author_id", strip_id(F.col("i.id")).alias("institution_id")),
-                 "works_authorship_institutions")
+    pairs = F.flatten(F.transform("authorships", lambda a: F.transform(
+        F.coalesce(a["institutions"], F.array()),
+        lambda i: F.struct(strip_id(a["author"]["id"]).alias("author_id"), _short_id(i).alias("institution_id")))))
+    return _spread_out(records, "works_authorship_institutions", "work_id", pairs, ["author_id", "institution_id"])
 
 
 def works_locations(records: DataFrame) -> DataFrame:
@@ -175,22 +186,21 @@ def works_locations(records: DataFrame) -> DataFrame:
 
 
 def works_concepts(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("concepts"), work_id=None, concept_id=lambda x: strip_id(x["id"]),
-                        score=lambda x: x["score"]), "works_concepts")
+    return _links(records, "works_concepts", F.col("concepts"), _short_id, lambda x: x["score"])
 
 
 def works_sdgs(records: DataFrame) -> DataFrame:
     # goals keep their full id
-    return shape(_links(records, F.col("sustainable_development_goals"), work_id=None, sdg_id=lambda x: x["id"],
-                        display_name=lambda x: x["display_name"], score=lambda x: x["score"]), "works_sdgs")
+    return _links(records, "works_sdgs", F.col("sustainable_development_goals"),
+                  lambda x: x["id"], lambda x: x["display_name"], lambda x: x["score"])
 
 
 def works_references(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("referenced_works"), work_a_id=None, work_b_id=strip_id), "works_references")
+    return _links(records, "works_references", F.col("referenced_works"), lambda x: strip_id(x))
 
 
 def works_related(records: DataFrame) -> DataFrame:
-    return shape(_links(records, F.col("related_works"), work_a_id=None, work_b_id=strip_id), "works_related")
+    return _links(records, "works_related", F.col("related_works"), lambda x: strip_id(x))
 
 
 FLATTEN = {
@@ -203,6 +213,6 @@ FLATTEN = {
 }
 
 
-def flatten(records: DataFrame, entity: str) -> dict[str, DataFrame]:
-    """All tables of an entity from its (validated, deduplicated) records, keys and NOT NULLs satisfied."""
-    return {spec.name: accept(FLATTEN[spec.name](records), spec.name) for spec in tables_of(entity)}
+def flatten(records: DataFrame, entity: str, unique_records: bool = True) -> dict[str, DataFrame]:
+    """All tables of an entity from its validated records, keys and NOT NULLs satisfied."""
+    return {spec.name: accept(FLATTEN[spec.name](records), spec.name, unique_records) for spec in tables_of(entity)}

@@ -24,6 +24,8 @@ MESH = f"""CASE WHEN o_custkey % 3 > 0 THEN '[' ||
     CASE WHEN o_custkey % 3 = 2 THEN ',{{"descriptor_ui":"D2","descriptor_name":"' || {_MESH_NAME} ||
         '","is_major_topic":false}}' ELSE '' END || ']' END"""
 PRICE = "CAST(trunc(o_totalprice / 100) AS INTEGER)"
+APC_PAID = f"CASE WHEN o_orderkey % 3 = 0 THEN CAST({PRICE} AS VARCHAR) END"
+APC_LIST = f"CASE WHEN o_orderkey % 2 > 0 THEN CAST({PRICE} AS VARCHAR) END"
 LANGUAGE = "CASE o_custkey % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' WHEN 2 THEN 'de' ELSE 'es' END"
 TYPE = "CASE o_orderkey % 3 WHEN 0 THEN 'article' WHEN 1 THEN 'book' ELSE 'dataset' END"
 TITLE = "CASE WHEN o_orderstatus <> 'P' THEN 'Order ' || o_orderkey || ', ' || o_orderpriority END"
@@ -76,9 +78,7 @@ ORACLES = {
         FROM documents""",
     "grants_json": f"SELECT 'W' || o_orderkey AS id, {GRANTS} AS grants, {MESH} AS mesh FROM orders",
     "apc_union": f"""
-        SELECT 'W' || o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN {PRICE} END AS apc_paid,
-               CASE WHEN o_orderkey % 2 > 0 THEN {PRICE} END AS apc_list
-        FROM orders""",
+        SELECT 'W' || o_orderkey AS id, {APC_PAID} AS apc_paid, {APC_LIST} AS apc_list FROM orders""",
     "typed_load": f"""
         WITH t AS (
             SELECT event_id, CASE event_type WHEN 'error' THEN 'n/a' WHEN 'view' THEN NULL ELSE CAST(value AS VARCHAR) END AS v,
@@ -92,7 +92,7 @@ ORACLES = {
             FROM t)
         SELECT event_id, CASE WHEN reject_reason IS NULL THEN try_cast(v AS DOUBLE) END AS value,
                CASE WHEN reject_reason IS NULL THEN t END AS ts,
-               CASE WHEN reject_reason IS NULL THEN try_cast(f AS BOOLEAN) END AS flag, reject_reason
+               CASE WHEN reject_reason IS NULL THEN f END AS flag, reject_reason
         FROM r""",
     "tokenize": f"""
         SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, ' ') AS tokens
@@ -106,15 +106,14 @@ ORACLES = {
                CASE WHEN o_orderkey % 5 > 0 THEN '1' END AS first_page, CAST(NULL AS VARCHAR) AS last_page,
                'S' || o_custkey AS primary_location, {TYPE} AS type, o_orderpriority AS type_crossref,
                CASE WHEN o_orderkey % 9 > 0 THEN 'https://doi.test/10.1/' || o_orderkey END AS id_doi,
-               CASE WHEN o_orderkey % 9 > 0 AND o_orderkey % 2 > 0 THEN o_orderkey + 1000000000000 END AS id_mag,
+               CASE WHEN o_orderkey % 9 > 0 AND o_orderkey % 2 > 0 THEN CAST(o_orderkey + 1000000000000 AS VARCHAR) END AS id_mag,
                CASE WHEN o_orderkey % 9 > 0 AND o_custkey % 2 > 0 THEN CAST(o_custkey AS VARCHAR) END AS id_pmid,
                CAST(NULL AS VARCHAR) AS id_pmcid, o_orderstatus = 'O' AS is_oa,
                CASE WHEN o_orderkey % 6 > 0 THEN CASE o_custkey % 5 WHEN 0 THEN 'gold' WHEN 1 THEN 'green'
                     WHEN 2 THEN 'hybrid' WHEN 3 THEN 'bronze' ELSE 'closed' END END AS oa_status,
                CASE WHEN o_orderkey % 6 > 0 THEN 'https://oa.test/' || o_orderkey END AS oa_url,
-               CASE WHEN o_orderkey % 6 > 0 THEN o_custkey % 2 = 0 END AS oa_any_repository_has_fulltext,
-               CASE WHEN o_orderkey % 3 = 0 THEN {PRICE} END AS apc_paid,
-               CASE WHEN o_orderkey % 2 > 0 THEN {PRICE} END AS apc_list,
+               CASE WHEN o_orderkey % 6 > 0 THEN CAST(o_custkey % 2 = 0 AS VARCHAR) END AS oa_any_repository_has_fulltext,
+               {APC_PAID} AS apc_paid, {APC_LIST} AS apc_list,
                CASE WHEN o_orderkey % 4 > 0 THEN 'cc-by' END AS license, CAST(o_custkey AS INTEGER) AS cited_by_count,
                o_orderpriority = '5-LOW' AS is_paratext, o_orderstatus = 'F' AS is_retracted, {MESH} AS mesh,
                {GRANTS} AS grants, {ORDER_DAY} || ' 00:00:00.000000' AS created_date,
@@ -124,7 +123,7 @@ ORACLES = {
         SELECT 'A' || c_custkey AS id, CAST(c_custkey % 1000 AS INTEGER) AS cited_by_count, c_nationkey AS works_count,
                {stats('c_custkey')}, c_name AS display_name,
                c_mktsegment || '|' || c_name || ' jr' AS display_name_alternatives,
-               CASE WHEN c_custkey % 3 > 0 THEN c_custkey END AS id_mag, 'orcid-' || c_custkey AS id_orcid,
+               CASE WHEN c_custkey % 3 > 0 THEN CAST(c_custkey AS VARCHAR) END AS id_mag, 'orcid-' || c_custkey AS id_orcid,
                CAST(NULL AS VARCHAR) AS id_scopus, CAST(NULL AS VARCHAR) AS id_twitter, c_mktsegment AS id_wikipedia,
                '2023-01-01 00:00:00.000000' AS created_date, '2023-02-03 04:05:06.500000' AS updated_date
         FROM customer""",

@@ -26,6 +26,7 @@ from scholar_lake.sinks.exports import read_csv, write_csv
 from scholar_lake.sinks.index import read_index, write_index
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.merged_ids import present_ids
+from scholar_lake.sources.splits import spread
 from scholar_lake.sources.snapshot import CORRUPT, pending_counts, read_entity
 from scholar_lake.sources.validation import mark, not_null_split
 from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
@@ -33,10 +34,12 @@ from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
 SINCE = "2024-01-15"
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Lists, time stamps and 32-bit floats in a form every engine prints alike."""
+def plain(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
+    """Lists, time stamps, 32-bit floats and the named (nullable) columns in a form every engine prints alike."""
     def one(field: T.StructField) -> Column:
         column = F.col(f"`{field.name}`")
+        if field.name in as_text:
+            return column.cast("string").alias(field.name)
         if isinstance(field.dataType, T.ArrayType):
             return F.array_join(column.cast("array<string>"), "|").alias(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -49,6 +52,10 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[one(f) for f in df.schema.fields])
 
 
+def _records(nest, spark: SparkSession, sf: str, source: str) -> DataFrame:
+    return nest(spread(table(spark, sf, source)))
+
+
 def _events_day(events: DataFrame) -> DataFrame:
     return events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
 
@@ -57,7 +64,7 @@ def _events_day(events: DataFrame) -> DataFrame:
 
 def scan_nested(spark: SparkSession, sf: str) -> DataFrame:
     """Records as JSON lines, parsed with the work schema narrowed to three fields."""
-    lines = nesting.line_works(table(spark, sf, "lineitem")).select(F.to_json(F.struct("*")).alias("line"))
+    lines = _records(nesting.line_works, spark, sf, "lineitem").select(F.to_json(F.struct("*")).alias("line"))
     parsed = lines.select(F.from_json("line", record_ddl("work", ("id", "authorships", "primary_location"))).alias("w"))
     return parsed.select(
         strip_id(F.col("w.id")).alias("work_id"), F.size("w.authorships").alias("n_authors"),
@@ -90,7 +97,7 @@ def merged_ids(spark: SparkSession, sf: str) -> DataFrame:
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Institution records with planted faults; every record with the rules it breaks."""
     key, kind, user = F.col("event_id"), F.col("event_type"), F.col("user_id")
-    lines = table(spark, sf, "events").select(key, kind, F.to_json(F.struct(
+    lines = spread(table(spark, sf, "events")).select(key, kind, F.to_json(F.struct(
         F.when(key % 10 > 0, url("I", key)).alias("id"),
         F.when(user % 6 == 0, "many").alias("cited_by_count"),
         F.when(kind == "signup", "education").when(kind == "click", "club").alias("type"),
@@ -144,12 +151,12 @@ def clean_list_strip_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def abstract_rebuild(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     return docs.select("doc_id", blank_to_null(rebuild_abstract(build_index(words(F.col("text"))))).alias("abstract"))
 
 
 def abstract_two_shapes(spark: SparkSession, sf: str) -> DataFrame:
-    works = nesting.text_works(table(spark, sf, "documents"))
+    works = _records(nesting.text_works, spark, sf, "documents")
     return works.select("doc_id", abstract_text(F.col("abstract_inverted_index")).alias("abstract"))
 
 
@@ -161,15 +168,15 @@ def title_abstract_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grants_json_query(spark: SparkSession, sf: str) -> DataFrame:
-    works = nesting.order_works(table(spark, sf, "orders"))
+    works = _records(nesting.order_works, spark, sf, "orders")
     return works.select(strip_id(F.col("id")).alias("id"), grants_json(F.col("grants")).alias("grants"),
                         mesh_json(F.col("mesh")).alias("mesh"))
 
 
 def apc_union(spark: SparkSession, sf: str) -> DataFrame:
-    works = nesting.order_works(table(spark, sf, "orders"))
-    return works.select(strip_id(F.col("id")).alias("id"), apc_value(F.col("apc_paid")).alias("apc_paid"),
-                        F.col("apc_list.value_usd").alias("apc_list"))
+    works = _records(nesting.order_works, spark, sf, "orders")
+    return plain(works.select(strip_id(F.col("id")).alias("id"), apc_value(F.col("apc_paid")).alias("apc_paid"),
+                              F.col("apc_list.value_usd").alias("apc_list")), as_text=("apc_paid", "apc_list"))
 
 
 def typed_load_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,64 +187,64 @@ def typed_load_query(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key % 9 == 0, "later").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("ts"),
         F.when(key % 2 == 0, "true").when(key % 3 == 0, "maybe").alias("flag"))
     good, rejects = typed_load(text, {"value": "double", "ts": "timestamp_ntz", "flag": "boolean"})
-    return plain(good.withColumn("reject_reason", F.lit(None).cast("string"))).unionByName(
-        rejects.select("event_id", F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("ts"),
-                       F.lit(None).cast("boolean").alias("flag"), "reject_reason"))
+    loaded = plain(good, as_text=("flag",)).withColumn("reject_reason", F.lit(None).cast("string"))
+    return loaded.unionByName(rejects.select("event_id", "reject_reason"), allowMissingColumns=True)
 
 
 def tokenize_query(spark: SparkSession, sf: str) -> DataFrame:
     tokens = tokenize(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.size(tokens).alias("n_tokens"),
+    return spread(table(spark, sf, "documents")).select("doc_id", F.size(tokens).alias("n_tokens"),
                                                 F.array_join(tokens, " ").alias("tokens"))
 
 
 # -- projections --------------------------------------------------------------------------------------------------
 
 def works_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.works(nesting.order_works(table(spark, sf, "orders"))))
+    return plain(flatten.works(_records(nesting.order_works, spark, sf, "orders")),
+                 as_text=("id_mag", "apc_paid", "apc_list", "oa_any_repository_has_fulltext"))
 
 
 def authors_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.authors(nesting.customer_authors(table(spark, sf, "customer"))))
+    return plain(flatten.authors(_records(nesting.customer_authors, spark, sf, "customer")), as_text=("id_mag",))
 
 
 def institutions_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.institutions(nesting.supplier_institutions(table(spark, sf, "supplier"))))
+    return plain(flatten.institutions(_records(nesting.supplier_institutions, spark, sf, "supplier")))
 
 
 def publishers_projection(spark: SparkSession, sf: str) -> DataFrame:
-    rows = flatten.publishers(nesting.nation_publishers(table(spark, sf, "nation")))
+    rows = flatten.publishers(_records(nesting.nation_publishers, spark, sf, "nation"))
     return plain(flatten.accept(rows, "publishers"))
 
 
 def funders_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.funders(nesting.supplier_funders(table(spark, sf, "supplier"))))
+    return plain(flatten.funders(_records(nesting.supplier_funders, spark, sf, "supplier")))
 
 
 def concepts_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.concepts(nesting.part_concepts(table(spark, sf, "part"))))
+    return plain(flatten.concepts(_records(nesting.part_concepts, spark, sf, "part")))
 
 
 def sources_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.sources(nesting.part_sources(table(spark, sf, "part"))))
+    return plain(flatten.sources(_records(nesting.part_sources, spark, sf, "part")))
 
 
 def search_documents(spark: SparkSession, sf: str) -> DataFrame:
-    works = nesting.text_works(table(spark, sf, "documents"))
+    works = _records(nesting.text_works, spark, sf, "documents")
     return plain(search.search_documents(works.select(*SEARCH_FIELDS)))
 
 
 # -- link tables --------------------------------------------------------------------------------------------------
 
-def _links(name: str, nest, source: str):
+def _links(name: str, nest, source: str, unique_records: bool = True):
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return plain(flatten.accept(flatten.FLATTEN[name](nest(table(spark, sf, source))), name))
+        return plain(flatten.accept(flatten.FLATTEN[name](_records(nest, spark, sf, source)), name, unique_records))
     query.__doc__ = f"Rows of ``{name}``, one per key."
     return query
 
 
 def is_primary_location(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(flatten.works_locations(nesting.line_works(table(spark, sf, "lineitem"))))
+    return plain(flatten.works_locations(_records(nesting.line_works, spark, sf, "lineitem")))
 
 
 def drop_missing_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -306,7 +313,7 @@ def lake_replace(spark: SparkSession, sf: str) -> DataFrame:
     for number, part in enumerate([old, again], start=1):
         records = nesting.order_works(part)
         changed = records.select(strip_id(F.col("id")).alias("id"))
-        links = flatten.accept(flatten.works_references(records), spec.name)
+        links = flatten.accept(flatten.works_references(records), spec.name, unique_records=True)
         lake.commit(number, exchange(lake, number, [spec], {spec.name: links}, changed))
     return lake.read(spec)
 
@@ -363,7 +370,12 @@ def sort_missing_last(spark: SparkSession, sf: str) -> DataFrame:
 # -- lookups --------------------------------------------------------------------------------------------------------
 
 def _works(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten.works(nesting.order_works(table(spark, sf, "orders")))
+    return flatten.works(_records(nesting.order_works, spark, sf, "orders"))
+
+
+def _citations(spark: SparkSession, sf: str) -> DataFrame:
+    references = flatten.works_references(_records(nesting.order_works, spark, sf, "orders"))
+    return flatten.accept(references, "works_references", unique_records=True)
 
 
 def lookup_doi(spark: SparkSession, sf: str) -> DataFrame:
@@ -396,15 +408,14 @@ def works_of_author(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def works_of_one_author(spark: SparkSession, sf: str) -> DataFrame:
-    links = flatten.works_authorships(nesting.line_works(table(spark, sf, "lineitem")))
+    links = flatten.works_authorships(_records(nesting.line_works, spark, sf, "lineitem"))
     return lookups.works_of_author(_works(spark, sf), links, "A42").select("id", "title", "publication_year")
 
 
 def sql_views(spark: SparkSession, sf: str) -> DataFrame:
     """SQL over registered tables: open-access works and citations received per language."""
     tables = {"works": _works(spark, sf),
-              "works_references": flatten.accept(flatten.works_references(
-                  nesting.order_works(table(spark, sf, "orders"))), "works_references")}
+              "works_references": _citations(spark, sf)}
     lookups.register_views(tables.__getitem__, list(tables), prefix="lake_")
     return spark.sql("""
         SELECT w.language, count(DISTINCT w.id) AS n_works, count(r.work_a_id) AS n_citations
@@ -413,13 +424,11 @@ def sql_views(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def citation_counts(spark: SparkSession, sf: str) -> DataFrame:
-    references = flatten.works_references(nesting.order_works(table(spark, sf, "orders")))
-    return lookups.citation_counts(flatten.accept(references, "works_references"))
+    return lookups.citation_counts(_citations(spark, sf))
 
 
 def citation_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    references = flatten.works_references(nesting.order_works(table(spark, sf, "orders")))
-    return lookups.neighbours(flatten.accept(references, "works_references"), "W40", "work_a_id", "work_b_id")
+    return lookups.neighbours(_citations(spark, sf), "W40", "work_a_id", "work_b_id")
 
 
 # -- search ---------------------------------------------------------------------------------------------------------
@@ -429,7 +438,7 @@ SYNONYMS = {"licence": ["license"]}
 
 
 def _search_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    return spread(table(spark, sf, "documents")).select(F.col("doc_id").alias("id"), "text", "lang", "source")
 
 
 def search_any(spark: SparkSession, sf: str) -> DataFrame:
@@ -505,12 +514,12 @@ QUERIES = {
     "institutions_concepts": _links("institutions_concepts", nesting.supplier_institutions, "supplier"),
     "concepts_related": _links("concepts_related", nesting.part_concepts, "part"),
     "concept_ancestors": _links("concepts_ancestors", nesting.part_concepts, "part"),
-    "works_concepts": _links("works_concepts", nesting.line_works, "lineitem"),
-    "works_sdgs": _links("works_sdgs", nesting.line_works, "lineitem"),
+    "works_concepts": _links("works_concepts", nesting.line_works, "lineitem", unique_records=False),
+    "works_sdgs": _links("works_sdgs", nesting.line_works, "lineitem", unique_records=False),
     "citation_edges": _links("works_references", nesting.order_works, "orders"),
     "works_related": _links("works_related", nesting.order_works, "orders"),
-    "authorships_posexplode": _links("works_authorships", nesting.line_works, "lineitem"),
-    "explode_two_level": _links("works_authorship_institutions", nesting.line_works, "lineitem"),
+    "authorships_posexplode": _links("works_authorships", nesting.line_works, "lineitem", unique_records=False),
+    "explode_two_level": _links("works_authorship_institutions", nesting.line_works, "lineitem", unique_records=False),
     "is_primary_location": is_primary_location,
     "drop_missing_key": drop_missing_key,
     "delete_by_key": delete_by_key_query,

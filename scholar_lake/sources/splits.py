@@ -1,0 +1,15 @@
+"""Input parallelism."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out over all cores when the input has fewer splits than there are cores.
+
+    Gzip files and single-row-group Parquet files cannot be split, so a few of them would leave most of the cluster idle
+    during costly per-row work. With as many splits as cores, which large inputs have, this does nothing.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
