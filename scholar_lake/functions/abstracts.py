@@ -59,7 +59,7 @@ def _spell(winners: Column, slots: Column) -> Column:
 
 def blank_to_null(text: Column) -> Column:
     """Null unless the text has at least one character that is not white space (Unicode sense)."""
-    return F.when(text.rlike(r"(?U)\S"), text)
+    return bind(text, lambda t: F.when(t.rlike(r"(?U)\S"), t))
 
 
 def abstract_text(raw: Column) -> Column:

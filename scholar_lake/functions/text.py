@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -39,7 +40,4 @@ def has_any(tokens: Column, terms: list[tuple[str, ...]]) -> Column:
 
 def has_all(tokens: Column, terms: list[tuple[str, ...]]) -> Column:
     """Whether every query term, or a synonym of it, occurs."""
-    found = F.lit(True)
-    for group in dict.fromkeys(terms):
-        found = found & F.exists(tokens, lambda t, group=group: t.isin(*group))
-    return found
+    return reduce(Column.__and__, [has_any(tokens, [group]) for group in dict.fromkeys(terms)], F.lit(True))

@@ -160,8 +160,18 @@ def concepts_related(records: DataFrame) -> DataFrame:
     return _links(records, "concepts_related", F.col("related_concepts"), _short_id, lambda x: x["score"])
 
 
+def _each(records: DataFrame, generated: Column, item: str, *kept: str) -> DataFrame:
+    """Spread out a list with the work's id.
+
+    The inner form of explode makes the optimizer test the list twice beforehand, which builds a derived list three times;
+    the outer form does not, and the row it makes of a missing list is dropped here.
+    """
+    each = records.select(strip_id(F.col("id")).alias("work_id"), *kept, generated)
+    return each.where(F.col(item).isNotNull())
+
+
 def works_authorships(records: DataFrame) -> DataFrame:
-    each = records.select(strip_id(F.col("id")).alias("work_id"), F.posexplode("authorships").alias("exact_position", "a"))
+    each = _each(records, F.posexplode_outer("authorships").alias("exact_position", "a"), "a")
     return shape(each.select(
         "work_id", strip_id(F.col("a.author.id")).alias("author_id"), F.col("a.author_position").alias("position"),
         "exact_position", F.col("a.raw_author_name").alias("raw_author_name"),
@@ -177,7 +187,7 @@ def works_authorship_institutions(records: DataFrame) -> DataFrame:
 
 
 def works_locations(records: DataFrame) -> DataFrame:
-    each = records.select(strip_id(F.col("id")).alias("work_id"), "primary_location", F.explode("locations").alias("x"))
+    each = _each(records, F.explode_outer("locations").alias("x"), "x", "primary_location")
     return shape(each.select(
         "work_id", strip_id(F.col("x.source.id")).alias("source_id"), F.col("x.is_oa").alias("is_oa"),
         is_primary(F.col("primary_location"), F.col("x")).alias("is_primary"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scholar_lake.functions.abstracts import abstract_text
+from scholar_lake.functions.abstracts import abstract_text, bind
 from scholar_lake.functions.casting import conform, empty_as_null
 from scholar_lake.functions.documents import authorships_json, biblio_json, locations_json, title_abstract
 from scholar_lake.functions.ids import strip_id
@@ -68,7 +68,7 @@ def _group_number(terms: Terms) -> Column:
         for word in group:
             by_word.setdefault(word, []).append(number)
     pairs = [x for word, numbers in by_word.items() for x in (F.lit(word), F.array(*[F.lit(n) for n in numbers]))]
-    return F.create_map(*pairs)[F.col("token")]
+    return F.create_map(*pairs).cast("map<string,array<int>>")[F.col("token")]
 
 
 def match_any(index: DataFrame, terms: Terms) -> DataFrame:
@@ -117,6 +117,37 @@ def bm25(index: DataFrame, lengths: DataFrame, terms: Terms, k: int = 10, k1: fl
             .orderBy(F.desc("score"), "id").limit(k))
 
 
+def bm25_scan(docs: DataFrame, text: str, terms: Terms, id: str = "id", k: int = 10, k1: float = 1.2,
+              b: float = 0.75, stop_words: tuple[str, ...] = ()) -> DataFrame:
+    """The same result straight from the documents, for a collection without a stored index.
+
+    Term frequencies are counted inside each document's row, so the text never meets a shuffle: one pass for the collection's
+    statistics, one for the scores, and a top-k.
+    """
+    terms = list(dict.fromkeys(terms))
+    numbers = range(len(terms))
+
+    def occurrences(found: Column, group: tuple[str, ...]) -> Column:
+        return F.size(F.filter(found, lambda t: t.isin(*group)))
+
+    def counts(tokens: Column) -> Column:
+        found = F.filter(tokens, lambda t: t.isin(_words(terms)))
+        per_term = bind(found, lambda w: F.array(*[occurrences(w, group) for group in terms]))
+        return F.struct(F.size(tokens).alias("length"), per_term.alias("tf"))
+
+    narrow = docs.where(F.col(text).isNotNull()).select(
+        F.col(id).alias("id"), bind(drop_stop_words(tokenize(F.col(text)), stop_words), counts).alias("c"))
+    narrow = narrow.select("id", F.col("c.length").alias("length"), F.col("c.tf").alias("tf"))
+    stats = narrow.agg(F.struct(
+        F.count("*").cast("double").alias("n"), F.avg("length").alias("mean"),
+        F.array(*[F.count(F.when(F.col("tf")[i] > 0, 1)).cast("double") for i in numbers]).alias("df")).alias("s")).scalar()
+    hits = narrow.where(F.exists("tf", lambda x: x > 0)).select("*", stats.alias("s"))
+    norm = k1 * (1 - b + b * F.col("length") / F.col("s.mean"))
+    score = sum((F.log(1 + (F.col("s.n") - F.col("s.df")[i] + 0.5) / (F.col("s.df")[i] + 0.5))
+                 * F.col("tf")[i] * (k1 + 1) / (F.col("tf")[i] + norm) for i in numbers), F.lit(0.0))
+    return hits.select("id", score.alias("score")).orderBy(F.desc("score"), "id").limit(k)
+
+
 def facets(hits: DataFrame, fields: list[str]) -> DataFrame:
     """Counts per value of each field in one pass: ``field, value, n`` (values as text, nulls not counted)."""
     entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])

@@ -369,3 +369,4 @@ ORACLES = {
                CAST(n_chars AS INTEGER) AS cited_by_count, CAST(NULL AS VARCHAR) AS language
         FROM documents""",
 }
+ORACLES["search_bm25_indexed"] = ORACLES["search_bm25"]

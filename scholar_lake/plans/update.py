@@ -6,6 +6,7 @@ into all tables, and exchange the touched buckets. The commit comes last and cov
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,6 +26,9 @@ from scholar_lake.sources.snapshot import EPOCH, list_files, read_entity
 from scholar_lake.sources.validation import REASON, mark, split
 
 
+TABLES_AT_A_TIME = 4
+
+
 @dataclass
 class UpdateReport:
     """What a run did. ``metrics`` holds records and rejects per entity, counted while staging."""
@@ -47,61 +51,66 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
     read_files: list[DataFrame] = []
 
     for entity in entities:
-        files = unprocessed(list_files(spark, settings.root, entity, since), lake.manifest(),
-                            ["entity", "file_path"], override)
         stage = f"{settings.out}/staging/{number}/{entity}"
-        report.metrics[entity] = stage_records(
-            read_entity(spark, settings.root, entity, since, provenance=True), files, entity, stage)
-        good, bad = split(spark.read.parquet(f"{stage}/records"))
+        files = staged_files(list_files(spark, settings.root, entity, since), entity, lake, f"{stage}/files", override)
+        merges = staged_files(list_merge_files(spark, settings.root, entity, since), f"merged {entity}", lake,
+                              f"{stage}/merge_files", override) if apply_deletes else files.limit(0)
+        if files.isEmpty() and merges.isEmpty():
+            report.metrics[entity] = {"records": 0, "rejects": 0}
+            continue
+        read_files += [files, merges]
+        source = read_entity(spark, settings.root, entity, since, provenance=True).join(
+            files.select("file_path"), "file_path", "left_semi")
+        report.metrics[entity], marked = stage_records(source, entity, f"{stage}/records")
+        good, bad = split(marked)
         if report.metrics[entity]["rejects"]:
             bad.write.mode("overwrite").parquet(f"{settings.out}/quarantine/{number}/{entity}")
-        records = newest_records(spark, good, f"{stage}/newest")
-        deleted = None
-        if apply_deletes:
-            merge_files = unprocessed(
-                list_merge_files(spark, settings.root, entity, since).withColumn("entity", F.lit(f"merged {entity}")),
-                lake.manifest(), ["entity", "file_path"], override)
-            merge_files.write.mode("overwrite").parquet(f"{stage}/merge_files")
-            merge_files = spark.read.parquet(f"{stage}/merge_files")
-            deleted = read_merged_ids(spark, settings.root, entity, since, merge_files)
-            read_files.append(merge_files.withColumn("partition_date", F.lit(None).cast("string")))
+        records = newest_records(good, f"{stage}/newest")
+        deleted = read_merged_ids(spark, settings.root, entity, since, merges)
         new_tables: dict[str, DataFrame] = flatten(records, entity) if tables else {}
         specs = tables_of(entity) if tables else []
         if search and entity == "work":
             new_tables[SEARCH_TABLE.name] = search_documents(records)
             specs = [*specs, SEARCH_TABLE]
         written.update(exchange(lake, number, specs, new_tables, record_ids(records), deleted))
-        read_files.append(spark.read.parquet(f"{stage}/files"))
 
-    all_files = reduce(DataFrame.unionByName, read_files)
-    report.watermark = all_files.agg(F.max("partition_date")).first()[0]
-    lake.commit(number, written, all_files, report.watermark)
+    if read_files:
+        all_files = reduce(DataFrame.unionByName, read_files)
+        report.watermark = all_files.agg(F.max("partition_date")).first()[0]
+        lake.commit(number, written, all_files, report.watermark)
     return report
 
 
+def staged_files(files: DataFrame, label: str, lake: LakeTables, path: str, override: bool) -> DataFrame:
+    """The files this run reads, written down first, so that one that arrives meanwhile waits for the next run.
+
+    One row per file; Spark sees the size of the list and broadcasts it only while it is small.
+    """
+    pending = unprocessed(files.withColumn("entity", F.lit(label)), lake.manifest(), ["entity", "file_path"], override)
+    pending.select("entity", "file_path", F.nullif(
+        F.regexp_extract("file_path", r"updated_date=([^/]+)/[^/]+$", 1), F.lit("")).alias("partition_date")
+    ).write.mode("overwrite").parquet(path)
+    return lake.spark.read.schema("entity string, file_path string, partition_date string").parquet(path)
+
+
 def record_ids(records: DataFrame) -> DataFrame:
     return records.select(strip_id(F.col("id")).alias("id"))
 
 
-def stage_records(records: DataFrame, files: DataFrame, entity: str, stage: str) -> dict[str, int]:
-    """Parse, mark and write the records of the given files, and the list of those files.
+def stage_records(records: DataFrame, entity: str, path: str) -> tuple[dict[str, int], DataFrame]:
+    """Parse, mark and write records; gives the counts and the staged rows.
 
-    One pass over the JSON for all tables; the counts are observed on the way, not by a second pass. The marks need the whole
-    record, so no column is pruned from the parse. The file list is small (one row per file) and Spark sees its size.
+    One pass over the JSON for all tables; the counts are observed on the way. The marks need the whole record, so no
+    column is pruned from the parse.
     """
-    spark = records.sparkSession
-    files.select("entity", "file_path", F.regexp_extract("file_path", r"updated_date=([^/]+)/[^/]+$", 1)
-                 .alias("partition_date")).write.mode("overwrite").parquet(f"{stage}/files")
-    chosen = spark.read.parquet(f"{stage}/files").select("file_path")
-    marked = mark(records.join(chosen, "file_path", "left_semi"), entity)
+    marked = mark(records, entity)
     seen = Observation(f"staged {entity}")
-    (marked.observe(seen, F.count("*").alias("records"),
-                    F.coalesce(F.sum((F.col(REASON) != "").cast("long")), F.lit(0)).alias("rejects"))
-     .write.mode("overwrite").parquet(f"{stage}/records"))
-    return seen.get
+    (marked.observe(seen, F.count("*").alias("records"), F.count(F.when(F.col(REASON) != "", 1)).alias("rejects"))
+     .write.mode("overwrite").parquet(path))
+    return seen.get, records.sparkSession.read.schema(marked.schema).parquet(path)
 
 
-def newest_records(spark: SparkSession, good: DataFrame, path: str) -> DataFrame:
+def newest_records(good: DataFrame, path: str) -> DataFrame:
     """The newest version of each record, so that children also come from that version only.
 
     Ids that occur more than once are found on the id column alone. Usually there are none and the staged records are used as
@@ -118,7 +127,7 @@ def newest_records(spark: SparkSession, good: DataFrame, path: str) -> DataFrame
          F.desc("file_path"), F.desc(F.xxhash64(F.to_json(F.struct(*[c for c in good.columns]))))])
     kept = keyed.join(twice, "_key", "left_anti").unionByName(newest).drop("_key")
     kept.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return good.sparkSession.read.schema(kept.schema).parquet(path)
 
 
 def exchange(lake: LakeTables, number: int, specs: list[TableSpec], new_tables: dict[str, DataFrame],
@@ -128,11 +137,15 @@ def exchange(lake: LakeTables, number: int, specs: list[TableSpec], new_tables:
         return {}
     gone = changed if deleted is None else changed.unionByName(deleted)
     buckets = lake.touched(gone)
-    return {
-        spec.name: lake.write(
-            number, spec,
-            replace_rows(lake.read(spec, buckets), new_tables[spec.name], spec.owner, changed, deleted), buckets)
-        for spec in specs}
+    lake.live_paths(specs[0].name)  # load the bucket map before the threads share it
+
+    def write(spec: TableSpec) -> dict[int, bool]:
+        rows = replace_rows(lake.read(spec, buckets), new_tables[spec.name], spec.owner, changed, deleted)
+        return lake.write(number, spec, rows, buckets)
+
+    # the tables do not depend on each other, so their jobs share the cluster
+    with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+        return dict(zip([spec.name for spec in specs], pool.map(write, specs)))
 
 
 def register_lake(spark: SparkSession, settings: Settings) -> None:

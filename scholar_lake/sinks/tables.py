@@ -9,12 +9,11 @@ the lake as it was. Buckets that no changed or deleted id falls into are not rea
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from scholar_lake.schemas import TableSpec
 
 COMMIT_DDL = "commit bigint, kind string, name string, bucket int, value string"
-BUCKET_DDL = "`bucket` int"
 
 
 def bucket_of(owner: Column, buckets: int) -> Column:
@@ -26,19 +25,17 @@ class LakeTables:
 
     def __init__(self, spark: SparkSession, out: str, buckets: int = 64):
         self.spark, self.out, self.buckets = spark, out.rstrip("/"), buckets
+        self._state: dict[str, dict[int, tuple[int, bool]]] | None = None
 
     # -- the commit log -------------------------------------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        return self._read_or_empty(f"{self.out}/commits", COMMIT_DDL)
-
-    def _read_or_empty(self, path: str, ddl: str) -> DataFrame:
         try:
-            return self.spark.read.schema(ddl).parquet(path)
+            return self.spark.read.schema(COMMIT_DDL).parquet(f"{self.out}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], ddl)
+            return self.spark.createDataFrame([], COMMIT_DDL)
 
     def next_commit(self) -> int:
         return (self.log().agg(F.max("commit")).first()[0] or 0) + 1
@@ -69,20 +66,33 @@ class LakeTables:
                 F.lit(number).cast("bigint").alias("commit"), F.lit("file").alias("kind"), F.col("entity").alias("name"),
                 F.lit(None).cast("int").alias("bucket"), F.col("file_path").alias("value")))
         entries.coalesce(1).write.mode("append").parquet(f"{self.out}/commits")
+        self._state = None
 
     # -- reading --------------------------------------------------------------------------------------------------
 
-    def _live(self, table: str, buckets: list[int] | None = None) -> list[str]:
-        newest = (self.log().where((F.col("kind") == "bucket") & (F.col("name") == table))
-                  .groupBy("bucket").agg(F.max(F.struct("commit", "value")).alias("last")))
-        if buckets is not None:
-            newest = newest.where(F.col("bucket").isin(buckets))
-        return [f"{self.out}/tables/{table}/commit={row['last']['commit']}/bucket={row['bucket']}"
-                for row in newest.collect() if row["last"]["value"] == "full"]
+    def _newest(self) -> dict[str, dict[int, tuple[int, bool]]]:
+        """For each table and bucket the commit it was last written by and whether it holds rows.
+
+        Read once and kept until the next commit: at most tables x buckets entries.
+        """
+        if self._state is None:
+            rows = (self.log().where(F.col("kind") == "bucket").groupBy("name", "bucket")
+                    .agg(F.max(F.struct("commit", "value")).alias("last")).collect())
+            self._state = {}
+            for row in rows:
+                self._state.setdefault(row["name"], {})[row["bucket"]] = (
+                    row["last"]["commit"], row["last"]["value"] == "full")
+        return self._state
+
+    def live_paths(self, table: str, buckets: list[int] | None = None) -> list[str]:
+        """Folders that hold the current rows of a table, or of some of its buckets."""
+        return [f"{self.out}/tables/{table}/commit={number}/bucket={bucket}"
+                for bucket, (number, full) in sorted(self._newest().get(table, {}).items())
+                if full and (buckets is None or bucket in buckets)]
 
     def read(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
         """Current rows of a table, or of some of its buckets."""
-        paths = self._live(spec.name, buckets)
+        paths = self.live_paths(spec.name, buckets)
         if not paths:
             return self.spark.createDataFrame([], spec.ddl)
         return self.spark.read.schema(spec.ddl).parquet(*paths)
@@ -101,15 +111,15 @@ class LakeTables:
         than the rest over several tasks. Rows are sorted by owner so that row-group statistics serve id lookups;
         works carry a bloom filter on their DOI.
         """
-        path = f"{self.out}/tables/{spec.name}/commit={number}"
         placed = rows.withColumn("bucket", bucket_of(F.col(spec.owner), self.buckets))
-        writer = (placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
+        seen = Observation(f"{spec.name} {number}")
+        writer = (placed.observe(seen, F.collect_set("bucket").alias("full"))
+                  .hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
                   .write.mode("overwrite").partitionBy("bucket"))
         if "id_doi" in spec.columns:
             writer = writer.option("parquet.bloom.filter.enabled#id_doi", "true")
-        writer.parquet(path)
-        full = {row["bucket"] for row in
-                self._read_or_empty(path, BUCKET_DDL).select("bucket").distinct().collect()} if buckets else set()
+        writer.parquet(f"{self.out}/tables/{spec.name}/commit={number}")
+        full = set(seen.get["full"])
         return {bucket: bucket in full for bucket in buckets}
 
     def clear(self, specs: list[TableSpec]) -> None:

@@ -13,11 +13,11 @@ from scholar_lake.operators.dedup import latest_wins
 from scholar_lake.operators.flatten import flatten
 from scholar_lake.operators.merge import drop_stale
 from scholar_lake.operators.search import search_documents
-from scholar_lake.plans.update import exchange, newest_records, record_ids
+from scholar_lake.plans.update import exchange, newest_records, record_ids, stage_records
 from scholar_lake.schemas import SEARCH_TABLE, TableSpec, record_ddl, tables_of
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.snapshot import CORRUPT, entity_path, folder_name
-from scholar_lake.sources.validation import mark, split
+from scholar_lake.sources.validation import split
 
 
 def read_entity_stream(spark: SparkSession, root: str, entity: str, files_per_batch: int = 1000) -> DataFrame:
@@ -57,11 +57,11 @@ def stream_update(spark: SparkSession, settings: Settings, entity: str, files_pe
             return
         number = lake.next_commit()
         stage = f"{settings.out}/staging/{number}/{entity}"
-        mark(batch, entity).write.mode("overwrite").parquet(f"{stage}/records")
-        good, bad = split(batch.sparkSession.read.parquet(f"{stage}/records"))
-        if not bad.isEmpty():
+        counts, marked = stage_records(batch, entity, f"{stage}/records")
+        good, bad = split(marked)
+        if counts["rejects"]:
             bad.write.mode("overwrite").parquet(f"{settings.out}/quarantine/{number}/{entity}")
-        records = not_stale(newest_records(batch.sparkSession, good, f"{stage}/newest"))
+        records = not_stale(newest_records(good, f"{stage}/newest"))
         new_tables = flatten(records, entity)
         if entity == "work":
             new_tables[SEARCH_TABLE.name] = search_documents(records)
@@ -84,7 +84,7 @@ def stream_replace(stream: DataFrame, spec: TableSpec, out: str, checkpoint: str
         staged = f"{out}/staging/{number}/{spec.name}"
         # one read of the batch; an older row arriving late must not win, so the stored rows compete
         batch.write.mode("overwrite").parquet(staged)
-        fresh = batch.sparkSession.read.parquet(staged)
+        fresh = batch.sparkSession.read.schema(batch.schema).parquet(staged)
         touched = lake.touched(fresh.select(F.col(spec.owner).cast("string").alias("id")))
         rows = latest_wins(lake.read(spec, touched).unionByName(fresh.select(*spec.columns)), list(spec.key), order)
         lake.commit(number, {spec.name: lake.write(number, spec, rows, touched)}, label=label)
