@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholar_lake.config import Settings
 from scholar_lake.functions.ids import strip_id
@@ -100,14 +100,14 @@ def record_ids(records: DataFrame) -> DataFrame:
 def stage_records(records: DataFrame, entity: str, path: str) -> tuple[dict[str, int], DataFrame]:
     """Parse, mark and write records; gives the counts and the staged rows.
 
-    One pass over the JSON for all tables; the counts are observed on the way. The marks need the whole record, so no
-    column is pruned from the parse.
+    One pass over the JSON for all tables. The marks need the whole record, so no column is pruned from the parse; the counts
+    read one staged column.
     """
     marked = mark(records, entity)
-    seen = Observation(f"staged {entity}")
-    (marked.observe(seen, F.count("*").alias("records"), F.count(F.when(F.col(REASON) != "", 1)).alias("rejects"))
-     .write.mode("overwrite").parquet(path))
-    return seen.get, records.sparkSession.read.schema(marked.schema).parquet(path)
+    marked.write.mode("overwrite").parquet(path)
+    staged = records.sparkSession.read.schema(marked.schema).parquet(path)
+    counts = staged.agg(F.count("*").alias("records"), F.count(F.when(F.col(REASON) != "", 1)).alias("rejects")).first()
+    return counts.asDict(), staged
 
 
 def newest_records(good: DataFrame, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ the lake as it was. Buckets that no changed or deleted id falls into are not rea
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scholar_lake.schemas import TableSpec
 
@@ -112,14 +112,14 @@ class LakeTables:
         works carry a bloom filter on their DOI.
         """
         placed = rows.withColumn("bucket", bucket_of(F.col(spec.owner), self.buckets))
-        seen = Observation(f"{spec.name} {number}")
-        writer = (placed.observe(seen, F.collect_set("bucket").alias("full"))
-                  .hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
+        path = f"{self.out}/tables/{spec.name}/commit={number}"
+        writer = (placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
                   .write.mode("overwrite").partitionBy("bucket"))
         if "id_doi" in spec.columns:
             writer = writer.option("parquet.bloom.filter.enabled#id_doi", "true")
-        writer.parquet(f"{self.out}/tables/{spec.name}/commit={number}")
-        full = set(seen.get["full"])
+        writer.parquet(path)
+        stored = self.spark.read.schema("bucket int").parquet(path).distinct().collect()
+        full = {row["bucket"] for row in stored}
         return {bucket: bucket in full for bucket in buckets}
 
     def clear(self, specs: list[TableSpec]) -> None:

@@ -15,8 +15,9 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = (SparkSession.builder.master("local[4]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
-    session.sparkContext.setLogLevel("ERROR")
+               .config("spark.driver.memory", "4g")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
 
