@@ -141,11 +141,12 @@ def bm25_scan(docs: DataFrame, text: str, terms: Terms, id: str = "id", k: int =
     stats = narrow.agg(F.struct(
         F.count("*").cast("double").alias("n"), F.avg("length").alias("mean"),
         F.array(*[F.count(F.when(F.col("tf")[i] > 0, 1)).cast("double") for i in numbers]).alias("df")).alias("s")).scalar()
-    hits = narrow.where(F.exists("tf", lambda x: x > 0)).select("*", stats.alias("s"))
+    scored = narrow.select("*", stats.alias("s"))
     norm = k1 * (1 - b + b * F.col("length") / F.col("s.mean"))
     score = sum((F.log(1 + (F.col("s.n") - F.col("s.df")[i] + 0.5) / (F.col("s.df")[i] + 0.5))
                  * F.col("tf")[i] * (k1 + 1) / (F.col("tf")[i] + norm) for i in numbers), F.lit(0.0))
-    return hits.select("id", score.alias("score")).orderBy(F.desc("score"), "id").limit(k)
+    # documents without a term score 0 and come last; dropping them earlier would tokenize the text once more
+    return scored.select("id", score.alias("score")).orderBy(F.desc("score"), "id").limit(k).where(F.col("score") > 0)
 
 
 def facets(hits: DataFrame, fields: list[str]) -> DataFrame:
