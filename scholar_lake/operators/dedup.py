@@ -25,5 +25,7 @@ def unique_links(links: DataFrame, key: tuple[str, ...]) -> DataFrame:
         return links
     if not rest:
         return links.distinct()
+    if len(rest) == 1:
+        return links.groupBy(*key).agg(F.max(rest[0]).alias(rest[0])).select(*links.columns)
     best = links.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_best"))
     return best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in links.columns])

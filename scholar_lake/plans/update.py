@@ -31,37 +31,47 @@ TABLES_AT_A_TIME = 4
 
 @dataclass
 class UpdateReport:
-    """What a run did. ``metrics`` holds records and rejects per entity, counted while staging."""
+    """What a run did, per entity: the date it started from, the newest date it read, records and rejects."""
 
-    commit: int | None = None
-    since: str = EPOCH
-    watermark: str | None = None
+    commit: int
+    since: dict[str, str] = field(default_factory=dict)
+    watermark: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def run_update(spark: SparkSession, settings: Settings, tables: bool = True, search: bool = True,
                apply_deletes: bool = True, override: bool = False,
                entities: tuple[str, ...] = ENTITIES) -> UpdateReport:
-    """Bring the lake up to date. ``override`` also reads files that an earlier run has finished."""
+    """Bring the lake up to date. ``override`` also reads files that an earlier run has finished.
+
+    Progress is kept per entity and per target, tables or search, so that skipping one of them now does not skip
+    these files for it later.
+    """
     lake = LakeTables(spark, settings.out, settings.buckets)
-    since = settings.since or lake.watermark() or EPOCH
+    marks = lake.watermarks()
     number = lake.next_commit()
-    report = UpdateReport(number, since)
+    report = UpdateReport(number)
     written: dict[str, dict[int, bool]] = {}
+    new_marks: dict[str, str] = {}
     read_files: list[DataFrame] = []
 
     for entity in entities:
+        targets = ([f"{entity} tables"] if tables else []) + ([f"{entity} search"] if search and entity == "work" else [])
+        if not targets:
+            continue
+        since = settings.since or min(marks.get(target, EPOCH) for target in targets)
+        report.since[entity] = since
         stage = f"{settings.out}/staging/{number}/{entity}"
-        files = staged_files(list_files(spark, settings.root, entity, since), entity, lake, f"{stage}/files", override)
-        merges = staged_files(list_merge_files(spark, settings.root, entity, since), f"merged {entity}", lake,
+        files = staged_files(list_files(spark, settings.root, entity, since), lake, targets, f"{stage}/files", override)
+        merges = staged_files(list_merge_files(spark, settings.root, entity, since), lake, targets,
                               f"{stage}/merge_files", override) if apply_deletes else files.limit(0)
         if files.isEmpty() and merges.isEmpty():
             report.metrics[entity] = {"records": 0, "rejects": 0}
             continue
-        read_files += [files, merges]
-        source = read_entity(spark, settings.root, entity, since, provenance=True).join(
-            files.select("file_path"), "file_path", "left_semi")
-        report.metrics[entity], marked = stage_records(source, entity, f"{stage}/records")
+        report.metrics[entity], marked = stage_records(
+            read_entity(spark, settings.root, entity, since, provenance=True).join(
+                files.select("file_path"), "file_path", "left_semi"),
+            entity, f"{stage}/records")
         good, bad = split(marked)
         if report.metrics[entity]["rejects"]:
             bad.write.mode("overwrite").parquet(f"{settings.out}/quarantine/{number}/{entity}")
@@ -69,28 +79,33 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
         deleted = read_merged_ids(spark, settings.root, entity, since, merges)
         new_tables: dict[str, DataFrame] = flatten(records, entity) if tables else {}
         specs = tables_of(entity) if tables else []
-        if search and entity == "work":
+        if f"{entity} search" in targets:
             new_tables[SEARCH_TABLE.name] = search_documents(records)
             specs = [*specs, SEARCH_TABLE]
         written.update(exchange(lake, number, specs, new_tables, record_ids(records), deleted))
 
+        newest = files.agg(F.max("partition_date")).first()[0]
+        if newest:
+            report.watermark[entity] = newest
+            new_marks.update(dict.fromkeys(targets, newest))
+        read_files.append(files.unionByName(merges).select(
+            F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"), "file_path"))
+
     if read_files:
-        all_files = reduce(DataFrame.unionByName, read_files)
-        report.watermark = all_files.agg(F.max("partition_date")).first()[0]
-        lake.commit(number, written, all_files, report.watermark)
+        lake.commit(number, written, reduce(DataFrame.unionByName, read_files), new_marks)
     return report
 
 
-def staged_files(files: DataFrame, label: str, lake: LakeTables, path: str, override: bool) -> DataFrame:
+def staged_files(files: DataFrame, lake: LakeTables, targets: list[str], path: str, override: bool) -> DataFrame:
     """The files this run reads, written down first, so that one that arrives meanwhile waits for the next run.
 
     One row per file; Spark sees the size of the list and broadcasts it only while it is small.
     """
-    pending = unprocessed(files.withColumn("entity", F.lit(label)), lake.manifest(), ["entity", "file_path"], override)
-    pending.select("entity", "file_path", F.nullif(
+    pending = unprocessed(files, lake.processed(targets), ["file_path"], override)
+    pending.select("file_path", F.nullif(
         F.regexp_extract("file_path", r"updated_date=([^/]+)/[^/]+$", 1), F.lit("")).alias("partition_date")
     ).write.mode("overwrite").parquet(path)
-    return lake.spark.read.schema("entity string, file_path string, partition_date string").parquet(path)
+    return lake.spark.read.schema("file_path string, partition_date string").parquet(path)
 
 
 def record_ids(records: DataFrame) -> DataFrame:

@@ -40,30 +40,36 @@ class LakeTables:
     def next_commit(self) -> int:
         return (self.log().agg(F.max("commit")).first()[0] or 0) + 1
 
-    def watermark(self) -> str | None:
-        """Newest partition date of all finished runs."""
-        return self.log().where(F.col("kind") == "watermark").agg(F.max("value")).first()[0]
+    def watermarks(self) -> dict[str, str]:
+        """Newest partition date that finished runs have read, per target ("work tables", "work search", ...)."""
+        rows = self.log().where(F.col("kind") == "watermark").groupBy("name").agg(F.max("value").alias("value")).collect()
+        return {row["name"]: row["value"] for row in rows}
 
-    def manifest(self) -> DataFrame:
-        """``entity, file_path`` of every input file a finished run has read."""
-        return self.log().where(F.col("kind") == "file").select(
-            F.col("name").alias("entity"), F.col("value").alias("file_path")).distinct()
+    def processed(self, targets: list[str]) -> DataFrame:
+        """``file_path`` of the input files that finished runs have read for all of the targets."""
+        read = self.log().where((F.col("kind") == "file") & F.col("name").isin(targets))
+        return (read.groupBy(F.col("value").alias("file_path")).agg(F.size(F.collect_set("name")).alias("n"))
+                .where(F.col("n") == len(targets)).select("file_path"))
 
     def done(self, label: str) -> bool:
         """Whether a run with this label (for instance a stream batch) has been committed."""
         return not self.log().where((F.col("kind") == "label") & (F.col("value") == label)).isEmpty()
 
     def commit(self, number: int, written: dict[str, dict[int, bool]], files: DataFrame | None = None,
-               watermark: str | None = None, label: str | None = None) -> None:
-        """Publish what a run wrote. ``written`` says for each table and bucket whether any row is left in it."""
+               watermarks: dict[str, str] | None = None, label: str | None = None) -> None:
+        """Publish what a run wrote.
+
+        ``written`` says for each table and bucket whether any row is left in it; ``files`` (``target, file_path``) and
+        ``watermarks`` what was read for which target.
+        """
         rows = [(number, "bucket", table, bucket, "full" if full else "empty")
                 for table, states in written.items() for bucket, full in states.items()]
-        rows += [(number, "watermark", None, None, watermark)] if watermark else []
+        rows += [(number, "watermark", target, None, date) for target, date in (watermarks or {}).items()]
         rows += [(number, "label", None, None, label)] if label else []
         entries = self.spark.createDataFrame(rows, COMMIT_DDL)
         if files is not None:
             entries = entries.unionByName(files.select(
-                F.lit(number).cast("bigint").alias("commit"), F.lit("file").alias("kind"), F.col("entity").alias("name"),
+                F.lit(number).cast("bigint").alias("commit"), F.lit("file").alias("kind"), F.col("target").alias("name"),
                 F.lit(None).cast("int").alias("bucket"), F.col("file_path").alias("value")))
         entries.coalesce(1).write.mode("append").parquet(f"{self.out}/commits")
         self._state = None

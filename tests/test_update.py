@@ -90,7 +90,7 @@ def lake_rows(spark, settings, name, *columns):
 def test_first_run(spark, world):
     snapshot, settings = world
     report = run_update(spark, settings)
-    assert (report.commit, report.since, report.watermark) == (1, "1970-01-01", "2023-05-01")
+    assert (report.commit, report.since["work"], report.watermark["concept"]) == (1, "1970-01-01", "2023-05-01")
     assert report.metrics["work"] == {"records": 11, "rejects": 7}
     assert report.metrics["publisher"] == {"records": 2, "rejects": 1}
 
@@ -159,7 +159,7 @@ def test_second_run_replaces_deletes_and_resumes(spark, world):
     snapshot.merged("work", "2023-05-01", [("W2", "W1")])             # not newer
     snapshot.merged("work", "2023-06-02", [("W4", "W1"), ("W12", "W1"), ("W4", "W1")])
     report = run_update(spark, settings, entities=("work",))
-    assert (report.since, report.watermark) == ("2023-05-01", "2023-06-01")
+    assert (report.since, report.watermark) == ({"work": "2023-05-01"}, {"work": "2023-06-01"})
     assert lake_rows(spark, settings, "works", "id", "title") == [
         ("W1", "newest"), ("W12", "merged but delivered"), ("W2", "title 2"), ("W3", None)]
     assert lake_rows(spark, settings, "works_references", "*") == [("W3", "W4")]      # still refers to the deleted W4
@@ -178,6 +178,15 @@ def test_second_run_replaces_deletes_and_resumes(spark, world):
     assert run_update(spark, old, override=True, apply_deletes=False, entities=("work",)).metrics["work"]["records"] == 15
 
 
+def test_progress_is_kept_per_entity_and_target(spark, world):
+    _, settings = world
+    run_update(spark, settings, tables=False, entities=("work", "concept"))
+    assert len(lake_rows(spark, settings, "search_works", "id")) == 4 and lake_rows(spark, settings, "works", "id") == []
+    run_update(spark, settings, search=False, entities=("work", "concept"))
+    assert len(lake_rows(spark, settings, "works", "id")) == 4 and lake_rows(spark, settings, "concepts", "id") == [("C1",)]
+    assert run_update(spark, settings, entities=("work",)).metrics["work"]["records"] == 0
+
+
 def test_a_run_that_dies_leaves_the_lake_as_it_was(spark, world, monkeypatch):
     snapshot, settings = world
     run_update(spark, settings, entities=("concept",))
