@@ -15,7 +15,8 @@ def delete_by_key(target: DataFrame, ids: DataFrame, key: str, hot_owners: bool
     """Target rows whose key is not in ``ids``; null keys and null ids never match.
 
     The ids are made distinct first. Whether they are broadcast is left to Spark's measured size limit. With
-    ``hot_owners`` heavy keys of the target are salted (child tables in which one owner may have very many rows).
+    ``hot_owners`` (child tables, in which one owner may have very many rows) heavy keys of the target are salted: Spark's
+    own splitting of skewed joins does not apply where one side comes straight from an aggregate, as the distinct ids do.
     """
     doomed = present_ids(ids).withColumnRenamed("id", key)
     if hot_owners:
@@ -28,7 +29,7 @@ def cascade_delete(tables: dict[str, DataFrame], specs: list[TableSpec], ids: Da
 
     References from the other side (for instance ``work_b_id``) stay.
     """
-    return {spec.name: delete_by_key(tables[spec.name], ids, spec.owner) for spec in specs}
+    return {spec.name: delete_by_key(tables[spec.name], ids, spec.owner, spec.is_link) for spec in specs}
 
 
 def replace_rows(target: DataFrame, new: DataFrame, key: str, changed: DataFrame | None = None,

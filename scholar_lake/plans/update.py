@@ -13,12 +13,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholar_lake.config import Settings
+from scholar_lake.functions.abstracts import abstract_text
 from scholar_lake.functions.ids import strip_id
 from scholar_lake.operators.dedup import latest_wins
 from scholar_lake.operators.flatten import flatten
 from scholar_lake.operators.merge import replace_rows
-from scholar_lake.operators.metrics import unprocessed
+from scholar_lake.operators.metrics import partition_metrics, unprocessed
 from scholar_lake.operators.search import search_documents
+from scholar_lake.operators.skew import skew_join
 from scholar_lake.schemas import ENTITIES, SEARCH_TABLE, TABLES, TableSpec, tables_of
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.merged_ids import list_merge_files, read_merged_ids
@@ -69,14 +71,13 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
             report.metrics[entity] = {"records": 0, "rejects": 0}
             continue
         report.metrics[entity], marked = stage_records(
-            read_entity(spark, settings.root, entity, since, provenance=True).join(
-                files.select("file_path"), "file_path", "left_semi"),
+            read_entity(spark, settings.root, entity, since, provenance=True, files=paths(files)),
             entity, f"{stage}/records")
         good, bad = split(marked)
         if report.metrics[entity]["rejects"]:
             bad.write.mode("overwrite").parquet(f"{settings.out}/quarantine/{number}/{entity}")
         records = newest_records(good, f"{stage}/newest")
-        deleted = read_merged_ids(spark, settings.root, entity, since, merges)
+        deleted = read_merged_ids(spark, settings.root, entity, since, paths(merges))
         new_tables: dict[str, DataFrame] = flatten(records, entity) if tables else {}
         specs = tables_of(entity) if tables else []
         if f"{entity} search" in targets:
@@ -99,7 +100,7 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
 def staged_files(files: DataFrame, lake: LakeTables, targets: list[str], path: str, override: bool) -> DataFrame:
     """The files this run reads, written down first, so that one that arrives meanwhile waits for the next run.
 
-    One row per file; Spark sees the size of the list and broadcasts it only while it is small.
+    One row per file.
     """
     pending = unprocessed(files, lake.processed(targets), ["file_path"], override)
     pending.select("file_path", F.nullif(
@@ -108,6 +109,11 @@ def staged_files(files: DataFrame, lake: LakeTables, targets: list[str], path: s
     return lake.spark.read.schema("file_path string, partition_date string").parquet(path)
 
 
+def paths(files: DataFrame) -> list[str]:
+    """File names, which the driver holds for any scan of these files."""
+    return [row["file_path"] for row in files.select("file_path").toLocalIterator()]
+
+
 def record_ids(records: DataFrame) -> DataFrame:
     return records.select(strip_id(F.col("id")).alias("id"))
 
@@ -137,10 +143,10 @@ def newest_records(good: DataFrame, path: str) -> DataFrame:
     keyed = good.withColumn("_key", strip_id(F.col("id")))
     twice = repeated.withColumnRenamed("id", "_key")
     newest = latest_wins(
-        keyed.join(twice, "_key", "left_semi"), ["_key"],
+        skew_join(keyed, twice, "_key", "left_semi"), ["_key"],
         [F.col("updated_date").try_cast("timestamp_ntz").desc_nulls_last(), F.desc("partition_date"),
          F.desc("file_path"), F.desc(F.xxhash64(F.to_json(F.struct(*[c for c in good.columns]))))])
-    kept = keyed.join(twice, "_key", "left_anti").unionByName(newest).drop("_key")
+    kept = skew_join(keyed, twice, "_key", "left_anti").unionByName(newest).drop("_key")
     kept.write.mode("overwrite").parquet(path)
     return good.sparkSession.read.schema(kept.schema).parquet(path)
 
@@ -155,7 +161,8 @@ def exchange(lake: LakeTables, number: int, specs: list[TableSpec], new_tables:
     lake.live_paths(specs[0].name)  # load the bucket map before the threads share it
 
     def write(spec: TableSpec) -> dict[int, bool]:
-        rows = replace_rows(lake.read(spec, buckets), new_tables[spec.name], spec.owner, changed, deleted)
+        rows = replace_rows(lake.read(spec, buckets), new_tables[spec.name], spec.owner, changed, deleted,
+                            hot_owners=spec.is_link)
         return lake.write(number, spec, rows, buckets)
 
     # the tables do not depend on each other, so their jobs share the cluster
@@ -163,6 +170,13 @@ def exchange(lake: LakeTables, number: int, specs: list[TableSpec], new_tables:
         return dict(zip([spec.name for spec in specs], pool.map(write, specs)))
 
 
+def partition_report(spark: SparkSession, settings: Settings, number: int) -> DataFrame:
+    """Works, and works with a usable abstract, per input file of a run, from its staged records."""
+    staged = spark.read.parquet(f"{settings.out}/staging/{number}/work/records").where(F.col(REASON) == "")
+    return partition_metrics(staged.select(
+        "partition_label", abstract_text(F.col("abstract_inverted_index")).alias("abstract")))
+
+
 def register_lake(spark: SparkSession, settings: Settings) -> None:
     """Current tables as temporary views for ``spark.sql``."""
     lake = LakeTables(spark, settings.out, settings.buckets)

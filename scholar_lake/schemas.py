@@ -137,6 +137,9 @@ RECORDS: dict[str, dict[str, str]] = {
     },
 }
 
+#: Columns that are looked up by value, beside the owner id: they get bloom filters.
+LOOKUP_COLUMNS = {"works": ("id_doi",), "works_authorships": ("author_id",)}
+
 #: The fields of a work that its search document needs.
 SEARCH_FIELDS = (
     "id", "display_name", "title", "abstract_inverted_index", "authorships", "biblio", "cited_by_count",
@@ -187,6 +190,11 @@ class TableSpec:
     key: tuple[str, ...] = ("id",)
     not_null: tuple[str, ...] = ("id",)
 
+    @property
+    def is_link(self) -> bool:
+        """Whether one owner may have many rows."""
+        return self.key != (self.owner,)
+
     @property
     def ddl(self) -> str:
         return ", ".join(f"`{name}` {kind}" for name, kind in self.columns.items())

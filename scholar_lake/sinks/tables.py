@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from scholar_lake.schemas import TableSpec
+from scholar_lake.schemas import LOOKUP_COLUMNS, TableSpec
 
 COMMIT_DDL = "commit bigint, kind string, name string, bucket int, value string"
 
@@ -115,14 +115,14 @@ class LakeTables:
 
         The rebalance hint gathers each bucket into files of the advisory size and splits a bucket that is far larger
         than the rest over several tasks. Rows are sorted by owner so that row-group statistics serve id lookups;
-        works carry a bloom filter on their DOI.
+        bloom filters serve DOIs of works and authors of authorships.
         """
         placed = rows.withColumn("bucket", bucket_of(F.col(spec.owner), self.buckets))
         path = f"{self.out}/tables/{spec.name}/commit={number}"
         writer = (placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
                   .write.mode("overwrite").partitionBy("bucket"))
-        if "id_doi" in spec.columns:
-            writer = writer.option("parquet.bloom.filter.enabled#id_doi", "true")
+        for column in LOOKUP_COLUMNS.get(spec.name, ()):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(path)
         stored = self.spark.read.schema("bucket int").parquet(path).distinct().collect()
         full = {row["bucket"] for row in stored}

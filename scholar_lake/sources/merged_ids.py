@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,23 +18,22 @@ def present_ids(ids: DataFrame, column: str = "id") -> DataFrame:
 
 
 def read_merged_ids(spark: SparkSession, root: str, entity: str, since: str = EPOCH,
-                    files: DataFrame | None = None) -> DataFrame:
+                    files: list[str] | None = None) -> DataFrame:
     """Ids that were merged into another record, from lists whose file name is newer than ``since``.
 
-    With ``files`` (a ``file_path`` column) only those lists are used.
+    ``files`` names the lists to read, as ``_metadata.file_path`` spells them.
     """
     path = f"{root.rstrip('/')}/data/merged_ids/{entity}s"
+    if files == []:
+        return spark.createDataFrame([], "id string")
     try:
-        rows = spark.read.schema(MERGE_DDL).option("header", True).option("pathGlobFilter", "*.csv.gz").csv(path)
+        rows = spark.read.schema(MERGE_DDL).option("header", True).option("pathGlobFilter", "*.csv.gz").csv(
+            [unquote(f) for f in files] if files else path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "id string")
-    newer = rows.where(F.col("_metadata.file_name") > F.lit(f"{since}.csv.gz"))
-    if files is not None:
-        newer = newer.select("id", F.col("_metadata.file_path").alias("file_path")).join(
-            files.select("file_path"), "file_path", "left_semi")
-    return present_ids(newer)
+    return present_ids(rows.where(F.col("_metadata.file_name") > F.lit(f"{since}.csv.gz")))
 
 
 def list_merge_files(spark: SparkSession, root: str, entity: str, since: str = EPOCH) -> DataFrame:

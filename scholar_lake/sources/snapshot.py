@@ -7,6 +7,8 @@ file path. A filter on that path is a filter on a constant of each file: Spark d
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -32,32 +34,34 @@ def newer_folder(file_path: Column, since: str) -> Column:
 
 
 def read_entity(spark: SparkSession, root: str, entity: str, since: str = EPOCH,
-                only: tuple[str, ...] | None = None, provenance: bool = False) -> DataFrame:
+                only: tuple[str, ...] | None = None, provenance: bool = False,
+                files: list[str] | None = None) -> DataFrame:
     """Records of an entity in partitions newer than ``since``; a narrower read with ``only``.
 
     With ``provenance`` the raw text of records that do not fit the schema is kept in ``_corrupt_record``, and
-    ``file_path``, ``partition_date`` and ``partition_label`` say where a record came from. Gzip files cannot be split, so a file is
-    one task; what follows (staging to Parquet) is a plain map over them.
+    ``file_path``, ``partition_date`` and ``partition_label`` say where a record came from. ``files`` names the files to
+    read, as ``_metadata.file_path`` spells them; choosing them here and not by a join keeps the records where they are, however many files
+    there are. Gzip files cannot be split, so a file is one task; what follows (staging to Parquet) is a plain map over them.
     """
-    ddl = record_ddl(entity, only)
-    reader = spark.read.options(**_READ)
+    ddl = record_ddl(entity, only) + (f", `{CORRUPT}` string" if provenance else "")
+    reader = spark.read.options(**_READ).schema(ddl)
     if provenance:
-        ddl += f", `{CORRUPT}` string"
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    path = F.col("_metadata.file_path")
     try:
-        found = reader.schema(ddl).json(entity_path(root, entity))
+        records = reader.json([unquote(f) for f in files] if files else entity_path(root, entity))
+        if files == []:
+            records = records.limit(0)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = spark.createDataFrame([], ddl).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
-    records = found.where(newer_folder(path, since))
+        records = spark.createDataFrame([], f"{ddl}, _metadata struct<file_path:string>")
+    path = F.col("_metadata.file_path")
+    columns = [F.col(f"`{c}`") for c in records.columns if c != "_metadata"]
+    newer = records.where(newer_folder(path, since))
     if not provenance:
-        return records.drop("_metadata") if "_metadata" in found.columns else records
-    return records.select(
-        *[F.col(f"`{c}`") for c in found.columns if c != "_metadata"],
-        path.alias("file_path"),
-        F.regexp_replace(folder_name(path), "^updated_date=", "").alias("partition_date"),
+        return newer.select(*columns)
+    return newer.select(
+        *columns, path.alias("file_path"), F.regexp_replace(folder_name(path), "^updated_date=", "").alias("partition_date"),
         partition_label(path).alias("partition_label"))
 
 

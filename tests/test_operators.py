@@ -150,3 +150,20 @@ def test_lookups(spark):
     assert [r.id for r in lookups.select_works(works, language="en", publication_year=(1999, 2005)).collect()] == ["W1"]
     edges = spark.createDataFrame([("W1", "W2"), ("W2", "W3")], "a string, b string")
     assert rows(lookups.neighbours(edges, "W2", "a", "b")) == [("W1", "in"), ("W3", "out")]
+
+
+def test_salting_spreads_a_hot_owner(spark):
+    """With broadcasting and the merging of small partitions off, no task of the join gets the whole hot key."""
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in plain.items():
+        spark.conf.set(name, value)
+    try:
+        fact = hot_fact(spark)
+        gone = spark.createDataFrame([(i,) for i in range(8, 50)], "id long")
+        left = delete_by_key(fact, gone, "k", hot_owners=True)
+        assert rows(left) == rows(fact.where("k not between 8 and 49"))
+        sizes = left.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 1
+    finally:
+        for name in plain:
+            spark.conf.unset(name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scholar_lake.config import Settings, work_dir
 from scholar_lake.operators.flatten import rejected, works_authorship_institutions
-from scholar_lake.plans.update import register_lake, run_update
+from scholar_lake.plans.update import partition_report, register_lake, run_update
 from scholar_lake.schemas import ENTITIES, SEARCH_TABLE, TABLES, tables_of
 from scholar_lake.sinks.exports import read_csv, write_csv, write_jdbc, write_json
 from scholar_lake.sinks.tables import LakeTables
@@ -142,6 +142,7 @@ def test_first_run(spark, world):
     assert reasons["/W7"] == "malformed" and reasons["/W8"] == "missing ids.openalex"
     assert reasons["/W9"] == "unparsable created_date"
 
+    assert [tuple(r) for r in partition_report(spark, settings, 1).collect()] == [("2023-05-01-part_000", 4, 2)]
     register_lake(spark, settings)
     assert spark.sql("SELECT count(*) FROM works w JOIN works_references r ON r.work_a_id = w.id").first()[0] == 2
 
