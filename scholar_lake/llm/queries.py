@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholar_lake.llm import chat, licences, mixing, secrets, sharding
+from scholar_lake.llm import chat, licences, mixing, ppm, repetition, secrets, sharding, simhash
 from scholar_lake.llm.common import table
 
 
+def quality(spark: SparkSession, sf: str) -> DataFrame:
+    return repetition.judge(table(spark, sf, "documents"))
+
+
 def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select(
@@ -17,6 +21,11 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.size("method_spans").cast("long").alias("n_entropy"))
 
 
+def language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", ppm.held_out(F.col("doc_id")).alias("held_out"))
+    return ppm.predict(docs, ppm.learn(docs.where("NOT held_out")), "doc_id", "held_out")
+
+
 def mixing_plan(spark: SparkSession, sf: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -36,6 +45,11 @@ def license_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"))
 
 
+def near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex(F.get("prints", F.lit(0))), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def chat_format(spark: SparkSession, sf: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -57,9 +71,12 @@ def shard_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repetition": quality,
     "op2_secrets": secret_scan,
+    "op3_language": language,
     "op4_mixing": mixing_plan,
     "op5_licenses": license_scan,
+    "op7_simhash": near_copies,
     "op9_chat": chat_format,
     "op10_sharding": shard_plan,
 }
