@@ -30,6 +30,4 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id""",
-    "op5_licenses": None,
 }
-ORACLES = {name: sql for name, sql in ORACLES.items() if sql}

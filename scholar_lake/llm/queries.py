@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholar_lake.llm import chat, licences, mixing, ppm, repetition, secrets, sharding, simhash
+import corpus_pipeline
+from scholar_lake.llm import chat, decontam, licences, mixing, ppm, repetition, secrets, sharding, simhash, suffix_dedup
 from scholar_lake.llm.common import table
 
 
@@ -45,11 +46,19 @@ def license_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"))
 
 
+def suffix_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_duplicates(table(spark, sf, "documents")).drop("kept")
+
+
 def near_copies(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.get("prints", F.lit(0))), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def chat_format(spark: SparkSession, sf: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -76,7 +85,10 @@ QUERIES = {
     "op3_language": language,
     "op4_mixing": mixing_plan,
     "op5_licenses": license_scan,
+    "op6_suffix_dedup": suffix_copies,
     "op7_simhash": near_copies,
+    "op8_decontamination": benchmark_leaks,
     "op9_chat": chat_format,
     "op10_sharding": shard_plan,
+    "pipeline": corpus_pipeline.run,
 }

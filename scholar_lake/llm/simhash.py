@@ -47,8 +47,9 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = SEED, distinct
     return int(np.packbits(2 * ones > len(features), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seeds: tuple[int, ...] = (SEED,), distinct: bool = False) -> DataFrame:
-    """doc_id and ``prints``, one fingerprint per seed as signed 64-bit numbers."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seeds: tuple[int, ...] = (SEED,), distinct: bool = False,
+                 carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The carried columns and ``prints``, one fingerprint per seed as signed 64-bit numbers."""
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
@@ -56,9 +57,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seeds: tuple[int, ...] = (SE
             for t in texts:
                 raw = t.as_buffer().to_pybytes() if t.is_valid else None
                 prints.append([fingerprint(raw, shingle, seed, distinct) for seed in seeds])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "prints"])
-    wanted = docs.select("doc_id", "text")
-    return wanted.mapInArrow(each, wanted.select("doc_id").schema.add("prints", T.ArrayType(T.LongType())))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(prints, pa.list_(pa.int64()))],
+                                             names=[*carry, "prints"])
+    wanted = docs.select(*carry, "text")
+    return wanted.mapInArrow(each, wanted.select(*carry).schema.add("prints", T.ArrayType(T.LongType())))
 
 
 def covering_masks(radius: int, bits: int = 64) -> list[int]:
@@ -183,14 +185,16 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seeds: tuple[int, ...] = (SEED,), distinct: bool = False) -> DataFrame:
-    """A row per document: doc_id, prints and component_id. Documents are linked if their fingerprints of any seed are."""
-    made = fingerprints(docs, shingle, seeds, distinct)
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seeds: tuple[int, ...] = (SEED,), distinct: bool = False,
+                    carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """A row per document: the carried columns (doc_id among them), prints, ``component`` (a number of its set of linked documents) and
+    component_id, the smallest doc_id in it. Documents are linked if their fingerprints of any one seed are."""
+    made = fingerprints(docs, shingle, seeds, distinct, carry)
     node = F.get("prints", F.lit(0)) if len(seeds) == 1 else F.xxhash64("prints")
     prints = settle(made.withColumn("node", node))
     nodes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("prints").alias("prints"))
     roots = components(links(nodes.select("node", "prints"), radius, len(seeds))).withColumnRenamed("node", "leaf")
-    rooted = nodes.join(roots, F.col("node") == F.col("leaf"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select(F.col("node").alias("class"), "component_id")
-    return prints.join(classes, F.col("node") == F.col("class")).select("doc_id", "prints", "component_id")
+    rooted = nodes.join(roots, F.col("node") == F.col("leaf"), "left").select("node", "least", F.coalesce("root", "node").alias("component"))
+    named = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = rooted.join(named, "component").select(F.col("node").alias("class"), "component", "component_id")
+    return prints.join(classes, F.col("node") == F.col("class")).select(*carry, "prints", "component", "component_id")
