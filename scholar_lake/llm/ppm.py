@@ -190,14 +190,14 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 def predict(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
     """A row per document: the carried columns, ``lang_pred``, ``score`` (0 to 1) and ``bits_per_byte`` of the text in that language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*carry, "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
+    kept = docs.select(*carry, F.col("text").alias("ppm_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("ppm_letter"))
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = shared.value
         names = np.array([*frozen.languages, UNKNOWN], object)
-        for part in arrays.chunks(batches, most=SLICE_BYTES):
-            data, offsets = arrays.flat(part.column("text"))
-            ok = np.asarray(part.column("has_letter").to_numpy(zero_copy_only=False), bool)
+        for part in arrays.chunks(batches, "ppm_text", SLICE_BYTES):
+            data, offsets = arrays.flat(part.column("ppm_text"))
+            ok = np.asarray(part.column("ppm_letter").to_numpy(zero_copy_only=False), bool)
             best, score, bits = np.full(len(ok), len(names) - 1), np.zeros(len(ok)), np.zeros(len(ok))
             if frozen.languages:
                 lengths = frozen.code_lengths(data, offsets)

@@ -34,7 +34,7 @@ CLASSES = {
 }
 #: Runs that are long and mixed, yet no secrets.
 ALLOWED = ("(?i)example", "(?i)placeholder", "(?i)0123456789abcdef", "(?i)abcdefghijklmnopqrstuvwxyz",
-           r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", "^[0-9]{4}-[0-9]{2}-[0-9]{2}", "^(?i)sha(256|384|512)-")
+           r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", "^[0-9]{4}-[0-9]{2}-[0-9]{2}", "(?i)^sha(256|384|512)-")
 KINDS = ("assign", "access", "hex", *CLASSES)
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 

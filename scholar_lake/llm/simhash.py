@@ -52,14 +52,14 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seeds: tuple[int, ...] = (SE
     """The carried columns and ``prints``, one fingerprint per seed as signed 64-bit numbers."""
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary())
+            texts = batch.column("simhash_text").cast(pa.large_binary())
             prints = []
             for t in texts:
                 raw = t.as_buffer().to_pybytes() if t.is_valid else None
                 prints.append([fingerprint(raw, shingle, seed, distinct) for seed in seeds])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(prints, pa.list_(pa.int64()))],
                                              names=[*carry, "prints"])
-    wanted = docs.select(*carry, "text")
+    wanted = docs.select(*carry, F.col("text").alias("simhash_text"))
     return wanted.mapInArrow(each, wanted.select(*carry).schema.add("prints", T.ArrayType(T.LongType())))
 
 
