@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from dataclasses import dataclass, fields
 
@@ -12,12 +11,12 @@ from pyspark.sql import SparkSession
 
 @dataclass(frozen=True)
 class Settings:
-    """Where the snapshot and the lake live. ``since`` overrides the stored watermark."""
+    """Where the snapshot and the lake live. ``since`` overrides the stored watermark; ``buckets`` is fixed by a lake's first run."""
 
     root: str
     out: str
     since: str | None = None
-    buckets: int = 64
+    buckets: int | None = None
 
     @classmethod
     def from_env(cls, prefix: str = "LAKE_", **overrides) -> "Settings":
@@ -32,8 +31,8 @@ class Settings:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors must share."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="scholar-lake-")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

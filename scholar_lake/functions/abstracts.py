@@ -28,32 +28,34 @@ def rebuild_abstract(index: Column) -> Column:
 
     There are as many slots as positions in the whole index. Every token goes to its positions, those outside
     the slots are dropped, a later token wins a contested slot, unused slots stay empty, and the slots are joined by
-    one blank. Sorting the (position, token) pairs once makes this n log n: a slot's winner is the last pair of
-    its position, and the blanks in front of it are the distance from the previous winner.
+    one blank. Position and token number are packed into one bigint, so that what is sorted (n log n) is plain numbers: a slot's winner is
+    the last of its position, and the blanks in front of it are the distance from the previous winner.
     """
-    pairs = F.flatten(F.transform(
-        F.map_entries(index),
-        lambda entry, order: F.transform(
-            entry["value"],
-            lambda position: F.struct(position.alias("pos"), order.alias("ord"), entry["key"].alias("tok")))))
+    packed = F.flatten(F.transform(F.map_values(index), lambda positions, number: F.transform(
+        positions, lambda position: F.shiftleft(position.cast("bigint"), 32).bitwiseOR(number.cast("bigint")))))
 
-    def text(all_pairs: Column) -> Column:
-        slots = F.size(all_pairs)
-        ordered = F.sort_array(F.filter(all_pairs, lambda p: (p["pos"] >= 0) & (p["pos"] < slots)))
-        return bind(ordered, lambda o: bind(_last_per_position(o), lambda w: _spell(w, slots)))
+    def text(all_places: Column) -> Column:
+        slots = F.size(all_places)
+        ordered = F.sort_array(F.filter(all_places, lambda p: (p >= 0) & (_position(p) < slots)))
+        return bind(ordered, lambda o: bind(_last_per_position(o), lambda w: bind(F.map_keys(index), lambda t: _spell(w, t, slots))))
 
-    return bind(pairs, text)
+    return bind(packed, text)
+
+
+def _position(packed: Column) -> Column:
+    return F.shiftright(packed, 32).cast("int")
 
 
 def _last_per_position(ordered: Column) -> Column:
-    # get() is null past the end, and null-safe equality then keeps the last pair
-    return F.filter(ordered, lambda p, i: ~F.get(ordered, i + 1)["pos"].eqNullSafe(p["pos"]))
+    # get() is null past the end, and null-safe equality then keeps the last number
+    return F.filter(ordered, lambda p, i: ~_position(F.get(ordered, i + 1)).eqNullSafe(_position(p)))
 
 
-def _spell(winners: Column, slots: Column) -> Column:
+def _spell(winners: Column, tokens: Column, slots: Column) -> Column:
     words = F.transform(winners, lambda p, i: F.concat(
-        F.repeat(F.lit(" "), p["pos"] - F.coalesce(F.get(winners, i - 1)["pos"], F.lit(0))), p["tok"]))
-    last = F.coalesce(F.get(winners, F.size(winners) - 1)["pos"], F.lit(0))
+        F.repeat(F.lit(" "), _position(p) - F.coalesce(_position(F.get(winners, i - 1)), F.lit(0))),
+        F.get(tokens, p.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))))
+    last = F.coalesce(_position(F.get(winners, F.size(winners) - 1)), F.lit(0))
     return F.concat(F.array_join(words, ""), F.repeat(F.lit(" "), slots - 1 - last))
 
 

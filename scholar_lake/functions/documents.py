@@ -42,12 +42,23 @@ def is_primary(primary: Column, location: Column) -> Column:
             & primary["version"].eqNullSafe(location["version"]))
 
 
+AUTHORSHIP_FIELDS = ("author", "author_position", "institutions", "is_corresponding", "raw_affiliation_string")
+
+
 def authorships_json(authorships: Column) -> Column:
-    """JSON of the authorships for the search document; null when there are none. Null fields are left out."""
-    shown = F.transform(authorships, lambda a: F.struct(*[
-        a[name].alias(name)
-        for name in ("author", "author_position", "institutions", "is_corresponding", "raw_affiliation_string")]))
-    return F.when(F.size(authorships) > 0, F.to_json(shown))
+    """JSON of the authorships for the search document; null when there are none. An authorship's own null fields are written out, those
+    of the author and the institutions inside it are left out."""
+    def one(a: Column) -> Column:
+        # a list of one value is written without the nulls inside the value; cutting its brackets off leaves the value
+        values = [F.concat(F.lit(f'"{name}":'), F.when(a[name].isNull(), "null").otherwise(_bare(a[name])))
+                  for name in AUTHORSHIP_FIELDS]
+        return F.concat(F.lit("{"), F.concat_ws(",", *values), F.lit("}"))
+    return F.when(F.size(authorships) > 0, F.concat(F.lit("["), F.array_join(F.transform(authorships, one), ","), F.lit("]")))
+
+
+def _bare(value: Column) -> Column:
+    listed = F.to_json(F.array(value))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def locations_json(primary: Column, locations: Column) -> Column:

@@ -50,8 +50,9 @@ def replace_rows(target: DataFrame, new: DataFrame, key: str, changed: DataFrame
 def drop_stale(records: DataFrame, current: DataFrame, key: str = "id", version: str = "updated_date") -> DataFrame:
     """Records that are not older than the current row of the same key.
 
-    ``current`` needs the key and the version column only; a missing version on either side does not make a record stale.
+    ``current`` needs the key and the version column only; a missing version on either side does not make a record stale. Keys that
+    hold many of the records are salted.
     """
     known = current.select(F.col(key), F.col(version).alias("_known"))
-    return records.join(known, key, "left").where(
+    return skew_join(records, known, key, "left").where(
         F.coalesce(F.col("_known") <= F.col(version), F.lit(True))).drop("_known")

@@ -1,9 +1,7 @@
-"""Search documents, the postings index over them, and keyword queries.
+"""Search documents, their postings, and keyword queries.
 
-An index is two tables: postings ``(token, id, pos)`` and document lengths ``(id, length)``. Stored postings are range-partitioned
-and sorted by (token, id) (see sinks.documents), so a query reads only the row groups of its tokens and a token that
-occurs in a third of all documents is spread over many files. All aggregates below group by document (or by
-document and start position) and combine on the map side first.
+Postings ``(token, id, pos)`` are made from the documents by the query that needs them, for its own words only, so all that is spread out or
+shuffled are hits. All aggregates group by document (or by document and start position) and combine on the map side first.
 """
 
 from __future__ import annotations
@@ -14,10 +12,10 @@ from scholar_lake.functions.abstracts import abstract_text, bind
 from scholar_lake.functions.casting import conform, empty_as_null
 from scholar_lake.functions.documents import authorships_json, biblio_json, locations_json, title_abstract
 from scholar_lake.functions.ids import strip_id
-from scholar_lake.functions.text import drop_stop_words, tokenize
+from scholar_lake.functions.text import Term, drop_stop_words, occurrences, phrases, tokenize
 from scholar_lake.schemas import SEARCH_TABLE
 
-Terms = list[tuple[str, ...]]
+Terms = list[Term]
 
 
 def search_documents(records: DataFrame) -> DataFrame:
@@ -34,7 +32,7 @@ def search_documents(records: DataFrame) -> DataFrame:
 
 
 def _words(terms: Terms) -> list[str]:
-    return sorted({word for group in terms for word in group})
+    return sorted({word for term in terms for form in term.forms for _, word in form.words})
 
 
 def postings(docs: DataFrame, text: str, id: str = "id", stop_words: tuple[str, ...] = (),
@@ -61,50 +59,71 @@ def document_lengths(docs: DataFrame, text: str, id: str = "id", stop_words: tup
     return docs.where(F.col(text).isNotNull()).select(F.col(id).alias("id"), length.alias("length"))
 
 
-def _group_number(terms: Terms) -> Column:
-    """Which query terms (as a list of their numbers) a token stands for."""
-    by_word: dict[str, list[int]] = {}
-    for number, group in enumerate(terms):
-        for word in group:
-            by_word.setdefault(word, []).append(number)
-    pairs = [x for word, numbers in by_word.items() for x in (F.lit(word), F.array(*[F.lit(n) for n in numbers]))]
-    return F.create_map(*pairs).cast("map<string,array<int>>")[F.col("token")]
+def matches(index: DataFrame, ways: list[tuple[tuple[int, str], ...]]) -> DataFrame:
+    """``id, way, start`` of every place where one of the ways, each a list of words with their places, occurs.
+
+    A posting of a word with place k at position p votes for a start at p - k; a start with all votes of a way is a match. No
+    posting meets another one, so frequent tokens cost one row each and not one pair.
+    """
+    by_word: dict[str, list[tuple[int, int]]] = {}
+    for number, way in enumerate(ways):
+        for place, word in way:
+            by_word.setdefault(word, []).append((number, place))
+    if not by_word:
+        return index.select("id", F.lit(0).alias("way"), F.col("pos").alias("start")).where(F.lit(False))
+    pairs = [x for word, votes in by_word.items()
+             for x in (F.lit(word), F.array(*[F.struct(F.lit(n).alias("way"), F.lit(k).alias("k")) for n, k in votes]))]
+    each = index.where(F.col("token").isin(sorted(by_word))).select("id", "pos", F.explode(F.create_map(*pairs)[F.col("token")]).alias("v"))
+    each = each.select("id", F.col("v.way").alias("way"), (F.col("pos") - F.col("v.k")).alias("start"))
+    long = {number: len(way) for number, way in enumerate(ways) if len(way) > 1}
+    if not long:
+        return each
+    needed = F.create_map(*[F.lit(x) for pair in long.items() for x in pair])
+    starts = each.where(F.col("way").isin(list(long))).groupBy("id", "way", "start").agg(F.count("*").alias("n"))
+    return each.where(~F.col("way").isin(list(long))).unionByName(
+        starts.where(F.col("n") == needed[F.col("way")]).select("id", "way", "start"))
+
+
+def term_matches(index: DataFrame, terms: Terms) -> DataFrame:
+    """``id, term, start``: every occurrence of a term, in any form. ``term`` is its number in the list."""
+    ways = [(number, form.words) for number, term in enumerate(terms) for form in term.forms]
+    found = matches(index, [words for _, words in ways])
+    if not ways:
+        return found.withColumnRenamed("way", "term")
+    return found.select("id", F.get(F.array(*[F.lit(n) for n, _ in ways]), F.col("way")).alias("term"), "start")
+
+
+def distinct_terms(terms: Terms) -> Terms:
+    return list({term.forms: term for term in terms}.values())
 
 
 def match_any(index: DataFrame, terms: Terms) -> DataFrame:
     """Ids of documents with at least one of the terms."""
-    return index.where(F.col("token").isin(_words(terms))).select("id").distinct()
+    return term_matches(index, terms).select("id").distinct()
 
 
 def match_all(index: DataFrame, terms: Terms) -> DataFrame:
     """Ids of documents with every term."""
-    terms = list(dict.fromkeys(terms))
-    hits = index.where(F.col("token").isin(_words(terms))).select("id", F.explode(_group_number(terms)).alias("term"))
+    terms = distinct_terms(terms)
+    hits = term_matches(index, terms)
     return hits.groupBy("id").agg(F.size(F.collect_set("term")).alias("n")).where(F.col("n") == len(terms)).select("id")
 
 
 def match_phrase(index: DataFrame, terms: Terms) -> DataFrame:
-    """``id, start`` of every place where the terms follow one another.
-
-    A posting of the k-th term at position p votes for a phrase starting at p - k; a start with a vote of every
-    term is a match. No posting meets another one, so frequent tokens cost one row each and not one pair.
-    """
-    votes = index.where(F.col("token").isin(_words(terms))).select(
-        "id", "pos", F.explode(_group_number(terms)).alias("k"))
-    starts = votes.groupBy("id", (F.col("pos") - F.col("k")).alias("start")).agg(
-        F.size(F.collect_set("k")).alias("n"))
-    return starts.where(F.col("n") == len(terms)).select("id", "start")
+    """``id, start`` of every place where the terms follow one another as in the query, gaps of stop words included."""
+    ways = phrases(terms)
+    found = matches(index, ways).select("id", "start")
+    return found if len(ways) == 1 else found.distinct()
 
 
 def bm25(index: DataFrame, lengths: DataFrame, terms: Terms, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The k best documents for the terms: ``id, score`` by the published BM25 formula, ties by id.
 
-    Term frequencies are counted per (document, term). Document frequencies (one row per query term) and the collection's size and mean length
-    (one row) are scalar subqueries, so nothing but the hits is shuffled.
+    Term frequencies are counted per (document, term) from postings and joined with the documents' lengths. Document frequencies (one row)
+    and the collection's size and mean length (one row) are scalar subqueries.
     """
-    terms = list(dict.fromkeys(terms))
-    hits = index.where(F.col("token").isin(_words(terms))).select("id", F.explode(_group_number(terms)).alias("term"))
-    frequencies = hits.groupBy("id", "term").agg(F.count("*").alias("tf"))
+    terms = distinct_terms(terms)
+    frequencies = term_matches(index, terms).groupBy("id", "term").agg(F.count("*").alias("tf"))
     doc_counts = frequencies.agg(F.array(*[
         F.count(F.when(F.col("term") == n, 1)) for n in range(len(terms))]).alias("df")).scalar()
     collection = lengths.agg(F.struct(F.count("*").cast("double").alias("n"),
@@ -119,25 +138,21 @@ def bm25(index: DataFrame, lengths: DataFrame, terms: Terms, k: int = 10, k1: fl
 
 def bm25_scan(docs: DataFrame, text: str, terms: Terms, id: str = "id", k: int = 10, k1: float = 1.2,
               b: float = 0.75, stop_words: tuple[str, ...] = ()) -> DataFrame:
-    """The same result straight from the documents, for a collection without a stored index.
+    """The same result in one pass over the documents.
 
-    Term frequencies are counted inside each document's row, so the text never meets a shuffle: one pass for the collection's
-    statistics, one for the scores, and a top-k.
+    Lengths and term frequencies are counted inside each document's row and only they go on: one narrow exchange by id serves both the
+    collection's statistics and the scores.
     """
-    terms = list(dict.fromkeys(terms))
+    terms = distinct_terms(terms)
     numbers = range(len(terms))
 
-    def occurrences(found: Column, group: tuple[str, ...]) -> Column:
-        return F.size(F.filter(found, lambda t: t.isin(*group)))
-
     def counts(tokens: Column) -> Column:
-        found = F.filter(tokens, lambda t: t.isin(_words(terms)))
-        per_term = bind(found, lambda w: F.array(*[occurrences(w, group) for group in terms]))
-        return F.struct(F.size(tokens).alias("length"), per_term.alias("tf"))
+        per_term = [sum((occurrences(tokens, form) for form in term.forms), F.lit(0)) for term in terms]
+        return F.struct(F.size(tokens).alias("length"), F.array(*per_term).alias("tf"))
 
     narrow = docs.where(F.col(text).isNotNull()).select(
         F.col(id).alias("id"), bind(drop_stop_words(tokenize(F.col(text)), stop_words), counts).alias("c"))
-    narrow = narrow.select("id", F.col("c.length").alias("length"), F.col("c.tf").alias("tf"))
+    narrow = narrow.select("id", F.col("c.length").alias("length"), F.col("c.tf").alias("tf")).repartition("id")
     stats = narrow.agg(F.struct(
         F.count("*").cast("double").alias("n"), F.avg("length").alias("mean"),
         F.array(*[F.count(F.when(F.col("tf")[i] > 0, 1)).cast("double") for i in numbers]).alias("df")).alias("s")).scalar()

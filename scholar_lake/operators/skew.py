@@ -1,41 +1,44 @@
-"""Joins on keys of which a few hold a large share of the rows."""
+"""Joins on keys of which a few hold a large share of the rows, for joins that Spark does not split by itself."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Counters of the frequent-items sketch: its error stays below 0.05 % of the rows.
-SKETCH_COUNTERS = 10_000
+#: A key is heavy from this many times a task's even share of the rows.
+HEAVY_TIMES = 2
 
 
-def heavy_keys(rows: DataFrame, key: str, share: float = 0.02) -> list:
-    """Keys with at least ``share`` of the rows; never more than 1/share of them (50 by default).
+def heavy_keys(rows: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """``heavy_key, salts``: keys with more than HEAVY_TIMES / tasks of the rows, and the number of tasks their share is worth.
 
-    One pass over one column: every task builds a frequent-items sketch of bounded size and only the sketches are
-    shuffled. The sketch overestimates, so no heavy key is missed.
+    ``tasks`` is the number of shuffle partitions if not given; there are never more than tasks / HEAVY_TIMES heavy keys. One lazy pass
+    over one column: frequent-items sketches with a few counters per task, merged in two levels. The sketch overestimates by at
+    most a quarter of the threshold, so no heavy key is missed.
     """
-    most = int(1 / share)
-    found = (rows.where(F.col(key).isNotNull())
-             .agg(F.expr(f"approx_top_k(`{key}`, {most}, {SKETCH_COUNTERS})").alias("top"), F.count("*").alias("n"))
-             .first())
-    return [item["item"] for item in found["top"] or [] if item["count"] >= share * found["n"]]
-
-
-def skew_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner",
-              share: float = 0.02, salts: int = 64) -> DataFrame:
-    """Join ``rows`` to ``other`` (one row per key) on ``key``; heavy keys of ``rows`` are spread over ``salts`` tasks.
-
-    Only the matching rows of ``other``, at most 1/share of them, are repeated per salt; all other keys join as usual.
-    The salt is a hash of the row's content, so a task that is run again sends every row where it went before.
-    ``how``: inner, left, left_semi or left_anti.
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most, counters = max(tasks // HEAVY_TIMES, 1), max(8 * tasks, 64)
+    parts = (rows.where(F.col(key).isNotNull()).groupBy(F.pmod(F.spark_partition_id(), F.lit(tasks)).alias("part"))
+             .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {counters})").alias("sketch"), F.count("*").alias("n")))
+    # grouped, because no sketch at all cannot be combined
+    merged = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"), F.sum("n").alias("n"))
+    items = merged.select("n", F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"))
+    salts = F.ceil(F.col("top.count") * tasks / F.col("n")).cast("long")
+    return items.where(F.col("top.count") * tasks > HEAVY_TIMES * F.col("n")).select(F.col("top.item").alias("heavy_key"), salts.alias("salts"))
+
+
+def skew_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner", heavy: DataFrame | None = None,
+              tasks: int | None = None) -> DataFrame:
+    """Join ``rows`` to ``other`` (one row per key) on ``key``; each heavy key of ``rows`` is spread over as many tasks as its share asks for.
+
+    Only the matching rows of ``other`` are repeated, once per salt, in all at most tasks + tasks / HEAVY_TIMES; all other keys
+    join as usual. The table of heavy keys is broadcast: it has at most tasks / HEAVY_TIMES rows. The salt is a hash of the row's content, so a task that is
+    run again sends every row where it went before. ``how``: inner, left, left_semi or left_anti.
     """
-    heavy = heavy_keys(rows, key, share)
-    if not heavy:
-        return rows.join(other, key, how)
+    heavy = F.broadcast(heavy_keys(rows, key, tasks) if heavy is None else heavy)
     content = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != key])
-    salted = rows.withColumn("_salt", F.when(F.col(key).isin(heavy), F.pmod(content, F.lit(salts)))
-                             .otherwise(F.lit(0).cast("long")))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
-    spread = other.withColumn("_salt", F.explode(
-        F.when(F.col(key).isin(heavy), every).otherwise(F.array(F.lit(0).cast("long")))))
+    salted = (rows.join(heavy, F.col(key) == F.col("heavy_key"), "left")
+              .withColumn("_salt", F.pmod(content, F.coalesce("salts", F.lit(1).cast("long")))).drop("heavy_key", "salts"))
+    spread = (other.join(heavy, F.col(key) == F.col("heavy_key"), "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1).cast("long")) - 1)))
+              .drop("heavy_key", "salts"))
     return salted.join(spread, [key, "_salt"], how).drop("_salt")

@@ -183,7 +183,8 @@ ORACLES = {
                CASE WHEN title IS NOT NULL OR abstract IS NOT NULL
                     THEN coalesce(title, '') || ' ' || coalesce(abstract, '') END AS title_abstract,
                CASE WHEN doc_id % 4 > 0 THEN '[{{"author":{{"display_name":"Author ' || doc_id || '","id":"{U}A' ||
-                    (doc_id % 100) || '"}},"author_position":"first","is_corresponding":true}}]' END AS authorships,
+                    (doc_id % 100) || '"}},"author_position":"first","institutions":null,"is_corresponding":true,' ||
+                    '"raw_affiliation_string":null}}]' END AS authorships,
                CASE WHEN doc_id % 2 > 0 THEN '{{"volume":"' || doc_id || '","issue":"2"}}' END AS biblio,
                CAST(n_chars AS INTEGER) AS cited_by_count, '2024-01-01 00:00:00.000000' AS created_date,
                'https://doi.test/10.2/' || doc_id AS doi,
@@ -269,7 +270,7 @@ ORACLES = {
                                       AND {DAY} > '2024-01-15')""",
     "replace_upsert": f"""
         WITH fresh AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01'),
-        kept AS (SELECT * FROM orders o WHERE o_orderdate < TIMESTAMP '2000-01-01'
+        kept AS (SELECT * FROM orders o WHERE o_orderdate < TIMESTAMP '2001-06-01'
                  AND NOT EXISTS (SELECT 1 FROM fresh f WHERE f.o_custkey = o.o_custkey))
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {STAMP}) AS o_orderdate, o_orderpriority
         FROM (SELECT * FROM kept UNION ALL SELECT * FROM fresh)""",
@@ -281,7 +282,7 @@ ORACLES = {
     "lake_replace": """
         WITH again AS (SELECT o_orderkey, o_custkey + 1 AS o_custkey FROM orders
                        WHERE o_orderstatus = 'P' OR o_orderdate >= TIMESTAMP '2001-06-01'),
-        kept AS (SELECT o_orderkey, o_custkey FROM orders o WHERE o_orderdate < TIMESTAMP '2000-01-01'
+        kept AS (SELECT o_orderkey, o_custkey FROM orders o WHERE o_orderdate < TIMESTAMP '2001-06-01'
                  AND NOT EXISTS (SELECT 1 FROM again a WHERE a.o_orderkey = o.o_orderkey)),
         now AS (SELECT * FROM again UNION ALL SELECT * FROM kept)
         SELECT 'W' || o_orderkey AS work_a_id, 'W' || o_custkey AS work_b_id FROM now
@@ -291,7 +292,7 @@ ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_id DESC) = 1""",
     "drop_stale": f"""
         SELECT event_id, user_id AS id, strftime(ts, {STAMP}) AS updated_date, event_type FROM events s
-        WHERE event_type = 'signup' AND NOT EXISTS (
+        WHERE NOT EXISTS (
             SELECT 1 FROM events e WHERE e.event_type = 'error' AND e.user_id = s.user_id AND e.ts > s.ts)""",
     "stream_replace": f"""
         SELECT e.event_id, strftime(e.ts, {STAMP}) AS ts, e.user_id, e.event_type, e.value, e.props
@@ -345,9 +346,15 @@ ORACLES = {
         SELECT doc_id AS id FROM documents WHERE list_contains({TOKENS}, 'the')
           AND list_has_any({TOKENS}, ['licence', 'license'])""",
     "search_phrase": f"""
-        WITH {POSTINGS}
-        SELECT a.id, CAST(a.pos AS INTEGER) AS start FROM postings a JOIN postings b ON b.id = a.id AND b.pos = a.pos + 1
-        WHERE a.tok = 'of' AND b.tok = 'the'""",
+        WITH {POSTINGS}, a AS MATERIALIZED (SELECT * FROM postings WHERE tok = 'of'),
+        b AS MATERIALIZED (SELECT * FROM postings WHERE tok = 'the')
+        SELECT a.id, CAST(a.pos AS INTEGER) AS start FROM a JOIN b ON b.id = a.id AND b.pos = a.pos + 1""",
+    "search_phrase_gap": f"""
+        WITH {POSTINGS}, a AS MATERIALIZED (SELECT * FROM postings WHERE tok = 'under'),
+        b AS MATERIALIZED (SELECT * FROM postings WHERE tok IN ('mit', 'apache', 'licence')),
+        c AS MATERIALIZED (SELECT * FROM postings WHERE tok = 'license')
+        SELECT a.id, CAST(a.pos AS INTEGER) AS start FROM a JOIN b ON b.id = a.id AND b.pos = a.pos + 2
+        LEFT JOIN c ON c.id = a.id AND c.pos = a.pos + 3 WHERE b.tok = 'licence' OR c.id IS NOT NULL""",
     "search_bm25": f"""
         WITH {POSTINGS},
         lengths AS (SELECT doc_id AS id, len({TOKENS}) AS length FROM documents),

@@ -23,10 +23,8 @@ from scholar_lake.plans.nesting import table, url, words
 from scholar_lake.plans.update import exchange
 from scholar_lake.schemas import SEARCH_FIELDS, TABLES, TableSpec, record_ddl
 from scholar_lake.sinks.exports import read_csv, write_csv
-from scholar_lake.sinks.index import read_index, write_index
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.merged_ids import present_ids
-from scholar_lake.sources.splits import spread
 from scholar_lake.sources.snapshot import CORRUPT, pending_counts, read_entity
 from scholar_lake.sources.validation import mark, not_null_split
 from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
@@ -53,7 +51,12 @@ def plain(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _records(nest, spark: SparkSession, sf: str, source: str) -> DataFrame:
-    return nest(spread(table(spark, sf, source)))
+    return nest(_dealt(table(spark, sf, source)))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows by their first column: the tables come as one unsplittable file, which building nested records would keep on one core."""
+    return rows.repartition(rows.columns[0])
 
 
 def _events_day(events: DataFrame) -> DataFrame:
@@ -97,7 +100,7 @@ def merged_ids(spark: SparkSession, sf: str) -> DataFrame:
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Institution records with planted faults; every record with the rules it breaks."""
     key, kind, user = F.col("event_id"), F.col("event_type"), F.col("user_id")
-    lines = spread(table(spark, sf, "events")).select(key, kind, F.to_json(F.struct(
+    lines = _dealt(table(spark, sf, "events")).select(key, kind, F.to_json(F.struct(
         F.when(key % 10 > 0, url("I", key)).alias("id"),
         F.when(user % 6 == 0, "many").alias("cited_by_count"),
         F.when(kind == "signup", "education").when(kind == "click", "club").alias("type"),
@@ -151,7 +154,7 @@ def clean_list_strip_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def abstract_rebuild(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(table(spark, sf, "documents"))
+    docs = _dealt(table(spark, sf, "documents"))
     return docs.select("doc_id", blank_to_null(rebuild_abstract(build_index(words(F.col("text"))))).alias("abstract"))
 
 
@@ -193,7 +196,7 @@ def typed_load_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def tokenize_query(spark: SparkSession, sf: str) -> DataFrame:
     tokens = tokenize(F.col("text"))
-    return spread(table(spark, sf, "documents")).select("doc_id", F.size(tokens).alias("n_tokens"),
+    return table(spark, sf, "documents").select("doc_id", F.size(tokens).alias("n_tokens"),
                                                 F.array_join(tokens, " ").alias("tokens"))
 
 
@@ -285,8 +288,9 @@ def merged_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _old_and_new_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All orders, cut at one date."""
     orders = table(spark, sf, "orders")
-    return orders.where("o_orderdate < '2000-01-01'"), orders.where("o_orderdate >= '2001-06-01'")
+    return orders.where("o_orderdate < '2001-06-01'"), orders.where("o_orderdate >= '2001-06-01'")
 
 
 def replace_upsert(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,7 +318,7 @@ def lake_replace(spark: SparkSession, sf: str) -> DataFrame:
         records = nesting.order_works(part)
         changed = records.select(strip_id(F.col("id")).alias("id"))
         links = flatten.accept(flatten.works_references(records), spec.name, unique_records=True)
-        lake.commit(number, exchange(lake, number, [spec], {spec.name: links}, changed))
+        lake.commit(number, exchange(lake, [spec], {spec.name: links}, changed))
     return lake.read(spec)
 
 
@@ -323,11 +327,11 @@ def latest_wins_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drop_stale_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Sign-ups that are not older than the newest error of the same user."""
+    """Events that are not older than the newest error of the same user."""
     events = table(spark, sf, "events").select("event_id", F.col("user_id").alias("id"), F.col("ts").alias("updated_date"),
                                                "event_type")
     current = events.where("event_type = 'error'").groupBy("id").agg(F.max("updated_date").alias("updated_date"))
-    return plain(drop_stale(events.where("event_type = 'signup'"), current))
+    return plain(drop_stale(events, current))
 
 
 def stream_replace(spark: SparkSession, sf: str) -> DataFrame:
@@ -442,7 +446,7 @@ SYNONYMS = {"licence": ["license"]}
 
 
 def _search_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents")).select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
 
 
 def search_any(spark: SparkSession, sf: str) -> DataFrame:
@@ -456,11 +460,16 @@ def search_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_phrase(spark: SparkSession, sf: str) -> DataFrame:
-    """Every place of a phrase, against the stored index of the whole collection."""
-    path = work_dir(spark, "index")
-    write_index(_search_docs(spark, sf), path, "text")
-    index, _ = read_index(spark, path)
-    return search.match_phrase(index, analyze_query("Of the")).select("id", "start")
+    """Every place of a phrase."""
+    terms = analyze_query("Of the")
+    return search.match_phrase(search.postings(_search_docs(spark, sf), "text", terms=terms), terms).select("id", "start")
+
+
+def search_phrase_gap(spark: SparkSession, sf: str) -> DataFrame:
+    """A phrase with stop words inside and a synonym of several words: "under the M.I.T. license" or "under the apache license"."""
+    terms = analyze_query("under the licence", stop_words=("the", "is"), synonyms={"licence": ["MIT license", "Apache License"]})
+    index = search.postings(_search_docs(spark, sf), "text", stop_words=("the", "is"), terms=terms)
+    return search.match_phrase(index, terms).select("id", "start")
 
 
 def search_bm25(spark: SparkSession, sf: str) -> DataFrame:
@@ -470,11 +479,9 @@ def search_bm25(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_bm25_indexed(spark: SparkSession, sf: str) -> DataFrame:
-    """The same ranking from a stored index."""
-    path = work_dir(spark, "index")
-    write_index(_search_docs(spark, sf), path, "text")
-    index, lengths = read_index(spark, path)
-    best = search.bm25(index, lengths, analyze_query(QUERY, synonyms=SYNONYMS), k=100)
+    """The same ranking from postings and lengths."""
+    docs, terms = _search_docs(spark, sf), analyze_query(QUERY, synonyms=SYNONYMS)
+    best = search.bm25(search.postings(docs, "text", terms=terms), search.document_lengths(docs, "text"), terms, k=100)
     return best.select("id", F.round("score", 6).alias("score"))
 
 
@@ -558,6 +565,7 @@ QUERIES = {
     "search_any": search_any,
     "search_all": search_all,
     "search_phrase": search_phrase,
+    "search_phrase_gap": search_phrase_gap,
     "search_bm25": search_bm25,
     "search_bm25_indexed": search_bm25_indexed,
     "search_facets": search_facets,

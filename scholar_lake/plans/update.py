@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scholar_lake.config import Settings
 from scholar_lake.functions.abstracts import abstract_text
@@ -20,12 +20,12 @@ from scholar_lake.operators.flatten import flatten
 from scholar_lake.operators.merge import replace_rows
 from scholar_lake.operators.metrics import partition_metrics, unprocessed
 from scholar_lake.operators.search import search_documents
-from scholar_lake.operators.skew import skew_join
+from scholar_lake.operators.skew import heavy_keys, skew_join
 from scholar_lake.schemas import ENTITIES, SEARCH_TABLE, TABLES, TableSpec, tables_of
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.merged_ids import list_merge_files, read_merged_ids
 from scholar_lake.sources.snapshot import EPOCH, list_files, read_entity
-from scholar_lake.sources.validation import REASON, mark, split
+from scholar_lake.sources.validation import REASON, SEARCH_REASON, mark, split
 
 
 TABLES_AT_A_TIME = 4
@@ -36,6 +36,7 @@ class UpdateReport:
     """What a run did, per entity: the date it started from, the newest date it read, records and rejects."""
 
     commit: int
+    run: str
     since: dict[str, str] = field(default_factory=dict)
     watermark: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, dict[str, int]] = field(default_factory=dict)
@@ -46,13 +47,13 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
                entities: tuple[str, ...] = ENTITIES) -> UpdateReport:
     """Bring the lake up to date. ``override`` also reads files that an earlier run has finished.
 
-    Progress is kept per entity and per target, tables or search, so that skipping one of them now does not skip
-    these files for it later.
+    Progress is kept per entity and per target, tables or search, and apart for merge lists, so that skipping one of them now
+    does not skip these files for it later. The two targets accept different records.
     """
     lake = LakeTables(spark, settings.out, settings.buckets)
     marks = lake.watermarks()
     number = lake.next_commit()
-    report = UpdateReport(number)
+    report = UpdateReport(number, lake.run)
     written: dict[str, dict[int, bool]] = {}
     new_marks: dict[str, str] = {}
     read_files: list[DataFrame] = []
@@ -62,41 +63,65 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
         if not targets:
             continue
         since = settings.since or min(marks.get(target, EPOCH) for target in targets)
+        merge_targets = merge_progress(targets) if apply_deletes else []
         report.since[entity] = since
-        stage = f"{settings.out}/staging/{number}/{entity}"
+        stage = f"{settings.out}/staging/{lake.run}/{entity}"
         files = staged_files(list_files(spark, settings.root, entity, since), lake, targets, f"{stage}/files", override)
-        merges = staged_files(list_merge_files(spark, settings.root, entity, since), lake, targets,
-                              f"{stage}/merge_files", override) if apply_deletes else files.limit(0)
+        merges = pending_merges(spark, settings, lake, entity, merge_targets, f"{stage}/merge_files", override)
         if files.isEmpty() and merges.isEmpty():
             report.metrics[entity] = {"records": 0, "rejects": 0}
             continue
-        report.metrics[entity], marked = stage_records(
+        deleted = read_merged_ids(spark, settings.root, entity, EPOCH, paths(merges))
+        report.metrics[entity], staged = stage_records(
             read_entity(spark, settings.root, entity, since, provenance=True, files=paths(files)),
-            entity, f"{stage}/records")
-        good, bad = split(marked)
-        if report.metrics[entity]["rejects"]:
-            bad.write.mode("overwrite").parquet(f"{settings.out}/quarantine/{number}/{entity}")
-        records = newest_records(good, f"{stage}/newest")
-        deleted = read_merged_ids(spark, settings.root, entity, since, paths(merges))
-        new_tables: dict[str, DataFrame] = flatten(records, entity) if tables else {}
-        specs = tables_of(entity) if tables else []
+            entity, f"{stage}/records", REASON if tables else SEARCH_REASON)
+        set_aside(staged, [REASON] * tables + [SEARCH_REASON] * (f"{entity} search" in targets),
+                  f"{settings.out}/quarantine/{number}/{entity}")
+        if tables:
+            records = newest_records(split(staged)[0], f"{stage}/newest")
+            written.update(exchange(lake, tables_of(entity), flatten(records, entity), record_ids(records), deleted))
         if f"{entity} search" in targets:
-            new_tables[SEARCH_TABLE.name] = search_documents(records)
-            specs = [*specs, SEARCH_TABLE]
-        written.update(exchange(lake, number, specs, new_tables, record_ids(records), deleted))
+            records = newest_records(split(staged, SEARCH_REASON)[0], f"{stage}/newest_search")
+            written.update(exchange(lake, [SEARCH_TABLE], {SEARCH_TABLE.name: search_documents(records)}, record_ids(records), deleted))
 
         newest = files.agg(F.max("partition_date")).first()[0]
         if newest:
             report.watermark[entity] = newest
-            new_marks.update(dict.fromkeys(targets, newest))
-        read_files.append(files.unionByName(merges).select(
-            F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"), "file_path"))
+            new_marks.update(dict.fromkeys([*targets, *merge_targets], newest))
+        read_files += [for_targets(files, targets), *([for_targets(merges, merge_targets)] if merge_targets else [])]
 
     if read_files:
         lake.commit(number, written, reduce(DataFrame.unionByName, read_files), new_marks)
     return report
 
 
+def merge_progress(targets: list[str]) -> list[str]:
+    """Names under which the merge lists applied to the targets are kept."""
+    return [f"{target} merges" for target in targets]
+
+
+def pending_merges(spark: SparkSession, settings: Settings, lake: LakeTables, entity: str, merge_targets: list[str], path: str,
+                   override: bool = False) -> DataFrame:
+    """Merge lists not yet applied to all of the targets. Lists up to the date that an applying run has read are done with; those that came
+    while deletes were not applied are not."""
+    marks = lake.watermarks()
+    since = settings.since or min((marks.get(target, EPOCH) for target in merge_targets), default=EPOCH)
+    found = list_merge_files(spark, settings.root, entity, since)
+    return staged_files(found if merge_targets else found.limit(0), lake, merge_targets, path, override)
+
+
+def for_targets(files: DataFrame, targets: list[str]) -> DataFrame:
+    return files.select(F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"), "file_path")
+
+
+def set_aside(staged: DataFrame, reasons: list[str], path: str) -> None:
+    """Write the records that any of the targets rejects, with the reasons."""
+    rejected = reduce(Column.__or__, [F.col(reason) != "" for reason in reasons], F.lit(False))
+    bad = staged.where(rejected)
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").parquet(path)
+
+
 def staged_files(files: DataFrame, lake: LakeTables, targets: list[str], path: str, override: bool) -> DataFrame:
     """The files this run reads, written down first, so that one that arrives meanwhile waits for the next run.
 
@@ -118,8 +143,8 @@ def record_ids(records: DataFrame) -> DataFrame:
     return records.select(strip_id(F.col("id")).alias("id"))
 
 
-def stage_records(records: DataFrame, entity: str, path: str) -> tuple[dict[str, int], DataFrame]:
-    """Parse, mark and write records; gives the counts and the staged rows.
+def stage_records(records: DataFrame, entity: str, path: str, reason: str = REASON) -> tuple[dict[str, int], DataFrame]:
+    """Parse, mark and write records; gives the counts by the rules of one target and the staged rows.
 
     One pass over the JSON for all tables. The marks need the whole record, so no column is pruned from the parse; the counts
     read one staged column.
@@ -127,7 +152,7 @@ def stage_records(records: DataFrame, entity: str, path: str) -> tuple[dict[str,
     marked = mark(records, entity)
     marked.write.mode("overwrite").parquet(path)
     staged = records.sparkSession.read.schema(marked.schema).parquet(path)
-    counts = staged.agg(F.count("*").alias("records"), F.count(F.when(F.col(REASON) != "", 1)).alias("rejects")).first()
+    counts = staged.agg(F.count("*").alias("records"), F.count(F.when(F.col(reason) != "", 1)).alias("rejects")).first()
     return counts.asDict(), staged
 
 
@@ -142,16 +167,17 @@ def newest_records(good: DataFrame, path: str) -> DataFrame:
         return good
     keyed = good.withColumn("_key", strip_id(F.col("id")))
     twice = repeated.withColumnRenamed("id", "_key")
+    heavy = heavy_keys(keyed, "_key")
     newest = latest_wins(
-        skew_join(keyed, twice, "_key", "left_semi"), ["_key"],
+        skew_join(keyed, twice, "_key", "left_semi", heavy), ["_key"],
         [F.col("updated_date").try_cast("timestamp_ntz").desc_nulls_last(), F.desc("partition_date"),
          F.desc("file_path"), F.desc(F.xxhash64(F.to_json(F.struct(*[c for c in good.columns]))))])
-    kept = skew_join(keyed, twice, "_key", "left_anti").unionByName(newest).drop("_key")
+    kept = skew_join(keyed, twice, "_key", "left_anti", heavy).unionByName(newest).drop("_key")
     kept.write.mode("overwrite").parquet(path)
     return good.sparkSession.read.schema(kept.schema).parquet(path)
 
 
-def exchange(lake: LakeTables, number: int, specs: list[TableSpec], new_tables: dict[str, DataFrame],
+def exchange(lake: LakeTables, specs: list[TableSpec], new_tables: dict[str, DataFrame],
              changed: DataFrame, deleted: DataFrame | None = None) -> dict[str, dict[int, bool]]:
     """Replace the changed records' rows in every table, touching only the buckets of changed or deleted ids."""
     if not specs:
@@ -163,16 +189,16 @@ def exchange(lake: LakeTables, number: int, specs: list[TableSpec], new_tables:
     def write(spec: TableSpec) -> dict[int, bool]:
         rows = replace_rows(lake.read(spec, buckets), new_tables[spec.name], spec.owner, changed, deleted,
                             hot_owners=spec.is_link)
-        return lake.write(number, spec, rows, buckets)
+        return lake.write(spec, rows, buckets)
 
     # the tables do not depend on each other, so their jobs share the cluster
     with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
         return dict(zip([spec.name for spec in specs], pool.map(write, specs)))
 
 
-def partition_report(spark: SparkSession, settings: Settings, number: int) -> DataFrame:
+def partition_report(spark: SparkSession, settings: Settings, run: str) -> DataFrame:
     """Works, and works with a usable abstract, per input file of a run, from its staged records."""
-    staged = spark.read.parquet(f"{settings.out}/staging/{number}/work/records").where(F.col(REASON) == "")
+    staged = spark.read.parquet(f"{settings.out}/staging/{run}/work/records").where(F.col(REASON) == "")
     return partition_metrics(staged.select(
         "partition_label", abstract_text(F.col("abstract_inverted_index")).alias("abstract")))
 

@@ -169,6 +169,7 @@ ENUMERATIONS: dict[str, dict[str, tuple[str, ...]]] = {
     "work": {
         "open_access.oa_status": ("gold", "green", "hybrid", "bronze", "closed"),
         "locations[].source.type": ("journal", "repository", "conference", "ebook platform", "book series", "other"),
+        "primary_location.source.type": ("journal", "repository", "conference", "ebook platform", "book series", "other"),
     },
 }
 

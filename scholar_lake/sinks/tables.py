@@ -1,18 +1,21 @@
 """The lake's tables: Parquet in buckets of the owner id, exchanged bucket by bucket.
 
-``<out>/tables/<table>/commit=<n>/bucket=<b>/*.parquet`` holds a bucket as written by run n, and ``<out>/commits`` one row per
-bucket written. A run writes new folders only, reads none of them, and becomes visible with one small Parquet write
+``<out>/tables/<table>/run=<id>/bucket=<b>/*.parquet`` holds a bucket as written by a run, and ``<out>/commits`` one row per
+bucket written, with that id, which no other run shares. A run writes new folders only, reads none of them, and becomes visible with one small Parquet write
 to ``commits`` that covers all tables, the watermark and the input files together: a run that dies half way leaves
 the lake as it was. Buckets that no changed or deleted id falls into are not read or written.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scholar_lake.schemas import LOOKUP_COLUMNS, TableSpec
 
+DEFAULT_BUCKETS = 64
 COMMIT_DDL = "commit bigint, kind string, name string, bucket int, value string"
 
 
@@ -21,11 +24,19 @@ def bucket_of(owner: Column, buckets: int) -> Column:
 
 
 class LakeTables:
-    """Tables below one folder. ``buckets`` bounds the path lists and bucket lists that pass through the driver."""
+    """Tables below one folder.
+
+    ``buckets`` bounds the path lists and bucket lists that pass through the driver. The first commit writes the number down, and it holds
+    from then on: another one is refused, as rows would be looked for in the wrong buckets.
+    """
 
-    def __init__(self, spark: SparkSession, out: str, buckets: int = 64):
-        self.spark, self.out, self.buckets = spark, out.rstrip("/"), buckets
-        self._state: dict[str, dict[int, tuple[int, bool]]] | None = None
+    def __init__(self, spark: SparkSession, out: str, buckets: int | None = None):
+        self.spark, self.out, self.run = spark, out.rstrip("/"), uuid.uuid4().hex
+        self._state: dict[str, dict[int, str]] | None = None
+        stored = self.log().where(F.col("kind") == "buckets").agg(F.min("bucket")).first()[0]
+        if stored and buckets and stored != buckets:
+            raise ValueError(f"{self.out} has {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or DEFAULT_BUCKETS
 
     # -- the commit log -------------------------------------------------------------------------------------------
 
@@ -62,8 +73,9 @@ class LakeTables:
         ``written`` says for each table and bucket whether any row is left in it; ``files`` (``target, file_path``) and
         ``watermarks`` what was read for which target.
         """
-        rows = [(number, "bucket", table, bucket, "full" if full else "empty")
+        rows = [(number, "bucket", table, bucket, self.run if full else "")
                 for table, states in written.items() for bucket, full in states.items()]
+        rows.append((number, "buckets", None, self.buckets, None))
         rows += [(number, "watermark", target, None, date) for target, date in (watermarks or {}).items()]
         rows += [(number, "label", None, None, label)] if label else []
         entries = self.spark.createDataFrame(rows, COMMIT_DDL)
@@ -72,12 +84,12 @@ class LakeTables:
                 F.lit(number).cast("bigint").alias("commit"), F.lit("file").alias("kind"), F.col("target").alias("name"),
                 F.lit(None).cast("int").alias("bucket"), F.col("file_path").alias("value")))
         entries.coalesce(1).write.mode("append").parquet(f"{self.out}/commits")
-        self._state = None
+        self._state, self.run = None, uuid.uuid4().hex
 
     # -- reading --------------------------------------------------------------------------------------------------
 
-    def _newest(self) -> dict[str, dict[int, tuple[int, bool]]]:
-        """For each table and bucket the commit it was last written by and whether it holds rows.
+    def _newest(self) -> dict[str, dict[int, str]]:
+        """For each table and bucket the run whose rows it holds; '' if it is empty.
 
         Read once and kept until the next commit: at most tables x buckets entries.
         """
@@ -86,15 +98,14 @@ class LakeTables:
                     .agg(F.max(F.struct("commit", "value")).alias("last")).collect())
             self._state = {}
             for row in rows:
-                self._state.setdefault(row["name"], {})[row["bucket"]] = (
-                    row["last"]["commit"], row["last"]["value"] == "full")
+                self._state.setdefault(row["name"], {})[row["bucket"]] = row["last"]["value"]
         return self._state
 
     def live_paths(self, table: str, buckets: list[int] | None = None) -> list[str]:
         """Folders that hold the current rows of a table, or of some of its buckets."""
-        return [f"{self.out}/tables/{table}/commit={number}/bucket={bucket}"
-                for bucket, (number, full) in sorted(self._newest().get(table, {}).items())
-                if full and (buckets is None or bucket in buckets)]
+        return [f"{self.out}/tables/{table}/run={run}/bucket={bucket}"
+                for bucket, run in sorted(self._newest().get(table, {}).items())
+                if run and (buckets is None or bucket in buckets)]
 
     def read(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
         """Current rows of a table, or of some of its buckets."""
@@ -110,15 +121,15 @@ class LakeTables:
         rows = ids.select(bucket_of(F.col("id"), self.buckets).alias("b")).distinct().collect()
         return sorted(row["b"] for row in rows)
 
-    def write(self, number: int, spec: TableSpec, rows: DataFrame, buckets: list[int]) -> dict[int, bool]:
-        """Write the new content of some buckets under a run's number; tells which of them hold rows.
+    def write(self, spec: TableSpec, rows: DataFrame, buckets: list[int]) -> dict[int, bool]:
+        """Write the new content of some buckets into this run's folder; tells which of them hold rows.
 
         The rebalance hint gathers each bucket into files of the advisory size and splits a bucket that is far larger
         than the rest over several tasks. Rows are sorted by owner so that row-group statistics serve id lookups;
         bloom filters serve DOIs of works and authors of authorships.
         """
         placed = rows.withColumn("bucket", bucket_of(F.col(spec.owner), self.buckets))
-        path = f"{self.out}/tables/{spec.name}/commit={number}"
+        path = f"{self.out}/tables/{spec.name}/run={self.run}"
         writer = (placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
                   .write.mode("overwrite").partitionBy("bucket"))
         for column in LOOKUP_COLUMNS.get(spec.name, ()):
@@ -132,3 +143,21 @@ class LakeTables:
         """Empty the tables."""
         everything = {bucket: False for bucket in range(self.buckets)}
         self.commit(self.next_commit(), {spec.name: everything for spec in specs})
+
+    def remove_superseded(self) -> list[str]:
+        """Delete the folders of tables that no current bucket is read from, and all staged records; returns the deleted paths.
+
+        Only for a time when no run is under way and no reader holds an older state.
+        """
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        live = {path for table in self._newest() for path in self.live_paths(table)}
+        files = hadoop(self.out).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone = []
+        for status in files.globStatus(hadoop(f"{self.out}/tables/*/run=*/bucket=*")) or []:
+            path = status.getPath()
+            if not any(path.toUri().getPath().endswith(kept[len(self.out):]) for kept in live):
+                gone.append(path)
+        gone += [status.getPath() for status in files.globStatus(hadoop(f"{self.out}/staging/*")) or []]
+        for path in gone:
+            files.delete(path, True)
+        return [path.toString() for path in gone]

@@ -10,6 +10,8 @@ from scholar_lake.schemas import ENUMERATIONS, REQUIRED
 from scholar_lake.sources.snapshot import CORRUPT
 
 REASON = "reject_reason"
+#: Why a record cannot become a search document. The search form asks for an id and well-typed fields only.
+SEARCH_REASON = "search_reject_reason"
 
 
 def violates(path: str, fails) -> Column:
@@ -34,29 +36,39 @@ def _field(element: Column, inner: str) -> Column:
     return element
 
 
-def reject_reasons(entity: str, columns: list[str]) -> Column:
-    """Names of the rules a record breaks, joined by commas; '' for a good record."""
+def basic_rules(columns: list[str]) -> dict[str, Column]:
+    """What every target asks of a record."""
     rules = {"missing id": strip_id(F.col("id")).isNull() | (strip_id(F.col("id")) == "")}
     if CORRUPT in columns:
         rules = {"malformed": F.col(CORRUPT).isNotNull(), **rules}
     for name in ("created_date", "updated_date"):
         rules[f"unparsable {name}"] = unparsable(F.nullif(F.col(name), F.lit("")), "timestamp_ntz")
+    return rules
+
+
+def broken(rules: dict[str, Column]) -> Column:
+    return F.array_join(F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()])), ",")
+
+
+def reject_reasons(entity: str, columns: list[str]) -> Column:
+    """Names of the tables' rules that a record breaks, joined by commas; '' for a good record."""
+    rules = basic_rules(columns)
     for path in REQUIRED[entity]:
         rules[f"missing {path}"] = violates(path, lambda v: v.isNull())
     for path, allowed in ENUMERATIONS.get(entity, {}).items():
         rules[f"unknown {path}"] = violates(path, lambda v, allowed=allowed: ~v.isin(*allowed))
-    return F.array_join(F.array_compact(F.array(*[
-        F.when(test, F.lit(name)) for name, test in rules.items()])), ",")
+    return broken(rules)
 
 
 def mark(records: DataFrame, entity: str) -> DataFrame:
-    """Add ``reject_reason``."""
-    return records.withColumn(REASON, reject_reasons(entity, records.columns))
+    """Add ``reject_reason``, and for works ``search_reject_reason``."""
+    marked = records.withColumn(REASON, reject_reasons(entity, records.columns))
+    return marked.withColumn(SEARCH_REASON, broken(basic_rules(records.columns))) if entity == "work" else marked
 
 
-def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good, quarantine)`` of marked records."""
-    return (marked.where(F.col(REASON) == "").drop(REASON, CORRUPT), marked.where(F.col(REASON) != ""))
+def split(marked: DataFrame, reason: str = REASON) -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)`` of marked records, by the rules of one target."""
+    return (marked.where(F.col(reason) == "").drop(REASON, SEARCH_REASON, CORRUPT), marked.where(F.col(reason) != ""))
 
 
 def not_null_split(rows: DataFrame, columns: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:

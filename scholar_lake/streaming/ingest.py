@@ -13,11 +13,13 @@ from scholar_lake.operators.dedup import latest_wins
 from scholar_lake.operators.flatten import flatten
 from scholar_lake.operators.merge import drop_stale
 from scholar_lake.operators.search import search_documents
-from scholar_lake.plans.update import exchange, newest_records, record_ids, stage_records
+from scholar_lake.plans.update import (exchange, for_targets, merge_progress, newest_records, paths, pending_merges, record_ids, set_aside,
+                                       stage_records)
 from scholar_lake.schemas import SEARCH_TABLE, TableSpec, record_ddl, tables_of
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.snapshot import CORRUPT, entity_path, folder_name
-from scholar_lake.sources.validation import split
+from scholar_lake.sources.merged_ids import read_merged_ids
+from scholar_lake.sources.validation import REASON, SEARCH_REASON, split
 
 
 def read_entity_stream(spark: SparkSession, root: str, entity: str, files_per_batch: int = 1000) -> DataFrame:
@@ -39,55 +41,75 @@ def run_to_completion(stream: DataFrame, apply: Callable[[DataFrame, int], None]
     return query
 
 
+def batch_label(spark: SparkSession, name: str, checkpoint: str, batch_id: int) -> str:
+    """Name of a batch that no other checkpoint shares: batch numbers start again with a new one, the query's id does not."""
+    query = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+    return f"{name} query {query} batch {batch_id}"
+
+
+def apply_merges(spark: SparkSession, settings: Settings, entity: str, specs: list[TableSpec]) -> None:
+    """Delete the ids of merge lists that neither a stream nor an update run has applied yet.
+
+    Comes before the batches, so that a record delivered again after its merge stays, as in an update run.
+    """
+    lake = LakeTables(spark, settings.out, settings.buckets)
+    targets = merge_progress([f"{entity} tables"] + ([f"{entity} search"] if SEARCH_TABLE in specs else []))
+    merges = pending_merges(spark, settings, lake, entity, targets, f"{settings.out}/staging/{lake.run}/{entity}/merge_files")
+    if merges.isEmpty():
+        return
+    deleted = read_merged_ids(spark, settings.root, entity, files=paths(merges))
+    nothing = {spec.name: spark.createDataFrame([], spec.ddl) for spec in specs}
+    lake.commit(lake.next_commit(), exchange(lake, specs, nothing, deleted), for_targets(merges, targets))
+
+
 def stream_update(spark: SparkSession, settings: Settings, entity: str, files_per_batch: int = 1000) -> None:
-    """Bring one entity's tables up to date from the files its checkpoint has not seen."""
+    """Bring one entity's tables up to date from the files its checkpoint has not seen and the merge lists not yet applied."""
     lake = LakeTables(spark, settings.out, settings.buckets)
+    checkpoint = f"{settings.out}/checkpoints/{entity}"
     specs = tables_of(entity) + ([SEARCH_TABLE] if entity == "work" else [])
+    apply_merges(spark, settings, entity, specs)
 
-    def not_stale(records: DataFrame) -> DataFrame:
+    def not_stale(records: DataFrame, spec: TableSpec) -> DataFrame:
         # files may arrive in any order, so what the lake already has newer stays
-        current = lake.read(specs[0], lake.touched(record_ids(records)))
+        current = lake.read(spec, lake.touched(record_ids(records)))
         versions = records.withColumns({"_record": F.struct(*records.columns), "id": strip_id(F.col("id")),
                                         "updated_date": F.col("updated_date").try_cast("timestamp_ntz")})
         return drop_stale(versions.select("_record", "id", "updated_date"), current).select("_record.*")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        label = f"{entity} batch {batch_id}"
+        label = batch_label(spark, entity, checkpoint, batch_id)
         if lake.done(label):
             return
-        number = lake.next_commit()
-        stage = f"{settings.out}/staging/{number}/{entity}"
-        counts, marked = stage_records(batch, entity, f"{stage}/records")
-        good, bad = split(marked)
-        if counts["rejects"]:
-            bad.write.mode("overwrite").parquet(f"{settings.out}/quarantine/{number}/{entity}")
-        records = not_stale(newest_records(good, f"{stage}/newest"))
-        new_tables = flatten(records, entity)
+        number, stage = lake.next_commit(), f"{settings.out}/staging/{lake.run}/{entity}"
+        _, staged = stage_records(batch, entity, f"{stage}/records")
+        set_aside(staged, [REASON] + [SEARCH_REASON] * (entity == "work"), f"{settings.out}/quarantine/{number}/{entity}")
+        records = not_stale(newest_records(split(staged)[0], f"{stage}/newest"), specs[0])
+        written = exchange(lake, tables_of(entity), flatten(records, entity), record_ids(records))
         if entity == "work":
-            new_tables[SEARCH_TABLE.name] = search_documents(records)
-        lake.commit(number, exchange(lake, number, specs, new_tables, record_ids(records)), label=label)
+            found = not_stale(newest_records(split(staged, SEARCH_REASON)[0], f"{stage}/newest_search"), SEARCH_TABLE)
+            written |= exchange(lake, [SEARCH_TABLE], {SEARCH_TABLE.name: search_documents(found)}, record_ids(found))
+        lake.commit(number, written, label=label)
 
-    run_to_completion(read_entity_stream(spark, settings.root, entity, files_per_batch), apply,
-                      f"{settings.out}/checkpoints/{entity}")
+    run_to_completion(read_entity_stream(spark, settings.root, entity, files_per_batch), apply, checkpoint)
 
 
 def stream_replace(stream: DataFrame, spec: TableSpec, out: str, checkpoint: str, order: list[Column],
-                   buckets: int = 64) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Keep the newest row of each key of a stream in one table; returns the table when the stream has been read."""
     lake = LakeTables(stream.sparkSession, out, buckets)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        label = f"{spec.name} batch {batch_id}"
+        label = batch_label(lake.spark, spec.name, checkpoint, batch_id)
         if lake.done(label):
             return
         number = lake.next_commit()
-        staged = f"{out}/staging/{number}/{spec.name}"
+        staged = f"{out}/staging/{lake.run}/{spec.name}"
         # one read of the batch; an older row arriving late must not win, so the stored rows compete
         batch.write.mode("overwrite").parquet(staged)
         fresh = batch.sparkSession.read.schema(batch.schema).parquet(staged)
         touched = lake.touched(fresh.select(F.col(spec.owner).cast("string").alias("id")))
         rows = latest_wins(lake.read(spec, touched).unionByName(fresh.select(*spec.columns)), list(spec.key), order)
-        lake.commit(number, {spec.name: lake.write(number, spec, rows, touched)}, label=label)
+        lake.commit(number, {spec.name: lake.write(spec, rows, touched)}, label=label)
 
     run_to_completion(stream, apply, checkpoint)
     return lake.read(spec)

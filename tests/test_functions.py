@@ -8,7 +8,7 @@ from scholar_lake.functions.casting import empty_as_null, typed_load
 from scholar_lake.functions.documents import apc_value, biblio_json, grants_json, is_primary, title_abstract
 from scholar_lake.functions.ids import partition_label, strip_id
 from scholar_lake.functions.lists import clean_list, list_literal, society_names, unique_items
-from scholar_lake.functions.text import analyze_query, drop_stop_words, has_all, has_any, tokenize
+from scholar_lake.functions.text import analyze_query, drop_stop_words, has_any, tokenize
 
 P = "https://scholar.test/"
 
@@ -138,11 +138,11 @@ def test_tokens_and_queries(spark):
     text = ["The Quick-brown FOX, école 42!", None]
     assert values(spark, text, "string", tokenize) == [["the", "quick", "brown", "fox", "école", "42"], None]
     assert values(spark, text, "string", lambda c: drop_stop_words(tokenize(c), ["The"]))[0][0] == "quick"
-    terms = analyze_query("The FOX École", stop_words=["the"], synonyms={"fox": ["Vixen"]})
-    assert terms == [("fox", "vixen"), ("école",)]
-    assert values(spark, text[:1], "string", lambda c: has_all(tokenize(c), terms)) == [True]
-    assert values(spark, text[:1], "string", lambda c: has_all(tokenize(c), [("fox",), ("dog",)])) == [False]
-    assert values(spark, text[:1], "string", lambda c: has_any(tokenize(c), [("cat",), ("dog", "42")])) == [True]
+    terms = analyze_query("The FOX École", stop_words=["the"], synonyms={"fox": ["Vixen", "red the dog"]})
+    assert [(t.offset, t.width, [(f.width, f.words) for f in t.forms]) for t in terms] == [
+        (1, 1, [(1, ((0, "fox"),)), (1, ((0, "vixen"),)), (3, ((0, "red"), (2, "dog")))]), (2, 1, [(1, ((0, "école"),))])]
+    for query, found in (("cat dog", False), ("cat 42", True), ("quick", True)):
+        assert values(spark, text[:1], "string", lambda c: has_any(tokenize(c), analyze_query(query))) == [found]
 
 
 def test_empty_as_null_and_typed_load(spark):

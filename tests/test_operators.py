@@ -2,13 +2,13 @@ import random
 
 from pyspark.sql import functions as F
 
-from scholar_lake.functions.text import analyze_query
+from conftest import SF
+from scholar_lake.functions.text import analyze_query, has_any, tokenize
 from scholar_lake.operators import lookups, search
 from scholar_lake.operators.dedup import latest_wins, unique_links
 from scholar_lake.operators.merge import delete_by_key, drop_stale, replace_rows
 from scholar_lake.operators.metrics import unprocessed
 from scholar_lake.operators.skew import heavy_keys, skew_join
-from scholar_lake.sinks.index import read_index, write_index
 
 
 def rows(df):
@@ -21,24 +21,33 @@ def hot_fact(spark):
         F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 500).cast("long").alias("k"), F.col("id").alias("v"))
 
 
+def uneven(spark):
+    """Key 7 holds half of the rows, key 8 one in two hundred, the others one each."""
+    return spark.range(20000).select(F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 200 == 1, 8).otherwise(F.col("id") + 10)
+                                     .cast("long").alias("k"), F.col("id").alias("v"))
+
+
 def test_heavy_keys(spark):
-    assert heavy_keys(hot_fact(spark), "k", 0.1) == [7]
-    assert heavy_keys(spark.range(10000).withColumnRenamed("id", "k"), "k", 0.1) == []
-    assert heavy_keys(spark.createDataFrame([], "k long"), "k") == []
+    assert rows(heavy_keys(hot_fact(spark), "k", 16)) == [(7, 9)]
+    assert rows(heavy_keys(uneven(spark), "k", 16)) == [(7, 8)]
+    assert rows(heavy_keys(uneven(spark), "k", 1000)) == [(7, 500), (8, 5)]
+    assert rows(heavy_keys(spark.range(10000).withColumnRenamed("id", "k"), "k", 16)) == []
+    assert rows(heavy_keys(spark.createDataFrame([], "k long"), "k")) == []
+    assert rows(heavy_keys(spark.createDataFrame([(None,), (None,)], "k string"), "k")) == []
 
 
 def test_skew_join_equals_plain_join(spark):
-    fact = hot_fact(spark)
     dim = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 3).alias("name"))
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        assert rows(skew_join(fact, dim, "k", how, share=0.1, salts=8)) == rows(fact.join(dim, "k", how))
+    for fact, tasks in ((hot_fact(spark), 16), (uneven(spark), 1000)):
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            assert rows(skew_join(fact, dim, "k", how, tasks=tasks)) == rows(fact.join(dim, "k", how))
 
 
 def test_skew_join_keeps_null_keys_of_an_outer_join(spark):
     fact = hot_fact(spark).withColumn("k", F.when(F.col("v") % 5 > 0, F.col("k")))
     dim = spark.range(0, 400).select(F.col("id").alias("k"))
     for how in ("left", "left_anti"):
-        assert skew_join(fact, dim, "k", how, share=0.1).count() == fact.join(dim, "k", how).count()
+        assert skew_join(fact, dim, "k", how, tasks=16).count() == fact.join(dim, "k", how).count()
 
 
 def test_latest_wins_limits_before_the_shuffle(spark):
@@ -98,34 +107,47 @@ def collection(spark, n=60):
     return texts, spark.createDataFrame(texts + [(n, None)], "id long, text string")
 
 
-def test_search_against_brute_force(spark, tmp_path):
+def test_search_against_brute_force(spark):
     texts, docs = collection(spark)
-    write_index(docs, str(tmp_path / "index"), "text", partitions=3)
-    stored, lengths = read_index(spark, str(tmp_path / "index"))
-    direct = search.postings(docs, "text")
-    assert rows(stored.select("token", "id", "pos")) == rows(direct)
-    for index in (stored, direct):
-        any_of = analyze_query("question that")
-        assert [r[0] for r in rows(search.match_any(index, any_of))] == [
-            i for i, t in texts if {"question", "that"} & set(t.split())]
-        every = analyze_query("to question the to")
-        assert [r[0] for r in rows(search.match_all(index, every))] == [
-            i for i, t in texts if {"to", "question", "the"} <= set(t.split())]
-        phrase = "to be to".split()
-        want = [(i, s) for i, t in texts for s in range(len(t.split())) if t.split()[s:s + 3] == phrase]
-        assert want and rows(search.match_phrase(index, analyze_query("to be to"))) == want
-    terms = analyze_query("question not")
-    by_index = [tuple(r) for r in search.bm25(stored, lengths, terms, k=10).collect()]
-    by_scan = [tuple(r) for r in search.bm25_scan(docs, "text", terms, k=10).collect()]
-    assert [i for i, _ in by_index] == [i for i, _ in by_scan]
-    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(by_index, by_scan))
+    index, lengths = search.postings(docs, "text"), search.document_lengths(docs, "text")
+    any_of = analyze_query("question that")
+    assert [r[0] for r in rows(search.match_any(index, any_of))] == [
+        i for i, t in texts if {"question", "that"} & set(t.split())]
+    every = analyze_query("to question the to")
+    assert [r[0] for r in rows(search.match_all(index, every))] == [
+        i for i, t in texts if {"to", "question", "the"} <= set(t.split())]
+    phrase = "to be to".split()
+    want = [(i, s) for i, t in texts for s in range(len(t.split())) if t.split()[s:s + 3] == phrase]
+    assert want and rows(search.match_phrase(index, analyze_query("to be to"))) == want
+    for synonyms in ({}, {"question": ["to be", "that is the"]}):
+        terms = analyze_query("question not", synonyms=synonyms)
+        by_index = [tuple(r) for r in search.bm25(index, lengths, terms, k=10).collect()]
+        by_scan = [tuple(r) for r in search.bm25_scan(docs, "text", terms, k=10).collect()]
+        assert [i for i, _ in by_index] == [i for i, _ in by_scan]
+        assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(by_index, by_scan))
+
+
+def test_scan_ranking_reads_the_texts_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    best = search.bm25_scan(docs, "text", analyze_query("token"), id="doc_id")
+    best.collect()
+    assert "ReusedExchange" in best._jdf.queryExecution().executedPlan().toString()
 
 
 def test_phrase_with_synonyms_and_stop_word_gap(spark):
-    docs = spark.createDataFrame([(1, "the red car"), (2, "a red the car"), (3, "red auto")], "id long, text string")
+    docs = spark.createDataFrame([(1, "the red car"), (2, "a red the car"), (3, "red auto"), (4, "red motor the vehicle"), (5, "red motor vehicle")],
+                                 "id long, text string")
     index = search.postings(docs, "text", stop_words=("the", "a"))
     terms = analyze_query("red car", synonyms={"car": ["auto"]})
     assert rows(search.match_phrase(index, terms)) == [(1, 1), (3, 0)]
+    gap = analyze_query("red the car", stop_words=("the", "a"))
+    assert rows(search.match_phrase(index, gap)) == [(2, 1)]
+    wide = analyze_query("red the car", stop_words=("the",), synonyms={"the car": ["motor vehicle", "motor the vehicle"]})
+    assert rows(search.match_phrase(index, wide)) == [(2, 1), (4, 0), (5, 0)]
+    said = analyze_query("motor vehicle car", synonyms={"Motor Vehicle": ["the auto"]}, stop_words=("the",))
+    assert rows(search.match_any(index, said)) == [(1,), (2,), (3,), (5,)]
+    assert rows(docs.where(has_any(tokenize(F.col("text")), said)).select("id")) == [(1,), (2,), (3,), (5,)]
+    assert rows(search.match_all(index, analyze_query("red vehicles", synonyms={"vehicles": ["motor vehicle"]}))) == [(5,)]
 
 
 def test_empty_query_matches_nothing(spark):

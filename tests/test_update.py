@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import shutil
 from dataclasses import replace
 
 import pytest
@@ -133,16 +134,21 @@ def test_first_run(spark, world):
     assert docs["W1"]["title_abstract"] == 'title 1 a," b\n a,"' and docs["W3"]["title_abstract"] is None
     assert docs["W4"]["title_abstract"] == "title 4 " and docs["W1"]["publication_date"] == datetime.date(2022, 2, 2)
     assert json.loads(docs["W1"]["locations"])[1] == {"is_primary": False, "version": "v"}
-    assert json.loads(docs["W1"]["authorships"])[1]["author"] == {"display_name": "x"}
+    assert json.loads(docs["W1"]["authorships"])[1] == {
+        "author": {"display_name": "x"}, "author_position": "first", "institutions": [{"id": f"{P}I1"}], "is_corresponding": None,
+        "raw_affiliation_string": None}
+    assert set(docs) == {"W1", "W2", "W3", "W4", "W5", "W6", "W8"}     # the tables' own rules do not hold for search
     assert docs["W1"]["biblio"] == '{"volume":"7"}'
 
+    set_aside = spark.read.parquet(f"{settings.out}/quarantine/1/work")
+    assert {r["id"][-2:] for r in set_aside.where("search_reject_reason = ''").collect()} == {"W5", "W6", "W8"}
     reasons = {(r["id"] or "")[-3:]: r["reject_reason"]
                for r in spark.read.parquet(f"{settings.out}/quarantine/1/work").collect()}
     assert reasons["/W5"] == "missing concepts[].score" and reasons["/W6"] == "unknown open_access.oa_status"
     assert reasons["/W7"] == "malformed" and reasons["/W8"] == "missing ids.openalex"
     assert reasons["/W9"] == "unparsable created_date"
 
-    assert [tuple(r) for r in partition_report(spark, settings, 1).collect()] == [("2023-05-01-part_000", 4, 2)]
+    assert [tuple(r) for r in partition_report(spark, settings, report.run).collect()] == [("2023-05-01-part_000", 4, 2)]
     register_lake(spark, settings)
     assert spark.sql("SELECT count(*) FROM works w JOIN works_references r ON r.work_a_id = w.id").first()[0] == 2
 
@@ -166,8 +172,8 @@ def test_second_run_replaces_deletes_and_resumes(spark, world):
     assert lake_rows(spark, settings, "works_references", "*") == [("W3", "W4")]      # still refers to the deleted W4
     assert lake_rows(spark, settings, "works_concepts", "work_id", "concept_id") == [("W1", "C2")]
     assert lake_rows(spark, settings, "works_authorships", "*") == []
-    assert [r[0] for r in lake_rows(spark, settings, "search_works", "id")] == ["W1", "W12", "W2", "W3"]
-    assert any(path in LakeTables(spark, settings.out, 4).live_paths("works") for path in before)   # W2, W3 stay put
+    assert [r[0] for r in lake_rows(spark, settings, "search_works", "id")] == ["W1", "W12", "W2", "W3", "W5", "W6", "W8"]
+    assert any(path in LakeTables(spark, settings.out).live_paths("works") for path in before)   # W2, W3 stay put
 
     # nothing is new: the merge list is not applied a second time, the tables stay
     again = run_update(spark, settings, entities=("work",))
@@ -182,12 +188,47 @@ def test_second_run_replaces_deletes_and_resumes(spark, world):
 def test_progress_is_kept_per_entity_and_target(spark, world):
     _, settings = world
     run_update(spark, settings, tables=False, entities=("work", "concept"))
-    assert len(lake_rows(spark, settings, "search_works", "id")) == 4 and lake_rows(spark, settings, "works", "id") == []
+    assert len(lake_rows(spark, settings, "search_works", "id")) == 7 and lake_rows(spark, settings, "works", "id") == []
     run_update(spark, settings, search=False, entities=("work", "concept"))
     assert len(lake_rows(spark, settings, "works", "id")) == 4 and lake_rows(spark, settings, "concepts", "id") == [("C1",)]
     assert run_update(spark, settings, entities=("work",)).metrics["work"]["records"] == 0
 
 
+def test_merge_lists_that_came_while_deletes_were_off_are_applied_later(spark, world):
+    snapshot, settings = world
+    run_update(spark, settings, entities=("work",))
+    snapshot.merged("work", "2023-06-02", [("W3", "W1")])
+    snapshot.records("work", "2023-06-05", [work(20)])
+    run_update(spark, settings, entities=("work",), apply_deletes=False)
+    assert [r[0] for r in lake_rows(spark, settings, "works", "id")] == ["W1", "W2", "W20", "W3", "W4"]
+    run_update(spark, settings, entities=("work",))
+    assert [r[0] for r in lake_rows(spark, settings, "works", "id")] == ["W1", "W2", "W20", "W4"]
+    assert "W3" not in [r[0] for r in lake_rows(spark, settings, "search_works", "id")]
+
+
+def test_another_bucket_count_is_refused(spark, world):
+    snapshot, settings = world
+    run_update(spark, settings, entities=("concept",))
+    with pytest.raises(ValueError, match="4 buckets"):
+        run_update(spark, replace(settings, buckets=16), entities=("concept",))
+    snapshot.records("concept", "2023-06-01", [{"id": f"{P}C{n}", "counts_by_year": []} for n in range(1, 9)])
+    run_update(spark, replace(settings, buckets=None), entities=("concept",))
+    assert [r[0] for r in lake_rows(spark, settings, "concepts", "id")] == [f"C{n}" for n in range(1, 9)]
+
+
+def test_superseded_folders_are_removed(spark, world):
+    snapshot, settings = world
+    run_update(spark, settings, entities=("concept",))
+    snapshot.records("concept", "2023-06-01", [{"id": f"{P}C1", "counts_by_year": [], "display_name": "new"}])
+    run_update(spark, settings, entities=("concept",))
+    lake = LakeTables(spark, settings.out)
+    before = [lake.read(spec).collect() for spec in tables_of("concept")]
+    gone = lake.remove_superseded()
+    assert any("/tables/concepts/run=" in path for path in gone) and any("/staging/" in path for path in gone)
+    assert [LakeTables(spark, settings.out).read(spec).collect() for spec in tables_of("concept")] == before
+    assert lake.remove_superseded() == []
+
+
 def test_a_run_that_dies_leaves_the_lake_as_it_was(spark, world, monkeypatch):
     snapshot, settings = world
     run_update(spark, settings, entities=("concept",))
@@ -213,11 +254,26 @@ def test_stream_equals_batch_and_late_files_lose(spark, world, tmp_path):
     stream_update(spark, streamed, "work")
     titles = dict(lake_rows(spark, streamed, "works", "id", "title"))
     assert (titles["W1"], titles["W2"]) == ("title 1", "new")
+    snapshot.merged("work", "2023-06-03", [("W3", "W1"), ("W9", "W1")])
+    stream_update(spark, streamed, "work")
+    for name in ("works", "search_works"):
+        assert "W3" not in [r[0] for r in lake_rows(spark, streamed, name, "id")]
     commits = LakeTables(spark, streamed.out, 4).next_commit()
     stream_update(spark, streamed, "work")                     # nothing new, nothing committed
     assert LakeTables(spark, streamed.out, 4).next_commit() == commits
 
 
+def test_a_new_checkpoint_starts_over_without_losing_batches(spark, world):
+    snapshot, settings = world
+    stream_update(spark, settings, "concept")
+    for day, name in enumerate(("second", "third"), start=1):
+        shutil.move(f"{settings.out}/checkpoints/concept", f"{settings.out}/old-{name}")
+        snapshot.records("concept", f"2023-07-0{day}", [{"id": f"{P}C1", "counts_by_year": [], "display_name": name,
+                                                                   "updated_date": f"2023-07-0{day}"}])
+        stream_update(spark, settings, "concept")
+        assert lake_rows(spark, settings, "concepts", "display_name") == [(name,)]
+
+
 def files_read(df):
     """Files opened by the scan of a one-stage plan."""
     plan = df._jdf.queryExecution().executedPlan()
@@ -287,9 +343,7 @@ def test_settings(monkeypatch, spark):
     monkeypatch.setenv("LAKE_ROOT", "/in")
     monkeypatch.setenv("LAKE_BUCKETS", "8")
     assert Settings.from_env(out="/out") == Settings("/in", "/out", None, 8)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        assert work_dir(spark, "x").startswith(shared)
+    assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
 def test_table_specs_cover_every_entity():
