@@ -49,6 +49,14 @@ ORACLES = {
     "merged_ids": f"""
         SELECT DISTINCT 'W' || user_id AS id FROM events
         WHERE event_type = 'error' AND {DAY} > '2024-01-15' AND user_id <> 7""",
+    "merged_lists_applied": f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {STAMP}) AS o_orderdate, o_orderpriority
+        FROM orders WHERE NOT EXISTS (
+            SELECT 1 FROM events WHERE event_type = 'error' AND {DAY} > '2024-01-15' AND event_id = o_orderkey)""",
+    "snapshot_resume": f"""
+        SELECT DISTINCT 'records' AS kind, {DAY} AS day FROM events WHERE {DAY} > '2024-01-15'
+        UNION ALL SELECT DISTINCT 'merge list', {DAY} FROM events WHERE event_type = 'error' AND {DAY} > '2024-01-15'""",
+    "watermark_advance": f"SELECT event_type AS target, max({DAY}) AS watermark FROM events GROUP BY event_type",
     "quarantine": """
         SELECT event_id, CASE WHEN event_type = 'purchase'
             THEN 'malformed,missing id,missing counts_by_year,missing associated_institutions'
@@ -376,4 +384,10 @@ ORACLES = {
                CAST(n_chars AS INTEGER) AS cited_by_count, CAST(NULL AS VARCHAR) AS language
         FROM documents""",
 }
+ORACLES["json_round_trip"] = f"""
+    SELECT id, title_abstract, mag, is_oa, cited_by_count, language FROM ({ORACLES["search_documents"]})"""
+ORACLES["clear_tables"] = f"""
+    WITH {EDGES}
+    SELECT 'loaded' AS step, count(*) AS n FROM edges UNION ALL SELECT 'cleared', 0
+    UNION ALL SELECT 'loaded again', count(*) FROM edges JOIN orders ON work_a_id = 'W' || o_orderkey WHERE o_orderstatus = 'P'"""
 ORACLES["search_bm25_indexed"] = ORACLES["search_bm25"]

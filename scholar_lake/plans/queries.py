@@ -20,12 +20,12 @@ from scholar_lake.operators.merge import cascade_delete, delete_by_key, drop_sta
 from scholar_lake.operators.metrics import partition_metrics, unprocessed
 from scholar_lake.plans import nesting
 from scholar_lake.plans.nesting import table, url, words
-from scholar_lake.plans.update import exchange
-from scholar_lake.schemas import SEARCH_FIELDS, TABLES, TableSpec, record_ddl
-from scholar_lake.sinks.exports import read_csv, write_csv
+from scholar_lake.plans.update import exchange, for_targets
+from scholar_lake.schemas import SEARCH_FIELDS, SEARCH_TABLE, TABLES, TableSpec, record_ddl
+from scholar_lake.sinks.exports import read_csv, write_csv, write_json
 from scholar_lake.sinks.tables import LakeTables
-from scholar_lake.sources.merged_ids import present_ids
-from scholar_lake.sources.snapshot import CORRUPT, pending_counts, read_entity
+from scholar_lake.sources.merged_ids import list_merge_files, present_ids, read_merged_ids
+from scholar_lake.sources.snapshot import CORRUPT, list_files, pending_counts, read_entity
 from scholar_lake.sources.validation import mark, not_null_split
 from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
 
@@ -76,20 +76,64 @@ def scan_nested(spark: SparkSession, sf: str) -> DataFrame:
         F.col("w.primary_location.is_oa").alias("is_oa"))
 
 
-def incremental_since(spark: SparkSession, sf: str) -> DataFrame:
-    """Write the events as a dated snapshot of gzipped JSON lines, then read the partitions newer than a watermark."""
+def _event_snapshot(spark: SparkSession, sf: str) -> str:
+    """The events as a dated snapshot of gzipped JSON lines, one file a day, with merge lists of the errors; returns its root."""
     root = work_dir(spark, "snapshot")
     events = _events_day(table(spark, sf, "events"))
     lines = events.select(F.col("day").alias("updated_date"), F.to_json(F.struct(
         url("W", F.col("event_id")).alias("id"), F.col("event_type").alias("title"),
         F.col("user_id").alias("cited_by_count"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_date"))).alias("value"))
-    (lines.hint("rebalance", F.col("updated_date")).write.partitionBy("updated_date")
-     .option("compression", "gzip").text(f"{root}/data/works"))
-    records = read_entity(spark, root, "work", SINCE, only=("id", "title", "cited_by_count", "updated_date"), provenance=True)
+    lines.repartition("updated_date").write.partitionBy("updated_date").option("compression", "gzip").text(f"{root}/data/works")
+    lists = events.where("event_type = 'error'").select(
+        "day", F.col("day").alias("merge_date"), url("W", F.col("event_id")).alias("id"), url("W", F.col("user_id")).alias("merge_into_id"))
+    lists.repartition("day").write.partitionBy("day").option("header", True).option("compression", "gzip").csv(f"{root}/lists")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{root}/data/merged_ids/works"))
+    for status in files.globStatus(path(f"{root}/lists/day=*/*.csv.gz")):  # a list's name is its date
+        day = status.getPath().getParent().getName().removeprefix("day=")
+        files.rename(status.getPath(), path(f"{root}/data/merged_ids/works/{day}.csv.gz"))
+    return root
+
+
+def incremental_since(spark: SparkSession, sf: str) -> DataFrame:
+    """Write the events as a dated snapshot of gzipped JSON lines, then read the partitions newer than a watermark."""
+    records = read_entity(spark, _event_snapshot(spark, sf), "work", SINCE, only=("id", "title", "cited_by_count", "updated_date"),
+                          provenance=True)
     return records.select(strip_id(F.col("id")).alias("id"), "title", "cited_by_count", "updated_date", "partition_date")
 
 
+def merged_lists_applied(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders without those that merge lists, read as files newer than a watermark, name."""
+    orders = table(spark, sf, "orders").withColumn("id", strip_id(url("W", F.col("o_orderkey"))))
+    gone = read_merged_ids(spark, _event_snapshot(spark, sf), "work", SINCE).select(strip_id(F.col("id")).alias("id"))
+    return plain(delete_by_key(orders, gone, "id").drop("id"))
+
+
+def snapshot_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates of the files still to be read after a run that finished those up to a date, and of merge lists newer than the watermark."""
+    root, lake = _event_snapshot(spark, sf), LakeTables(spark, work_dir(spark, "lake"), buckets=4)
+    files = list_files(spark, root, "work")
+    finished = files.where(F.regexp_extract("file_path", "updated_date=([^/]+)", 1) <= SINCE)
+    targets = ["work tables", "work search"]
+    lake.commit(1, {}, for_targets(finished, targets), dict.fromkeys(targets, SINCE))
+    pending = unprocessed(files, lake.processed(targets), ["file_path"])
+    lists = list_merge_files(spark, root, "work", min(lake.watermarks().values()))
+    return pending.unionByName(lists, allowMissingColumns=True).select(
+        F.when(F.col("length").isNull(), "merge list").otherwise("records").alias("kind"),
+        F.regexp_extract("file_path", r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1).alias("day"))
+
+
+def watermark_advance(spark: SparkSession, sf: str) -> DataFrame:
+    """Watermarks per target after one run for each day of events, where each event type is a target."""
+    lake = LakeTables(spark, work_dir(spark, "lake"), buckets=4)
+    days = _events_day(table(spark, sf, "events")).groupBy("event_type").agg(F.min("day").alias("first"), F.max("day").alias("last")).collect()
+    for column in ("last", "first"):  # an older date committed later does not move a watermark back
+        lake.commit(lake.next_commit(), {}, watermarks={row["event_type"]: row[column] for row in days})
+    return spark.createDataFrame(sorted(lake.watermarks().items()), "target string, watermark string")
+
+
 def merged_ids(spark: SparkSession, sf: str) -> DataFrame:
     events = _events_day(table(spark, sf, "events"))
     lists = events.where((F.col("event_type") == "error") & (F.col("day") > SINCE))
@@ -504,10 +548,38 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, spec, path).select("id", "title", "abstract", "is_oa", "cited_by_count", "language")
 
 
+def json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Search documents as JSON lines and back."""
+    path = work_dir(spark, "json")
+    docs = search.search_documents(_records(nesting.text_works, spark, sf, "documents").select(*SEARCH_FIELDS))
+    write_json(docs, path)
+    back = spark.read.schema(SEARCH_TABLE.ddl).json(path)
+    return plain(back.select("id", "title_abstract", "mag", "is_oa", "cited_by_count", "language"))
+
+
+def clear_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a lake table before and after it is cleared and loaded again with the orders of one status."""
+    lake, spec = LakeTables(spark, work_dir(spark, "lake"), buckets=4), TABLES["works_references"]
+    rows = []
+    for step, part in (("loaded", table(spark, sf, "orders")), ("cleared", None), ("loaded again", table(spark, sf, "orders").where("o_orderstatus = 'P'"))):
+        if part is None:
+            lake.clear([spec])
+        else:
+            records = nesting.order_works(part)
+            links = flatten.accept(flatten.works_references(records), spec.name, unique_records=True)
+            changed = records.select(strip_id(F.col("id")).alias("id"))
+            lake.commit(lake.next_commit(), exchange(lake, [spec], {spec.name: links}, changed))
+        rows.append(lake.read(spec).agg(F.lit(step).alias("step"), F.count("*").alias("n")))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 QUERIES = {
     "scan_nested": scan_nested,
     "incremental_since": incremental_since,
     "merged_ids": merged_ids,
+    "merged_lists_applied": merged_lists_applied,
+    "snapshot_resume": snapshot_resume,
+    "watermark_advance": watermark_advance,
     "quarantine": quarantine,
     "resume_skip_processed": resume_skip_processed,
     "empty_as_null": empty_as_null_query,
@@ -570,4 +642,6 @@ QUERIES = {
     "search_bm25_indexed": search_bm25_indexed,
     "search_facets": search_facets,
     "csv_round_trip": csv_round_trip,
+    "json_round_trip": json_round_trip,
+    "clear_tables": clear_tables,
 }
