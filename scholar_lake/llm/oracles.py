@@ -2,7 +2,86 @@
 
 from __future__ import annotations
 
+from scholar_lake.llm import licences, secrets
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def found(name: str, pattern: str, keep: str = "true") -> str:
+    """A CTE of all matches of a pattern: rid, start and hit. Places come from the lengths of matches and of what lies between."""
+    return f"""
+{name} AS (SELECT rid, start, hit FROM (
+    SELECT rid, i, hit, sum(len(gap) + len(hit)) OVER (PARTITION BY rid ORDER BY i) - len(hit) AS start FROM (
+        SELECT rid, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM (
+            SELECT rid, regexp_extract_all(text, {quoted(pattern)}) AS hits, string_split_regex(text, {quoted(pattern)}) AS gaps
+            FROM docs WHERE regexp_matches(text, {quoted(pattern)})))) WHERE {keep})"""
+
+
+def entropy_spans(kind: str) -> str:
+    """CTEs of the method's spans of one character class, before those inside base spans go."""
+    characters, least, needs = secrets.CLASSES[kind]
+    fit = " AND ".join([f"regexp_matches(hit, {quoted(n)})" for n in needs] + [f"NOT regexp_matches(hit, {quoted(a)})" for a in secrets.ALLOWED])
+    return found(f"{kind}_runs", f"[{characters}]{{{secrets.WINDOW},}}", fit) + f""",
+{kind}_spans AS (
+    SELECT rid, min(start + s) AS start, {secrets.KINDS.index(kind)} AS kind, max(start + s + {secrets.WINDOW}) AS stop FROM (
+        SELECT rid, start, s, list_aggregate(string_split(substr(hit, s + 1, {secrets.WINDOW}), ''), 'entropy') AS bits FROM (
+            SELECT rid, start, hit, unnest(range(0, len(hit) - {secrets.WINDOW} + 1)) AS s FROM {kind}_runs))
+    WHERE bits >= {least} - 1e-9 GROUP BY rid, start)"""
+
+
+def secret_scan() -> str:
+    kinds = ", ".join(quoted(k) for k in secrets.KINDS)
+    listed = f"string_agg([{kinds}][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop)"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+{found("assigned", secrets.ASSIGN, f"len(regexp_extract(hit, {quoted(secrets.ASSIGN)}, 2)) >= 8")},
+{found("accesses", secrets.ACCESS)},
+{found("hexes", secrets.HEX)},
+base AS (SELECT rid, start, 0 AS kind, start + len(hit) AS stop FROM assigned
+         UNION ALL SELECT rid, start, 1, start + len(hit) FROM accesses UNION ALL SELECT rid, start, 2, start + len(hit) FROM hexes),
+{", ".join(entropy_spans(k) for k in secrets.CLASSES)},
+method AS (SELECT * FROM ({" UNION ALL ".join(f"SELECT * FROM {k}_spans" for k in secrets.CLASSES)}) m
+           WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = m.rid AND b.start <= m.start AND b.stop >= m.stop)),
+base_by AS (SELECT rid, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h, {listed} AS l
+            FROM base GROUP BY rid),
+all_by AS (SELECT rid, {listed} AS l FROM (SELECT * FROM base UNION ALL SELECT * FROM method) GROUP BY rid),
+method_by AS (SELECT rid, count(*) AS n FROM method GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base_by.l, '')) AS base_sha256, coalesce(all_by.l, '') AS spans, coalesce(n, 0)::BIGINT AS n_entropy
+FROM docs LEFT JOIN base_by USING (rid) LEFT JOIN all_by USING (rid) LEFT JOIN method_by USING (rid)"""
+
+
+def license_scan(k: int = licences.K, drift: int = 3, enough: float = 0.6) -> str:
+    rows = ", ".join(f"({quoted(t)}, {exact}, {quoted(label)})"
+                     for exact, group in (("true", licences.PHRASES), ("false", licences.TEXTS)) for t, label in group.items())
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{licences.WORDS}') AS ws FROM documents),
+templates AS (SELECT t, exact, label, string_split(t, ' ') AS ws FROM (VALUES {rows}) v(t, exact, label)),
+template_grams AS (SELECT t, exact, label, len(ws) - {k - 1} AS grams, i AS spot, array_to_string(ws[i + 1:i + {k}], ' ') AS g
+                   FROM (SELECT *, unnest(range(0, len(ws) - {k - 1})) AS i FROM templates)),
+grams AS (SELECT rid, i AS place, array_to_string(ws[i + 1:i + {k}], ' ') AS g
+          FROM (SELECT rid, ws, unnest(range(0, len(ws) - {k - 1})) AS i FROM docs)),
+votes AS (SELECT rid, t, exact, label, grams, spot, place, place - spot AS diagonal FROM grams JOIN template_grams USING (g)),
+lines AS (SELECT DISTINCT rid, t, exact, diagonal FROM votes),
+marked AS (SELECT *, coalesce(exact OR diagonal - lag(diagonal) OVER w > {drift}, true)::INT AS fresh FROM lines
+           WINDOW w AS (PARTITION BY rid, t ORDER BY diagonal)),
+spans AS (SELECT *, sum(fresh) OVER (PARTITION BY rid, t ORDER BY diagonal) AS span FROM marked),
+places AS (SELECT rid, t, span, v.exact, label, count(DISTINCT spot) / max(grams)::DOUBLE AS score, min(place) AS first
+           FROM spans JOIN votes v USING (rid, t, diagonal) GROUP BY rid, t, span, v.exact, label),
+kept AS (SELECT * FROM places WHERE score >= CASE WHEN exact THEN 1.0 ELSE {enough} END)
+SELECT d.doc_id, len(any_value(d.ws))::BIGINT AS n_words, count(*) FILTER (exact)::BIGINT AS n_base, (min(first) FILTER (exact))::DOUBLE AS first_word,
+       (max(first) FILTER (exact))::DOUBLE AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(score), 0.0)::DOUBLE AS score
+FROM docs d LEFT JOIN kept USING (rid) GROUP BY d.rid, d.doc_id"""
+
+
 ORACLES = {
+    "op2_secrets": secret_scan(),
+    "op5_licenses": license_scan(),
     "op4_mixing": r"""
 WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
