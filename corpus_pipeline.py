@@ -9,13 +9,12 @@ of a group of near copies the row with the smallest id stays (of rows equal in i
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from scholar_lake.llm import decontam, mixing, ppm, sharding, simhash
-from scholar_lake.llm.common import document_key, table
+from scholar_lake.llm.common import document_key, shared_folder, table
 
 #: Documents whose language is less sure than this are rejected, as are texts that are null or have no letter.
 LEAST_SCORE = 0.5
@@ -67,9 +66,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES[:-1]):
-        path = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}/{number}-{name}"
+        path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

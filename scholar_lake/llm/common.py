@@ -24,18 +24,23 @@ def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id).cast("string"), F.coalesce(F.length(text), F.lit(-1)), F.col(text))
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write df into the cluster's shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's folder for intermediate data, ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a temporary folder; a cluster gets an error,
-    as its executors would not see each other's files.
+    Where that is unset, a local session (tests) gets a temporary folder; a cluster gets an error, as its executors would not see
+    each other's files.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write df into the shared checkpoint folder and go on from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local["):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
