@@ -8,8 +8,9 @@ string contains the ``core`` bytes behind its anchor. An anchor's strings togeth
    sort column, so that one frequent suffix is spread over many buckets). Each bucket is sorted, runs of equal cores and segments are
    found by comparing neighbours, and runs that touch the end of a bucket are summed across buckets, of which there are two per bucket.
    Suffixes whose core stands alone can be dropped. Where a whole segment stands elsewhere, all of its strings do.
-2. What is left are edges of copies: equal cores, different segments. Only there every string of ``length`` bytes becomes a suffix of its own,
-   from one representative per different segment, and goes through the same sort and comparison.
+2. What is left are edges of copies: equal cores, different segments. One representative per different segment is cut into groups of STEPS[0] strings,
+   by their distance to the anchor, and the groups go through the same sort and comparison with the bytes that all of a group's strings
+   share as core. The groups left by that are cut into single strings, and those decide.
 
 Suffixes are compared by their first 8 bytes and 64-bit hashes of the rest, not by carrying hundreds of bytes each. The local sort is Spark's
 sort on several key columns, which can spill, in place of a multikey quicksort in memory.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -98,18 +100,49 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, core: int) -> tu
     return text[first], at[first], string[first], string[last]
 
 
+#: Strings per group, step by step.
+STEPS = (16, 1)
+ROW = ["lead", "core", "segment", "key", "place"]
+ROW_DDL = ", ".join(f"{n} bigint" for n in ROW)
+#: place: first string << 26 | anchor - first string << 14 | last - first string << 2 | asked for << 1 | second of a pair
+FIRST, ANCHOR, LAST, FIELD = 26, 14, 2, (1 << 12) - 1
+
+
+def pack_place(first, last, anchor, asked, twin=0):
+    return first << FIRST | (anchor - first) << ANCHOR | (last - first) << LAST | asked << 1 | twin
+
+
+def suffix_rows(data: np.ndarray, hashes: RollingHash, core: tuple, strings: tuple, keys: np.ndarray, places: np.ndarray,
+                length: int) -> pa.RecordBatch:
+    """Rows of ROW for (start, stop) of cores and (first, last, anchor) of their strings, as places in data."""
+    first, last, anchor = strings
+    segment = hashes.of(first, last + length) ^ arrays.mixed((anchor - first) * 2 ** 20 + last - first)
+    lead = eight_bytes(data)[core[0]] ^ np.uint64(1 << 63)
+    return pa.RecordBatch.from_arrays([pa.array(as_long(c)) for c in (lead, hashes.of(*core), segment)]
+                                      + [pa.array(keys), pa.array(places)], names=ROW)
+
+
 def suffixes(docs: DataFrame, length: int, core: int) -> DataFrame:
-    """A row per anchor: lead, core, segment, key, and place: start of the strings, their number, in the text."""
+    """A row per anchor."""
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrays.chunks(batches, "packed_text"):
-            data, offsets = arrays.flat(part.column("packed_text"))
+        for part in arrays.chunks(batches, "dedup_text"):
+            data, offsets = arrays.flat(part.column("dedup_text"))
             text, anchor, first, last = anchors(data, offsets, length, core)
-            lead, hashes = eight_bytes(data)[anchor], RollingHash(data)
-            segment = hashes.of(first, last + length) ^ arrays.mixed((anchor - first) * 2 ** 20 + last - first)
-            columns = [as_long(lead ^ np.uint64(1 << 63)), as_long(hashes.of(anchor, anchor + core)), as_long(segment),
-                       part.column("key").to_numpy()[text], (first - offsets[:-1][text]) << 16 | (last - first)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lead", "core", "segment", "key", "place"])
-    return docs.select("key", F.col("text").alias("packed_text")).mapInArrow(cut, "lead bigint, core bigint, segment bigint, key bigint, place bigint")
+            begin = offsets[:-1][text]
+            yield suffix_rows(data, RollingHash(data), (anchor, anchor + core), (first, last, anchor), part.column("key").to_numpy()[text],
+                              pack_place(first - begin, last - begin, anchor - begin, 1), length)
+    return docs.select("key", F.col("text").alias("dedup_text")).mapInArrow(cut, ROW_DDL)
+
+
+def groups(first: np.ndarray, last: np.ndarray, anchor: np.ndarray, asked: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Edges cut into groups of strings whose distances to the anchor lie in the same multiple of size: first, last, anchor, asked, multiple."""
+    many = last - first + 1
+    edge = np.repeat(np.arange(len(first)), many)
+    start = np.arange(len(edge)) - np.repeat(np.cumsum(many) - many, many) + first[edge]
+    multiple = (anchor[edge] - start) // size
+    at = np.flatnonzero(np.concatenate(([True], (np.diff(edge) != 0) | (np.diff(multiple) != 0))))
+    end = np.append(at[1:], len(edge)) - 1
+    return start[at], start[end], anchor[edge[at]], asked[edge[at]], multiple[at]
 
 
 def runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -122,16 +155,16 @@ def runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), n))
 
 
-def compared(rows: DataFrame) -> DataFrame:
-    """Sorted buckets of (lead, core, segment, key, place), neighbours compared: the rows whose core has company, with
+def compared(rows: DataFrame, durable: bool = False) -> DataFrame:
+    """Sorted buckets of suffix rows, neighbours compared: the rows whose core has company, with
 
     ``same``: rows with this segment, ``others``: whether the core has another segment, ``chosen``: whether the row stands for its segment.
     """
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(list(batches), pa.schema([(c, pa.int64()) for c in names]))
+        whole = pa.Table.from_batches(list(batches), pa.schema([(c, pa.int64()) for c in ROW]))
         if not whole.num_rows:
             return
-        c = {n: whole.column(n).to_numpy() for n in names}
+        c = {n: whole.column(n).to_numpy() for n in ROW}
         core_run, core_size = runs([c["lead"], c["core"]])
         segment_run, segment_size = runs([c["lead"], c["core"], c["segment"]])
         core_open = (core_run == 0) | (core_run == core_run[-1])
@@ -141,78 +174,86 @@ def compared(rows: DataFrame) -> DataFrame:
         kept = core_open | (core_size[core_run] > 1)
         flags = {"same": segment_size[segment_run], "others": kinds[core_run] > 1, "chosen": chosen, "core_open": core_open,
                  "segment_open": segment_open}
-        yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (*c.values(), *flags.values())], names=[*names, *flags])
-    names = ["lead", "core", "segment", "key", "place"]
+        yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (*c.values(), *flags.values())], names=[*ROW, *flags])
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = rows.repartitionByRange(parts, *names[:4]).sortWithinPartitions(*names)
-    found = settle(buckets.mapInArrow(scan, ", ".join(f"{n} bigint" for n in names) + ", same bigint, others boolean, chosen boolean, "
-                                                                                      "core_open boolean, segment_open boolean"))
+    buckets = rows.repartitionByRange(parts, *ROW[:4]).sortWithinPartitions(*ROW)
+    found = buckets.mapInArrow(scan, ROW_DDL + ", same bigint, others boolean, chosen boolean, core_open boolean, segment_open boolean")
+    found = settle(found) if durable else found
     core, segment = ["lead", "core"], ["lead", "core", "segment"]
     across = found.where("core_open").groupBy(*core).agg(F.count(F.lit(1)).alias("core_rows"),
                                                          (F.min("segment") != F.max("segment")).alias("core_others"))
     same_across = found.where("segment_open").groupBy(*segment).agg(F.count(F.lit(1)).alias("segment_rows"))
     # at most two cores and two segments per bucket are open
     joined = found.join(F.broadcast(across), core, "left").join(F.broadcast(same_across), segment, "left")
-    whole = joined.select(*names, F.when(F.col("segment_open"), F.col("segment_rows")).otherwise(F.col("same")).alias("same"),
+    whole = joined.select(*ROW, F.when(F.col("segment_open"), F.col("segment_rows")).otherwise(F.col("same")).alias("same"),
                           F.when(F.col("core_open"), F.col("core_others")).otherwise(F.col("others")).alias("others"), "chosen",
                           F.coalesce("core_rows", F.lit(2)).alias("core_rows"))
-    return whole.where("core_rows > 1").drop("core_rows")
+    first = F.shiftright("place", FIRST)
+    last, anchor = (first + F.shiftright("place", at).bitwiseAND(F.lit(FIELD)) for at in (LAST, ANCHOR))
+    return whole.where("core_rows > 1").select(
+        "key", first.alias("first"), last.alias("last"), anchor.alias("anchor"), (F.col("place").bitwiseAND(F.lit(2)) > 0).alias("asked"),
+        "same", "others", "chosen")
 
 
-def duplicate_spans(docs: DataFrame, length: int = 400, core: int = 200) -> DataFrame:
-    """A row per key (documents of one key have the same text): spans, an array of (start, stop) in bytes that cover what is to be removed."""
-    keyed = docs.select("key", "text").where(F.octet_length("text") >= length)
-    met = compared(suffixes(keyed, length, core))
-    first, more = F.shiftright("place", 16), F.col("place").bitwiseAND(F.lit(0xFFFF))
-    spans = met.where("same > 1").select("key", first.alias("start"), (first + more + length).alias("stop"))
-    edges = met.where("others AND (same = 1 OR chosen)").select(
-        "key", F.struct(first.alias("first"), (first + more).alias("last"), (F.col("same") == 1).alias("asked")).alias("edge"))
-    by_text = edges.groupBy("key").agg(F.collect_list("edge").alias("edges"))
+def expanded(texts: DataFrame, met: DataFrame, length: int, size: int) -> DataFrame:
+    """Suffix rows of the groups of strings that the edges among the compared rows are cut into.
 
-    def expand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every string of the edges; place holds its start and whether it is asked for."""
+    A representative that is not asked for is one of several: it is written twice.
+    """
+    edge = F.struct("first", "last", "anchor", (F.col("asked") & (F.col("same") == 1)).alias("asked"))
+    edges = (met.where("others AND (chosen OR asked AND same = 1)").groupBy(F.col("key").alias("edge_key"))
+             .agg(F.collect_list(edge).alias("edges")))
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for packed, key, edges in zip(batch.column("packed"), batch.column("key").to_pylist(), batch.column("edges").to_pylist()):
+            for packed, key, edges in zip(batch.column("packed"), batch.column("key").to_numpy(), batch.column("edges")):
                 data = np.frombuffer(unpack(packed.as_buffer()), np.uint8)
-                start = np.concatenate([np.arange(e["first"], e["last"] + 1) for e in edges])
-                asked = np.concatenate([np.full(e["last"] + 1 - e["first"], e["asked"]) for e in edges])
-                hashes = as_long(RollingHash(data).of(start, start + length))
-                lead = as_long(eight_bytes(data)[start] ^ np.uint64(1 << 63))
-                # a string not asked for is one of several: it stands for two, with different segments
-                yield string_rows(lead, hashes, key, start, asked)
-
-    def string_rows(lead, hashes, key, start, asked):
-        again = np.concatenate((np.arange(len(start)), np.flatnonzero(~asked)))
-        twin = np.arange(len(again)) >= len(start)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lead[again]), pa.array(hashes[again]), pa.array(np.zeros(len(again), np.int64)), pa.array(np.full(len(again), key)),
-             pa.array(start[again] << 2 | asked[again].astype(np.int64) << 1 | twin)], names=["lead", "core", "segment", "key", "place"])
-    texts = packed_texts(keyed)
-    strings = texts.join(by_text, "key").select("key", "packed", "edges").mapInArrow(
-        expand, "lead bigint, core bigint, segment bigint, key bigint, place bigint")
-    again = compared(strings).where(F.col("place").bitwiseAND(F.lit(2)) > 0)
-    start = F.shiftright("place", 2)
-    every = spans.union(again.select("key", start, start + length))
-    return every.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+                fields = [edges.values.field(n).to_numpy(zero_copy_only=False) for n in ("first", "last", "anchor", "asked")]
+                first, last, anchor, asked, multiple = groups(*fields, size)
+                again = np.concatenate((np.arange(len(first)), np.flatnonzero(~asked)))
+                twin = np.arange(len(again)) >= len(first)
+                first, last, anchor, asked, multiple = (x[again] for x in (first, last, anchor, asked, multiple))
+                inner = anchor - size * multiple
+                yield suffix_rows(data, RollingHash(data), (inner, inner - size + 1 + length), (first, last, anchor), np.full(len(first), key),
+                                  pack_place(first, last, anchor, asked.astype(np.int64), twin), length)
+    return texts.join(edges, F.col("key") == F.col("edge_key")).mapInArrow(cut, ROW_DDL)
 
 
-def packed_texts(docs: DataFrame, *carry: str) -> DataFrame:
-    """key, the carried columns and the compressed text: texts move between machines at well under their size."""
+def duplicate_spans(keyed: DataFrame, texts: DataFrame, length: int, core: int) -> DataFrame:
+    """A row per key (documents of one key have the same text): spans, an array of (start, stop) in bytes that cover what is to be removed.
+
+    ``texts`` is used in each step with all its columns, so that its exchange by key is made once.
+    """
+    if not 8 <= core <= length or length - core > FIELD:
+        raise ValueError("a core has 8 bytes at least and is shorter than the string by 4,095 at most")
+    met = compared(suffixes(keyed.select("key", "text").where(F.octet_length("text") >= length), length, core), durable=True)
+    steps = [met]
+    for size in STEPS:
+        steps.append(compared(expanded(texts, steps[-1], length, size)))
+    spans = [step.where("asked AND same > 1").select("key", F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("stop")).alias("span"))
+             for step in steps]
+    every = reduce(DataFrame.unionByName, spans)
+    return every.groupBy(F.col("key").alias("span_key")).agg(F.collect_set("span").alias("spans"))
+
+
+def packed_texts(keyed: DataFrame) -> DataFrame:
+    """doc_id, key and the compressed text: texts move between machines at well under their size."""
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
             packed = pa.array([press(t.as_buffer()) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", *carry)], packed], names=["key", *carry, "packed"])
-    wanted = docs.select("key", *carry, "text")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), packed], names=["doc_id", "key", "packed"])
+    wanted = keyed.select("doc_id", "key", "text")
     return wanted.mapInArrow(pack, wanted.drop("text").schema.add("packed", "binary"))
 
 
 def remove_duplicates(docs: DataFrame, length: int = 400, core: int = 200) -> DataFrame:
     """A row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``kept`` (the bytes that stay)."""
     keyed = docs.select("doc_id", document_key().alias("key"), "text")
-    spans = duplicate_spans(keyed, length, core)
+    texts = packed_texts(keyed)
+    spans = duplicate_spans(keyed, texts, length, core)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -230,5 +271,5 @@ def remove_duplicates(docs: DataFrame, length: int = 400, core: int = 200) -> Da
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-    joined = packed_texts(keyed, "doc_id").join(spans, "key", "left").select("doc_id", "packed", "spans")
+    joined = texts.join(spans, F.col("key") == F.col("span_key"), "left")
     return joined.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
