@@ -33,40 +33,70 @@ TABLES_AT_A_TIME = 4
 
 @dataclass
 class UpdateReport:
-    """What a run did, per entity: the date it started from, the newest date it read, records and rejects."""
+    """What a run did, per entity: the date it started from, the newest date it read, records and rejects; and for entities with more files
+    than one part takes, the date up to which they have been read."""
 
     commit: int
-    run: str
+    runs: list[str]
     since: dict[str, str] = field(default_factory=dict)
     watermark: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, dict[str, int]] = field(default_factory=dict)
+    left: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def run(self) -> str:
+        return self.runs[-1]
+
+    def add(self, later: "UpdateReport") -> None:
+        """Take in the report of the next part of the same run."""
+        self.commit, self.left = later.commit, later.left
+        self.runs += later.runs
+        self.watermark |= later.watermark
+        for entity, counts in later.metrics.items():
+            own = self.metrics.setdefault(entity, dict.fromkeys(counts, 0))
+            self.metrics[entity] = {name: own[name] + n for name, n in counts.items()}
 
 
 def run_update(spark: SparkSession, settings: Settings, tables: bool = True, search: bool = True,
                apply_deletes: bool = True, override: bool = False,
-               entities: tuple[str, ...] = ENTITIES) -> UpdateReport:
+               entities: tuple[str, ...] = ENTITIES, files_at_a_time: int = 10_000) -> UpdateReport:
     """Bring the lake up to date. ``override`` also reads files that an earlier run has finished.
 
     Progress is kept per entity and per target, tables or search, and apart for merge lists, so that skipping one of them now
     does not skip these files for it later. The two targets accept different records.
+
+    File names pass through the driver, so a run takes whole dates of at most ``files_at_a_time`` files of an entity (one date at least),
+    oldest first, and commits them before the next. Merge lists are applied with the first part, so what is delivered later stays.
     """
+    report = run_part(spark, settings, tables, search, apply_deletes, override, {entity: settings.since for entity in entities}, files_at_a_time)
+    while report.left:
+        report.add(run_part(spark, settings, tables, search, False, override, report.left, files_at_a_time))
+    return report
+
+
+def run_part(spark: SparkSession, settings: Settings, tables: bool, search: bool, apply_deletes: bool, override: bool,
+             start: dict[str, str | None], files_at_a_time: int) -> UpdateReport:
+    """One part of a run. ``start`` names the entities and the date each is read from, if not from its watermark."""
     lake = LakeTables(spark, settings.out, settings.buckets)
     marks = lake.watermarks()
     number = lake.next_commit()
-    report = UpdateReport(number, lake.run)
+    report = UpdateReport(number, [lake.run])
     written: dict[str, dict[int, bool]] = {}
     new_marks: dict[str, str] = {}
     read_files: list[DataFrame] = []
 
-    for entity in entities:
+    for entity, date in start.items():
         targets = ([f"{entity} tables"] if tables else []) + ([f"{entity} search"] if search and entity == "work" else [])
         if not targets:
             continue
-        since = settings.since or min(marks.get(target, EPOCH) for target in targets)
+        since = date or min(marks.get(target, EPOCH) for target in targets)
         merge_targets = merge_progress(targets) if apply_deletes else []
         report.since[entity] = since
         stage = f"{settings.out}/staging/{lake.run}/{entity}"
         files = staged_files(list_files(spark, settings.root, entity, since), lake, targets, f"{stage}/files", override)
+        files, until = first_dates(files, files_at_a_time)
+        if until:
+            report.left[entity] = until
         merges = pending_merges(spark, settings, lake, entity, merge_targets, f"{stage}/merge_files", override)
         if files.isEmpty() and merges.isEmpty():
             report.metrics[entity] = {"records": 0, "rejects": 0}
@@ -95,6 +125,17 @@ def run_update(spark: SparkSession, settings: Settings, tables: bool = True, sea
     return report
 
 
+def first_dates(files: DataFrame, most: int) -> tuple[DataFrame, str | None]:
+    """The files of the oldest dates, at most so many but one date at least; and the last of these dates if files are left."""
+    dates = sorted(tuple(row) for row in files.groupBy("partition_date").agg(F.count("*")).collect())
+    total, until = 0, None
+    for date, n in dates:
+        if until is not None and total + n > most:
+            return files.where(F.col("partition_date") <= until), until
+        total, until = total + n, date
+    return files, None
+
+
 def merge_progress(targets: list[str]) -> list[str]:
     """Names under which the merge lists applied to the targets are kept."""
     return [f"{target} merges" for target in targets]

@@ -206,6 +206,20 @@ def test_merge_lists_that_came_while_deletes_were_off_are_applied_later(spark, w
     assert "W3" not in [r[0] for r in lake_rows(spark, settings, "search_works", "id")]
 
 
+@pytest.mark.parametrize("override", [False, True])
+def test_many_files_are_read_in_parts(spark, world, override):
+    snapshot, settings = world
+    snapshot.records("work", "2023-06-01", [work(1, title="second", updated_date="2023-06-01"), work(30)])
+    snapshot.records("work", "2023-06-01", [work(31)], part=1)
+    snapshot.records("work", "2023-06-02", [work(1, title="third", updated_date="2023-06-02")])
+    snapshot.merged("work", "2023-06-02", [("W2", "W1"), ("W30", "W1")])
+    report = run_update(spark, settings, entities=("work",), files_at_a_time=1, override=override)
+    assert report.metrics["work"]["records"] == 15 and len(report.runs) == 3 and report.watermark == {"work": "2023-06-02"}
+    assert lake_rows(spark, settings, "works", "id", "title") == [
+        ("W1", "third"), ("W2", "title 2"), ("W3", None), ("W30", "title 30"), ("W31", "title 31"), ("W4", "title 4")]
+    assert run_update(spark, settings, entities=("work",)).metrics["work"]["records"] == 0
+
+
 def test_another_bucket_count_is_refused(spark, world):
     snapshot, settings = world
     run_update(spark, settings, entities=("concept",))
