@@ -27,6 +27,7 @@ from scholar_lake.llm.common import settle
 SEED = 42
 DIRECT = 1024
 SLAB = 1 << 15
+MOST_LINKS = 1 << 20
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = SEED, distinct: bool = False) -> int:
@@ -118,6 +119,23 @@ def bucket_links(prints: np.ndarray, free: list[int], radius: int) -> list[tuple
     return [(places[copies], first[which][copies]), *distinct_links(kinds, first, free, radius)]
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets that the links connect, each as links from its nodes to its smallest one."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = ends[:len(a)], ends[len(a):]
+    labels = np.arange(len(nodes))
+    while True:
+        least = np.minimum(labels[a], labels[b])
+        lower = labels.copy()
+        np.minimum.at(lower, a, least)
+        np.minimum.at(lower, b, least)
+        lower = lower[lower]
+        if np.array_equal(lower, labels):
+            other = labels != np.arange(len(nodes))
+            return nodes[other], nodes[labels[other]]
+        labels = lower
+
+
 def links(nodes: DataFrame, radius: int = 3, seeds: int = 1) -> DataFrame:
     """Distinct (a, b) with a > b of nodes (``node``, ``prints``), which span all sets linked by ``radius`` or fewer differing bits
     between two fingerprints of one seed."""
@@ -149,6 +167,18 @@ def links(nodes: DataFrame, radius: int = 3, seeds: int = 1) -> DataFrame:
             yield tuple(np.concatenate(c) for c in zip(*waiting))
 
     def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's buckets have many links in common; it passes on one star for each set that they connect."""
+        own, room, made = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], MOST_LINKS, 0
+        for found in in_buckets(batches):
+            own.append(found)
+            made += len(found[0])
+            if made > room:
+                own = [stars(*(np.concatenate(x) for x in zip(*own)))]
+                made, room = len(own[0][0]), MOST_LINKS + 2 * len(own[0][0])
+        a, b = stars(*(np.concatenate(x) for x in zip(*own)))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def in_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for t, key, fp, node in whole_buckets(batches):
             if not len(t):
                 continue
@@ -161,8 +191,7 @@ def links(nodes: DataFrame, radius: int = 3, seeds: int = 1) -> DataFrame:
             for i, n in zip(first[size > 2], size[size > 2]):
                 own = node[i:i + n]
                 found += [(own[a], own[b]) for a, b in bucket_links(fp[i:i + n], free[t[i] % len(masks)], radius)]
-            a, b = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+            yield tuple(np.concatenate(x) for x in zip(*found))
     return dealt.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(linked, "a bigint, b bigint").distinct()
 
 
