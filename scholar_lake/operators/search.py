@@ -6,6 +6,8 @@ shuffled are hits. All aggregates group by document (or by document and start po
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scholar_lake.functions.abstracts import abstract_text, bind
@@ -49,6 +51,8 @@ def postings(docs: DataFrame, text: str, id: str = "id", stop_words: tuple[str,
     if terms is not None:
         wanted = _words(terms)
         found = F.filter(found, lambda p: p["token"].isin(wanted))
+        # a plain substring search is much cheaper than tokenizing texts that cannot have a hit
+        docs = docs.where(reduce(Column.__or__, [F.lower(F.col(text)).contains(word) for word in wanted], F.lit(False)))
     each = docs.select(F.col(id).alias("id"), F.explode(found).alias("p"))
     return each.select(F.col("p.token").alias("token"), "id", F.col("p.pos").alias("pos"))
 
