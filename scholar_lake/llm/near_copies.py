@@ -1,0 +1,213 @@
+"""Near copies by an exact similarity: covering-mask links as candidates, each checked by the Jaccard similarity of 5-word shingles.
+
+Texts are lower-cased words in order; equal ones are one node. Candidates are nodes whose fingerprints of the distinct words lie within
+``radius`` bits under any seed (``simhash.links`` spans the sets that these links connect). Two nodes of such a set are linked if the Jaccard
+similarity of their sets of 5-word shingles, taken by 64-bit hashes, reaches ``least``; sets that link are one component. A text of fewer words is one shingle.
+
+First the neighbours in each candidate set, sorted by node, are compared. Where a set then still has more than one component, its buckets
+are dealt again and all their candidate pairs between different components are compared, in rounds of ever wider distances within the
+bucket, until each such pair has been seen. So a large group of copies takes a few comparisons per text, and no candidate is left out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from scholar_lake.llm import arrays, simhash
+from scholar_lake.llm.common import document_key, settle
+
+WORDS = 5
+#: Seeds dealt out by one expression; more of them are more code than the JVM takes for one method.
+AT_ONCE = 4
+NEIGHBOURS = 8
+FIRST_REACH, WIDER = 4, 64
+
+
+def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the number of each text's first word."""
+    data, offsets = arrays.flat(column)
+    lower = arrays.LOWER[data]
+    starts, stops, first = arrays.pieces(lower, offsets, arrays.SPACES)
+    return arrays.piece_hashes(lower, starts, stops), first
+
+
+def majorities(words: np.ndarray, first: np.ndarray, seeds: tuple[int, ...]) -> np.ndarray:
+    """Fingerprints of each text's distinct words, one per seed; 0 without words."""
+    out = np.zeros((len(first) - 1, len(seeds)), np.uint64)
+    if not len(words):
+        return out.view(np.int64)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((words, text))
+    words, text = words[order], text[order]
+    new = np.ones(len(words), bool)
+    new[1:] = (words[1:] != words[:-1]) | (text[1:] != text[:-1])
+    words = words[new]
+    full, begin, count = np.unique(text[new], return_index=True, return_counts=True)
+    size, width = count.astype(np.uint64), 16 if count.max() < 1 << 16 else 32  # bits are counted in lanes of a number, many at once
+    lanes = np.uint64(sum(1 << i for i in range(0, 64, width)))
+    for j, salt in enumerate(arrays.mixed(np.array(seeds, np.uint64))):
+        hashes = arrays.mixed(words ^ salt)
+        for i in range(width):
+            ones = np.add.reduceat(hashes >> np.uint64(i) & lanes, begin)
+            for lane in range(0, 64, width):
+                n = ones >> np.uint64(lane) & np.uint64((1 << width) - 1)
+                out[full, j] |= (np.uint64(2) * n > size).astype(np.uint64) << np.uint64(i + lane)
+    return out.view(np.int64)
+
+
+def shingles(words: np.ndarray) -> np.ndarray:
+    """The distinct hashes of one text's shingles."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    width = min(WORDS, len(words))
+    hashes = np.zeros(len(words) - width + 1, np.uint64)
+    for i in range(width):
+        hashes = arrays.mixed(hashes + words[i:len(words) - width + 1 + i])
+    return np.unique(hashes).view(np.int64)
+
+
+def described(docs: DataFrame, seeds: tuple[int, ...], carry: tuple[str, ...]) -> DataFrame:
+    """The carried columns, ``node`` (a hash of the text's words in order) and ``prints``, a fingerprint per seed."""
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrays.chunks(batches, "copy_text"):
+            words, first = words_of(part.column("copy_text"))
+            prints = majorities(words, first, seeds)
+            raw = words.tobytes()
+            nodes = np.array([xxhash.xxh64_intdigest(raw[8 * a:8 * b]) for a, b in zip(first[:-1], first[1:])], np.uint64).view(np.int64)
+            offsets = pa.array(np.arange(len(prints) + 1, dtype=np.int32) * len(seeds))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carry], pa.array(nodes),
+                                              pa.ListArray.from_arrays(offsets, pa.array(prints.ravel()))], names=[*carry, "node", "prints"])
+    wanted = docs.select(*carry, F.col("text").alias("copy_text"))
+    schema = wanted.select(*carry).schema.add("node", T.LongType()).add("prints", T.ArrayType(T.LongType()))
+    return wanted.mapInArrow(each, schema)
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``grams`` for the wanted (node, doc_key)."""
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrays.chunks(batches):
+            words, first = words_of(part.column("text"))
+            grams = [shingles(words[a:b]) for a, b in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(grams, pa.list_(pa.int64()))], names=["node", "grams"])
+    texts = docs.select(document_key().alias("text_key"), "text").join(wanted, F.col("text_key") == F.col("doc_key"))
+    return texts.select("node", "text").mapInArrow(each, "node bigint, grams array<bigint>").dropDuplicates(["node"])
+
+
+def neighbours(candidates: DataFrame, radius: int) -> DataFrame:
+    """Candidate pairs of nodes that are next to each other in their set. Ranges may cut a set; what is cut off is compared by bucket."""
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            root, node = batch.column("root").to_numpy(), batch.column("node").to_numpy()
+            prints = batch.column("prints").flatten().to_numpy().reshape(len(node), -1)
+            before = len(rows[1]) if rows else 0
+            rows = tuple(np.concatenate(c) for c in zip(rows, (root, node, prints))) if rows else (root, node, prints)
+            root, node, prints = rows
+            for k in range(1, NEIGHBOURS + 1):
+                at = np.arange(max(before, k), len(node))
+                at = at[root[at] == root[at - k]]
+                at = at[(np.bitwise_count((prints[at] ^ prints[at - k]).view(np.uint64)) <= radius).any(axis=1)]
+                yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[at - k])], names=["a", "b"])
+            rows = tuple(r[-NEIGHBOURS:] for r in rows)
+    sets = candidates.select("root", "node", "prints").repartitionByRange("root", "node").sortWithinPartitions("root", "node")
+    return sets.mapInArrow(each, "a bigint, b bigint")
+
+
+def whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """fp, node and label of one bucket after the other, from rows sorted by t and key."""
+    waiting: list[tuple[np.ndarray, ...]] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = tuple(batch.column(c).to_numpy() for c in ("t", "key", "fp", "node", "label"))
+        edges = [0, *(np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)) + 1), batch.num_rows]
+        for i, j in zip(edges[:-1], edges[1:]):
+            if waiting and last != (rows[0][i], rows[1][i]):
+                yield tuple(np.concatenate(c) for c in zip(*waiting))
+                waiting = []
+            last = (rows[0][i], rows[1][i])
+            waiting.append(tuple(r[i:j] for r in rows[2:]))
+    if waiting:
+        yield tuple(np.concatenate(c) for c in zip(*waiting))
+
+
+def bucket_pairs(fp: np.ndarray, node: np.ndarray, label: np.ndarray, radius: int, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs between different labels that are more than ``low`` and up to ``high`` places apart in the bucket, taken as a ring."""
+    place = np.arange(len(node))
+    for k in range(low + 1, min(high, len(node) // 2) + 1):
+        other = (place + k) % len(node)
+        near = np.flatnonzero((label != label[other]) & (np.bitwise_count((fp ^ fp[other]).view(np.uint64)) <= radius))
+        if len(near):
+            a, b = node[near], node[other[near]]
+            yield np.maximum(a, b), np.minimum(a, b)
+
+
+def across(nodes: DataFrame, radius: int, low: int, high: int) -> DataFrame:
+    """Such pairs of all buckets of (node, prints, label); a row with a = b for a bucket that needs a wider reach."""
+    masks = simhash.covering_masks(radius)
+    tables = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(simhash.signed(m)).alias("mask")) for i, m in enumerate(masks)]))
+    dealt = (nodes.select("node", "label", F.posexplode("prints").alias("s", "fp")).select("*", tables.alias("table"))
+             .select((F.col("s") * len(masks) + F.col("table.i")).alias("t"), F.col("fp").bitwiseAND(F.col("table.mask")).alias("key"), "fp", "node", "label"))
+
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for fp, node, label in whole_buckets(batches):
+            if (label == label[0]).all():
+                continue
+            for a, b in bucket_pairs(fp, node, label, radius, low, high):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            if len(node) // 2 > high:
+                yield pa.RecordBatch.from_arrays([pa.array(node[:1]), pa.array(node[:1])], names=["a", "b"])
+    return dealt.repartition("t", "key").sortWithinPartitions("t", "key", "node").mapInArrow(each, "a bigint, b bigint").distinct()
+
+
+def checked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sets of shingles are similar enough."""
+    sized = sets.select("node", "grams", F.size("grams").alias("n"))
+    both = (pairs.join(sized.toDF("a", "x", "nx"), "a").join(sized.toDF("b", "y", "ny"), "b")
+            .where(F.least("nx", "ny") >= least * F.greatest("nx", "ny")).withColumn("shared", F.size(F.array_intersect("x", "y"))))
+    return both.where(F.col("shared") >= least * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b")
+
+
+def rooted(edges: DataFrame) -> DataFrame:
+    return simhash.components(edges).select(F.col("node").alias("leaf"), F.col("root").alias("label"))
+
+
+def near_copies(docs: DataFrame, radius: int, seeds: tuple[int, ...], least: float) -> DataFrame:
+    """doc_id, doc_key and ``component`` of each document."""
+    rows = settle(described(docs.select("doc_id", document_key().alias("doc_key"), "text"), seeds, ("doc_id", "doc_key")))
+    nodes = rows.groupBy("node").agg(F.min("doc_key").alias("doc_key"), F.any_value("prints").alias("prints"))
+    links = [simhash.links(nodes.select("node", F.slice("prints", i + 1, AT_ONCE).alias("prints")), radius, len(seeds[i:i + AT_ONCE]))
+             for i in range(0, len(seeds), AT_ONCE)]
+    near = settle(simhash.components(reduce(DataFrame.union, links)))
+    members = settle(near.select("node", "root").union(near.select(F.col("root").alias("node"), "root").distinct()))
+    candidates = settle(nodes.join(members.select(F.col("node").alias("member"), "root"), F.col("node") == F.col("member")).drop("member"))
+    sets = settle(shingle_sets(docs, candidates.select("node", "doc_key")))
+    edges = settle(checked(neighbours(candidates, radius), sets, least))
+    low, high, roots = 0, FIRST_REACH, rooted(edges)
+    while True:
+        labelled = settle(candidates.join(roots, F.col("node") == F.col("leaf"), "left")
+                          .select("node", "root", "prints", F.coalesce("label", "node").alias("label")))
+        open_ = settle(labelled.groupBy("root").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+                       .where("least <> most").select(F.col("root").alias("open_root")))
+        if open_.isEmpty():
+            break
+        unsettled = labelled.join(open_, F.col("root") == F.col("open_root"), "left_semi")
+        found = settle(across(unsettled.select("node", "prints", "label"), radius, low, high))
+        new = settle(checked(found.where("a <> b"), sets, least))
+        if not new.isEmpty():
+            edges = edges.union(new)
+            roots = rooted(edges)
+        if found.where("a = b").isEmpty():
+            break
+        low, high = high, WIDER * high
+    named = nodes.select("node").join(roots, F.col("node") == F.col("leaf"), "left").select(F.col("node").alias("class"), F.coalesce("label", "node").alias("component"))
+    return rows.join(named, F.col("node") == F.col("class")).select("doc_id", "doc_key", "component")

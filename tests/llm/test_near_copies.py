@@ -1,0 +1,92 @@
+import random
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+
+import corpus_pipeline
+from llm.tools import groups
+from scholar_lake.llm import near_copies
+
+
+def grams(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def jaccard(a, b):
+    a, b = grams(a), grams(b)
+    return len(a & b) / max(len(a | b), 1)
+
+
+def edited(rng, text, share):
+    words = text.split()
+    for k in rng.sample(range(len(words)), round(share * len(words))):
+        words[k] = f"w{rng.randrange(10 ** 6)}"
+    return " ".join(words)
+
+
+def reordered(rng, text):
+    return " ".join(rng.sample(text.split(), len(text.split())))
+
+
+def made():
+    """Originals, copies with 1 to 4 % of the words edited, the same words in another order, and near-misses with a fifth edited."""
+    rng, docs = random.Random(3), []
+    for _ in range(25):
+        text = " ".join(f"w{rng.randrange(4000)}" for _ in range(rng.randint(100, 400)))
+        docs += [text, text.upper(), edited(rng, text, 0.01), edited(rng, text, 0.04), reordered(rng, text), edited(rng, text, 0.2)]
+    return docs
+
+
+def components(spark, texts, **how):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    how = {"radius": corpus_pipeline.RADIUS, "seeds": corpus_pipeline.SEEDS, "least": corpus_pipeline.LEAST_SIMILARITY} | how
+    return {r.doc_id: r.component for r in near_copies.near_copies(docs, **how).collect()}
+
+
+def held_against_brute_force(texts, component, least, sure):
+    """No pair at ``sure`` or more is in two components, and each component hangs together by pairs of at least ``least``."""
+    similar = {(i, j): s for i, j in combinations(range(len(texts)), 2) if (s := jaccard(texts[i], texts[j])) >= least}
+    assert all(component[i] == component[j] for (i, j), s in similar.items() if s >= sure)
+    inside = groups(len(texts), [p for p in similar if component[p[0]] == component[p[1]]])
+    assert len(inside) == len(set(component.values()))
+
+
+def test_copies_go_and_reordered_texts_and_near_misses_stay(spark):
+    texts = made()
+    component = components(spark, texts)
+    held_against_brute_force(texts, component, corpus_pipeline.LEAST_SIMILARITY, 0.8)
+    sizes = sorted(list(component.values()).count(c) for c in set(component.values()))
+    assert sizes.count(1) >= 50  # the reordered texts and the near-misses
+
+
+def test_stage_keeps_reordered_texts(spark):
+    texts = made()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert {i for i in range(len(texts)) if i % 6 in (0, 4, 5)} <= kept and not kept & {i for i in range(len(texts)) if i % 6 in (1, 2)}
+
+
+def test_no_candidate_of_a_large_bucket_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "FIRST_REACH", 1)
+    monkeypatch.setattr(near_copies, "WIDER", 2)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    orders = [" ".join(rng.sample(words, 300)) for _ in range(9)]  # one bucket of every table, but only three of each order are similar
+    texts = [edited(rng, t, 0.003 * k) for k in range(3) for t in orders]
+    component = components(spark, texts, least=0.8)
+    held_against_brute_force(texts, component, 0.8, 0.8)
+    assert len(set(component.values())) == 9
+
+
+def test_fingerprints_of_long_and_short_texts():
+    texts = ["a b a", " ".join(str(i) for i in range(70_000)), None, "b A"]
+    words, first = near_copies.words_of(pa.array(texts, pa.string()))
+    prints = near_copies.majorities(words, first, (1, 2))
+    for i in range(len(texts)):
+        own = np.unique(words[first[i]:first[i + 1]])
+        for j, seed in enumerate((1, 2)):
+            hashes = near_copies.arrays.mixed(own ^ near_copies.arrays.mixed(np.array([seed], np.uint64)))
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+            assert int(prints[i, j]) & (2 ** 64 - 1) == sum(1 << b for b in range(64) if 2 * int(bits[b]) > len(own))
