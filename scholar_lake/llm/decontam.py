@@ -5,6 +5,9 @@ n-gram of the test items occurs; of each item the rarer share of its n-grams are
 window of the text around each place where an item may lie, and aligns item and window locally (match 2, mismatch and gap -1). The score is
 the alignment's share of what the whole item would reach; edited and paraphrased copies keep most of it.
 
+A pair is reported if the score reaches ``least`` and enough words are aligned: of an item of up to WHOLE_WORDS words all, of a longer one
+all but one, and from LEAST_WORDS + 1 words on at least LEAST_WORDS (see ``least_score``).
+
 Items come as blocks of at most ``block_bytes`` of text, sent to all tasks; more items mean more blocks, each against all documents.
 Documents are not shuffled. Defined results: null and blank texts and items match nothing, and nor do items of fewer words than an
 n-gram; of equal items each is reported; equal documents give equal rows; empty tables on either side give an empty report; other columns are carried by ``clean`` and not looked at.
@@ -23,6 +26,8 @@ from scholar_lake.llm import arrays
 
 N = 3
 RARE_SHARE, LEAST_SEEDS = 0.75, 10
+#: Items of so few words must occur whole and without a gap; of longer ones all words but one, or this number of words, must be aligned.
+WHOLE_WORDS, LEAST_WORDS = 5, 8
 MATCH, MISMATCH, GAP = 2, 1, 1
 FILTER_BITS = 22
 SLICE_BYTES = 1 << 20
@@ -83,7 +88,9 @@ class Items:
         order = np.lexsort((self.place, documents[seed], self.item))
         items, begin, count = np.unique(self.item[order], return_index=True, return_counts=True)
         rank = np.arange(len(order)) - np.repeat(begin, count)
+        length = np.diff(self.first)[items]
         wanted = np.minimum(np.maximum(np.ceil(RARE_SHARE * count), LEAST_SEEDS), count)
+        wanted = np.where(length <= WHOLE_WORDS, 1, wanted)  # these must occur whole, so the rarest n-gram finds them all
         kept = np.sort(order[rank < np.repeat(wanted, count)])
         places = self.place[kept] + self.first[self.item[kept]]
         return Items(self.ids, self.words, self.first, *self.index(places, self.seeds[seed[kept]], self.first))
@@ -120,6 +127,16 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, end
 
 
+def least_score(length: np.ndarray, least: float) -> np.ndarray:
+    """The alignment score from which an item of so many words is reported.
+
+    w aligned words with one edit between them score MATCH * w - 1, which fewer words cannot reach.
+    """
+    words = np.minimum(length - 1, LEAST_WORDS)
+    enough = np.where(length <= WHOLE_WORDS, MATCH * length, MATCH * words - 1)
+    return np.maximum(least * MATCH * length, enough)
+
+
 def rows_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, pad: int, backwards: bool = False) -> np.ndarray:
     """Runs of words as the rows of a matrix; padded at the end."""
     lengths = stop - start
@@ -130,7 +147,7 @@ def rows_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, pad: int, ba
 
 
 def leaks(words: np.ndarray, first: np.ndarray, items: Items, least: float) -> tuple[np.ndarray, ...]:
-    """(text, item, score, first word, last word) of the best alignment of each text and item that reaches ``least``."""
+    """(text, item, score, first word, last word) of the best alignment of each text and item that is to be reported."""
     places, hashes = ngrams(words, first)
     hit, seed = items.find(hashes)
     many = items.at[seed + 1] - items.at[seed]
@@ -146,6 +163,7 @@ def leaks(words: np.ndarray, first: np.ndarray, items: Items, least: float) -> t
     start = np.clip(first[text] + cell * length - slack, first[text], first[text + 1])
     stop = np.clip(first[text] + (cell + 2) * length + slack, first[text], first[text + 1])
     score, end, begin = np.zeros(len(text)), np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
+    reached = np.zeros(len(text), bool)
     order = np.argsort(length, kind="stable")
     for i in range(0, len(order), PAIRS_AT_ONCE):
         own = order[i:i + PAIRS_AT_ONCE]
@@ -153,12 +171,13 @@ def leaks(words: np.ndarray, first: np.ndarray, items: Items, least: float) -> t
         a, b = rows_of(items.words, item_from, item_to, 0), rows_of(words, start[own], stop[own], 1)
         best, at = align(a, b)
         score[own], end[own] = best / (MATCH * length[own]), start[own] + at
-        good = np.flatnonzero(score[own] >= least)
+        reached[own] = best >= least_score(length[own], least)
+        good = np.flatnonzero(reached[own])
         if len(good):  # the same backwards from the end gives the first word
             a = rows_of(items.words, item_from[good], item_to[good], 0, backwards=True)
             b = rows_of(words, start[own][good], end[own][good] + 1, 1, backwards=True)
             begin[own[good]] = end[own][good] - align(a, b)[1]
-    good = np.flatnonzero(score >= least)
+    good = np.flatnonzero(reached)
     good = good[np.lexsort((start[good], -score[good], item[good], text[good]))]
     one = np.concatenate(([True], (np.diff(text[good]) != 0) | (np.diff(item[good]) != 0)))[:len(good)]
     good = good[one]

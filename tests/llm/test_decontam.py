@@ -71,3 +71,19 @@ def test_empty_sides(spark, awkward, nothing, planted):
     assert decontam.find_leaks(awkward, none).count() == decontam.find_leaks(nothing, items).count() == 0
     assert decontam.clean(awkward, none).count() == awkward.count() and decontam.clean(nothing, items).count() == 0
     assert decontam.clean(awkward, items).count() == awkward.count()
+
+
+def reported(spark, docs, items):
+    rows = decontam.find_leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+                               spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    return {(r.doc_id, r.item_id) for r in rows}
+
+
+def test_short_items_need_nearly_all_of_their_words(spark):
+    items = ["who won it", "where is the sea", "how do you do today", "what is the capital of france", "what is the point of this whole",
+             "once upon a time there was a king"]
+    common = ["what is the time and where is the key", "how do you do it what is the capital idea", "this is the point of no return who won",
+              "once upon a time there lived an old queen", "what is the point of it and where is the harbour"]
+    copies = ["tell me who won it then", "oh where is the sea now", "well how do you do today sir", "so what is the capital of spain",
+              "then what was the point of this whole thing", "once upon a time there was one king"]
+    assert reported(spark, common * 20 + copies, items) == {(100 + i, i) for i in range(len(items))}
