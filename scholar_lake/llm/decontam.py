@@ -6,7 +6,9 @@ window of the text around each place where an item may lie, and aligns item and
 the alignment's share of what the whole item would reach; edited and paraphrased copies keep most of it.
 
 A pair is reported if the score reaches ``least`` and enough words are aligned: of an item of up to WHOLE_WORDS words all, of a longer one
-all but one, and from LEAST_WORDS + 1 words on at least LEAST_WORDS (see ``least_score``).
+all but one, and from LEAST_WORDS + 1 words on at least LEAST_WORDS (see ``least_score``). Of an item of over 2 * PASSAGE words a passage
+is reported too, whatever its share of the item: PASSAGE words in a row, or as many more as make up for edits, three for each (a second alignment,
+match 1, mismatch and gap -3, reaches PASSAGE). So that each passage has seeds, those of such items are chosen per stretch of STRETCH n-grams.
 
 Items come as blocks of at most ``block_bytes`` of text, sent to all tasks; more items mean more blocks, each against all documents.
 Documents are not shuffled. Defined results: null and blank texts and items match nothing, and nor do items of fewer words than an
@@ -28,6 +30,9 @@ N = 3
 RARE_SHARE, LEAST_SEEDS = 0.75, 10
 #: Items of so few words must occur whole and without a gap; of longer ones all words but one, or this number of words, must be aligned.
 WHOLE_WORDS, LEAST_WORDS = 5, 8
+#: Words of a passage of a long item, and the price of an edit in it; 2 * STRETCH - 1 n-grams in a row hold a whole stretch, and a passage has that many.
+PASSAGE, EDIT = 30, 3
+STRETCH = (PASSAGE - N + 2) // 2
 MATCH, MISMATCH, GAP = 2, 1, 1
 FILTER_BITS = 22
 SLICE_BYTES = 1 << 20
@@ -85,8 +90,12 @@ class Items:
     def rare(self, documents: np.ndarray) -> "Items":
         """The same items with the rarer n-grams of each as seeds, by the number of documents that have them."""
         seed = np.repeat(np.arange(len(self.seeds)), np.diff(self.at))
-        order = np.lexsort((self.place, documents[seed], self.item))
-        items, begin, count = np.unique(self.item[order], return_index=True, return_counts=True)
+        stretch = np.where(np.diff(self.first)[self.item] > 2 * PASSAGE, self.place // STRETCH, 0)
+        order = np.lexsort((self.place, documents[seed], stretch, self.item))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(self.item[order]) != 0) | (np.diff(stretch[order]) != 0)
+        begin = np.flatnonzero(new)
+        items, count = self.item[order][begin], np.diff(np.append(begin, len(order)))
         rank = np.arange(len(order)) - np.repeat(begin, count)
         length = np.diff(self.first)[items]
         wanted = np.minimum(np.maximum(np.ceil(RARE_SHARE * count), LEAST_SEEDS), count)
@@ -108,18 +117,18 @@ class Items:
         return likely[hit], spot[hit]
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def align(a: np.ndarray, b: np.ndarray, match: int = MATCH, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[np.ndarray, np.ndarray]:
     """Smith-Waterman of many pairs (a row each, padded with numbers that never match): best scores, and where they end in b.
 
     Rows of the matrix are taken one by one; gaps along a row are a running maximum.
     """
     pairs, width = b.shape
-    slope = GAP * np.arange(width, dtype=np.int32)
+    slope = gap * np.arange(width, dtype=np.int32)
     row, best, end = np.zeros((pairs, width), np.int32), np.zeros(pairs, np.int32), np.zeros(pairs, np.int64)
     for i in range(a.shape[1]):
         diagonal = np.zeros_like(row)
         diagonal[:, 1:] = row[:, :-1]
-        now = np.maximum(diagonal + np.where(b == a[:, i:i + 1], MATCH, -MISMATCH).astype(np.int32), row - GAP)
+        now = np.maximum(diagonal + np.where(b == a[:, i:i + 1], match, -mismatch).astype(np.int32), row - gap)
         row = np.maximum(np.maximum.accumulate(np.maximum(now, 0) + slope, axis=1) - slope, 0)
         top = row.max(axis=1)
         better = top > best
@@ -177,6 +186,16 @@ def leaks(words: np.ndarray, first: np.ndarray, items: Items, least: float) -> t
             a = rows_of(items.words, item_from[good], item_to[good], 0, backwards=True)
             b = rows_of(words, start[own][good], end[own][good] + 1, 1, backwards=True)
             begin[own[good]] = end[own][good] - align(a, b)[1]
+        part = np.flatnonzero(~reached[own] & (length[own] > 2 * PASSAGE) & (best >= MATCH * PASSAGE))
+        if len(part):  # a passage of a long item
+            a, b = rows_of(items.words, item_from[part], item_to[part], 0), rows_of(words, start[own][part], stop[own][part], 1)
+            dense, at = align(a, b, 1, EDIT, EDIT)
+            part, at = part[dense >= PASSAGE], at[dense >= PASSAGE]
+            reached[own[part]], end[own[part]] = True, start[own][part] + at
+        if len(part):
+            a = rows_of(items.words, item_from[part], item_to[part], 0, backwards=True)
+            b = rows_of(words, start[own][part], end[own][part] + 1, 1, backwards=True)
+            begin[own[part]] = end[own][part] - align(a, b, 1, EDIT, EDIT)[1]
     good = np.flatnonzero(reached)
     good = good[np.lexsort((start[good], -score[good], item[good], text[good]))]
     one = np.concatenate(([True], (np.diff(text[good]) != 0) | (np.diff(item[good]) != 0)))[:len(good)]

@@ -87,3 +87,23 @@ def test_short_items_need_nearly_all_of_their_words(spark):
     copies = ["tell me who won it then", "oh where is the sea now", "well how do you do today sir", "so what is the capital of spain",
               "then what was the point of this whole thing", "once upon a time there was one king"]
     assert reported(spark, common * 20 + copies, items) == {(100 + i, i) for i in range(len(items))}
+
+
+def test_partial_copies_of_long_items(spark):
+    rng = random.Random(11)
+    words = vocabulary(rng, 3000)
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [say(400), say(300), say(500)]
+    edited = items[2][200:300]
+    for k in range(5, 100, 12):
+        edited[k] = "changed"
+    docs = [say(80) + items[0][150:340] + say(60), items[1][120:220], say(300) + edited + say(10), say(40) + items[0][-30:], items[1][:31] + say(900)]
+    expected = {(0, 0), (1, 1), (2, 2), (3, 0), (4, 1)}
+    clean = [say(600), items[0][:24] + say(200), [w for x in items[2][:120] for w in (x, rng.choice(words), rng.choice(words))]]
+    # a passage that many documents hold keeps its seeds
+    docs, expected = docs + clean + [say(50) + items[1][40:75] for _ in range(60)], expected | {(8 + i, 1) for i in range(60)}
+    rows = decontam.find_leaks(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string"),
+                               spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == expected
+    at = {r.doc_id: (r.first_word, r.last_word) for r in rows}
+    assert at[0][0] <= 80 and at[0][1] >= 269 and at[1] == (0, 99) and at[3][0] <= 40 and at[3][1] == 69
