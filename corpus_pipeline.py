@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from scholar_lake.llm import decontam, mixing, near_copies, ppm, sharding
 from scholar_lake.llm.common import document_key, shared_folder, table
 
-#: Documents whose language is less sure than this are rejected, as are texts that are null or have no letter.
+#: Documents whose language is less sure than this are rejected, as are texts that are null or have no letter,
+#: and those that take more bits per byte than ``ppm.limits`` allows in their language.
 LEAST_SCORE = 0.5
 #: Near copies: candidates by fingerprints of the distinct words under several seeds, within RADIUS bits under any; linked if the Jaccard
 #: similarity of their 5-word shingles reaches LEAST_SIMILARITY.
@@ -27,9 +28,10 @@ SHARDS = 8
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled documents teach."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    model = ppm.learn(docs.where(~ppm.held_out(F.col("doc_id"))))
-    judged = ppm.predict(docs.select("text", row), model, "row")
-    return judged.where((F.col("lang_pred") != ppm.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    samples = ppm.sample(docs.where(~ppm.held_out(F.col("doc_id"))))
+    judged = ppm.predict(docs.select("text", row), ppm.Model.learn(samples), "row", "text")
+    sure = (F.col("lang_pred") != ppm.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return judged.where(sure & ppm.readable(ppm.limits(samples))).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ from scholar_lake.llm import arrays
 ORDER = 3
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
+#: For ``limits``: held-out texts of sf0.1 take up to 3.3 times their language's median, texts in unlearnt languages and junk about 4 times and more.
+LIMIT, SLACK = 3.5, 64
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -161,9 +163,9 @@ class Model:
         return out
 
 
-def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = 600,
-          sample_bytes: int = 2_000_000) -> Model:
-    """A model from a bounded sample of rows: those with the smallest hashes of each language.
+def sample(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = 600,
+           sample_bytes: int = 2_000_000) -> dict[str, list[str]]:
+    """A bounded sample of rows: those with the smallest hashes of each language.
 
     A count of each language's rows sets the share of hashes to look at, so that only about 1.5 * sample_docs rows of a language move.
     Texts of over a tenth of sample_bytes are not sampled.
@@ -172,7 +174,7 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         "lang IS NOT NULL AND text IS NOT NULL").withColumn("spot", F.shiftright(F.xxhash64("doc_id"), 33) + 2 ** 30)
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
-        return Model([], [])
+        return {}
     near = F.lit(False)
     for language, n in sizes.items():
         near = near | ((F.col("lang") == language) & (F.col("spot") < int(min(1.0, 1.5 * (sample_docs + 50) / n) * 2 ** 31)))
@@ -184,7 +186,34 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     samples: dict[str, list[str]] = {}
     for row in taken.select("lang", "text").toLocalIterator():
         samples.setdefault(row["lang"], []).append(row["text"])
-    return Model.learn(samples)
+    return samples
+
+
+def learn(rows: DataFrame, **how) -> Model:
+    """A model from such a sample."""
+    return Model.learn(sample(rows, **how))
+
+
+def limits(samples: dict[str, list[str]]) -> dict[str, float]:
+    """The most bits per byte of a text in each language: LIMIT times the median of every second sampled text under a model of the others.
+
+    A language of fewer than two sampled texts has no limit.
+    """
+    found = {}
+    for language, texts in samples.items():
+        taught, asked = Model.learn({language: texts[::2]}), [t for t in texts[1::2] if t]
+        if taught.trees and asked:
+            ends = np.cumsum([len(t.encode()) for t in asked])
+            codes = strings(*arrays.flat(pa.array(asked, pa.string())))
+            bits = np.add.reduceat(taught.trees[0].cost(codes), np.append(0, ends[:-1]))
+            found[language] = LIMIT * float(np.median(bits / np.diff(np.append(0, ends))))
+    return found
+
+
+def readable(limits: dict[str, float]) -> Column:
+    """Whether a predicted row's text is short enough in code for its language; SLACK bits are free, as few bytes say little."""
+    most = F.coalesce(*[F.when(F.col("lang_pred") == language, F.lit(most)) for language, most in limits.items()], F.lit(float("inf")))
+    return F.col("bits_per_byte") <= most + SLACK / F.greatest(F.octet_length("text"), F.lit(1))
 
 
 def predict(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
