@@ -66,3 +66,11 @@ def test_awkward_rows(awkward, nothing):
         assert (r.lang_pred == "und") == (r.text is None or not any(c.isalpha() for c in r.text))
     assert ppm.predict(nothing, ppm.learn(nothing), "doc_id").count() == 0
     assert {r.lang_pred for r in ppm.predict(awkward, ppm.learn(nothing), "doc_id").collect()} == {"und"}
+
+
+def test_a_language_of_long_texts_only_is_learnt(spark):
+    rows = [(i, "ab ba " * 40_000 + str(i), "x") for i in range(3)] + [(10 + i, f"yz zy {i}", "y") for i in range(3)]
+    model = ppm.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["x", "y"]
+    asked = spark.createDataFrame([("ab ba ab",), ("zy yz zy",)], "text string")
+    assert {r.text: r.lang_pred for r in ppm.predict(asked, model, "text").collect()} == {"ab ba ab": "x", "zy yz zy": "y"}
