@@ -79,6 +79,23 @@ SELECT d.doc_id, len(any_value(d.ws))::BIGINT AS n_words, count(*) FILTER (exact
 FROM docs d LEFT JOIN kept USING (rid) GROUP BY d.rid, d.doc_id"""
 
 
+def ranked_search() -> str:
+    terms = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    return f"""
+WITH known AS (SELECT *, len(terms) AS n FROM (SELECT row_number() OVER () AS rid, doc_id, {terms} AS terms FROM documents) WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM known),
+asked AS (SELECT item, item_id, unnest(list_distinct(terms)) AS term FROM (SELECT row_number() OVER () AS item, item_id, {terms} AS terms FROM benchmark)),
+counts AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, n, unnest(terms) AS term FROM known)
+           WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM counts, corpus GROUP BY term, docs),
+scored AS (SELECT item, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+           FROM counts JOIN weights USING (term) JOIN asked USING (term), corpus GROUP BY item, item_id, rid, doc_id)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0) WHERE place <= 50"""
+
+
 ORACLES = {
     "op2_secrets": secret_scan(),
     "op5_licenses": license_scan(),
@@ -109,4 +126,5 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op13_ranked_search": ranked_search(),
 }

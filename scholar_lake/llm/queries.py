@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from scholar_lake.llm import chat, decontam, licences, mixing, ppm, repetition, secrets, sharding, simhash, suffix_dedup
+from scholar_lake.llm import (chat, decontam, licences, minhash, mixing, ppm, ranked_search, repetition, secrets, sharding, simhash, suffix_dedup,
+                              tokenizer_links)
 from scholar_lake.llm.common import table
 
 
@@ -79,6 +80,18 @@ def shard_plan(spark: SparkSession, sf: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+def minhash_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+def token_links(spark: SparkSession, sf: str) -> DataFrame:
+    return tokenizer_links.counted_links(table(spark, sf, "documents"))
+
+
+def ranked_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_repetition": quality,
     "op2_secrets": secret_scan,
@@ -90,5 +103,8 @@ QUERIES = {
     "op8_decontamination": benchmark_leaks,
     "op9_chat": chat_format,
     "op10_sharding": shard_plan,
+    "op11_minhash": minhash_copies,
+    "op12_tokenizer_links": token_links,
+    "op13_ranked_search": ranked_documents,
     "pipeline": corpus_pipeline.run,
 }
