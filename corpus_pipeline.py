@@ -13,15 +13,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from scholar_lake.llm import decontam, mixing, near_copies, ppm, sharding
+from scholar_lake.llm import decontam, mixing, ppm, sharding, simhash
 from scholar_lake.llm.common import document_key, shared_folder, table
 
 #: Documents whose language is less sure than this are rejected, as are texts that are null or have no letter,
 #: and those that take more bits per byte than ``ppm.limits`` allows in their language.
 LEAST_SCORE = 0.5
-#: Near copies: candidates by fingerprints of the distinct words under several seeds, within RADIUS bits under any; linked if the Jaccard
-#: similarity of their 5-word shingles reaches LEAST_SIMILARITY.
-SEEDS, RADIUS, LEAST_SIMILARITY = tuple(range(42, 50)), 4, 0.5
+#: Near copies: fingerprints of word shingles of this length that differ in so many bits at most.
+SHINGLE, RADIUS = 3, 3
 SHARDS = 8
 
 
@@ -36,7 +35,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    found = near_copies.near_copies(docs, RADIUS, SEEDS, LEAST_SIMILARITY)
+    keyed = docs.select("doc_id", document_key().alias("doc_key"), "text")
+    found = simhash.near_duplicates(keyed, SHINGLE, RADIUS, carry=("doc_id", "doc_key"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key"))
     staying = found.groupBy("component").agg(first.alias("first")).select(F.col("first.doc_key").alias("staying_key"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
