@@ -155,7 +155,7 @@ def runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), n))
 
 
-def compared(rows: DataFrame, durable: bool = False) -> DataFrame:
+def compared(rows: DataFrame) -> DataFrame:
     """Sorted buckets of suffix rows, neighbours compared: the rows whose core has company, with
 
     ``same``: rows with this segment, ``others``: whether the core has another segment, ``chosen``: whether the row stands for its segment.
@@ -178,7 +178,8 @@ def compared(rows: DataFrame, durable: bool = False) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = rows.repartitionByRange(parts, *ROW[:4]).sortWithinPartitions(*ROW)
     found = buckets.mapInArrow(scan, ROW_DDL + ", same bigint, others boolean, chosen boolean, core_open boolean, segment_open boolean")
-    found = settle(found) if durable else found
+    # the sampled bounds of the buckets hold for this one evaluation only, so what is derived from them must come from one written result
+    found = settle(found)
     core, segment = ["lead", "core"], ["lead", "core", "segment"]
     across = found.where("core_open").groupBy(*core).agg(F.count(F.lit(1)).alias("core_rows"),
                                                          (F.min("segment") != F.max("segment")).alias("core_others"))
@@ -227,7 +228,7 @@ def duplicate_spans(keyed: DataFrame, texts: DataFrame, length: int, core: int)
     """
     if not 8 <= core <= length or length - core > FIELD:
         raise ValueError("a core has 8 bytes at least and is shorter than the string by 4,095 at most")
-    met = compared(suffixes(keyed.select("key", "text").where(F.octet_length("text") >= length), length, core), durable=True)
+    met = compared(suffixes(keyed.select("key", "text").where(F.octet_length("text") >= length), length, core))
     steps = [met]
     for size in STEPS:
         steps.append(compared(expanded(texts, steps[-1], length, size)))

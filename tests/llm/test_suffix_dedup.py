@@ -53,6 +53,22 @@ def test_matches_brute_force(spark, kinds, hot):
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256
 
 
+@pytest.mark.parametrize("parts", [3, 11])
+def test_results_do_not_depend_on_reused_exchanges(spark, parts):
+    """Bucket bounds are sampled; what is derived from them must not come from a second sample."""
+    texts = corpus(random.Random(parts), "dense")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        rows = suffix_dedup.remove_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 40, 18).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    expected = brute(texts, 40)
+    assert [tuple(r)[1:5] for r in sorted(rows)] == expected
+
+
 def test_awkward_rows(awkward, nothing):
     rows = suffix_dedup.remove_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
