@@ -68,3 +68,15 @@ def test_awkward_rows(spark, awkward, nothing):
     assert len(rows) == awkward.count() and {r.n_a for r in rows if r.doc_id in (3, 4)} == {0}
     assert len({tuple(r) for r in rows if r.doc_id == 0}) == 1 and all(r.n_groups for r in rows if r.doc_id in (6, 7, 8, 9))
     assert tokenizer_links.counted_links(nothing).count() == 0
+
+
+def test_both_encoders_agree():
+    """The fast encoder and the file's own library, for every code point in several surroundings."""
+    from tokenizers import Tokenizer
+    made = Tokenizer.from_file(f"{tokenizer_links.FOLDER}/{tokenizer_links.BYTE_LEVEL}")
+    made.encode_special_tokens = True
+    texts = [f" a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}  {chr(c)}\n" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += [t for t in TEXTS if t] + ["ab " * 40000, "x" * 150000, " " * 150000]
+    encode = tokenizer_links.tokenizers(tokenizer_links.FOLDER)[0][0]
+    for i in range(0, len(texts), 50000):
+        assert encode(texts[i:i + 50000]) == [e.ids for e in made.encode_batch(texts[i:i + 50000], add_special_tokens=False)]
