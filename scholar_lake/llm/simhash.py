@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from scholar_lake.llm.common import settle
+from scholar_lake.operators.skew import heavy_keys
 
 SEED = 42
 DIRECT = 1024
@@ -136,6 +137,26 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         labels = lower
 
 
+def free_bits(mask: int) -> list[int]:
+    """The bits on which fingerprints of one bucket may differ."""
+    return [b for b in range(64) if not mask >> b & 1]
+
+
+def split_heavy(dealt: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """Rows of buckets (t, key, fp, node), where buckets that are a large share of all rows are replaced by radius + 1 sets of smaller ones.
+
+    Each set takes one block of the free bits into the key. Fingerprints that differ in at most radius free bits agree on one of the blocks, so each link
+    is still inside some bucket.
+    """
+    blocks = [[sum(1 << int(b) for b in block) for block in np.array_split(np.array(free_bits(m)), radius + 1)] for m in masks]
+    heavy = F.broadcast(heavy_keys(dealt.select(F.xxhash64("t", "key").alias("bucket")), "bucket"))
+    block = F.get(F.get(F.lit([[signed(b) for b in row] for row in blocks]), F.pmod("t", F.lit(len(masks)))), F.col("part"))
+    parts = F.when(F.col("heavy_key").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(radius)))
+    split = dealt.join(heavy, F.xxhash64("t", "key") == F.col("heavy_key"), "left").select("t", "key", "fp", "node", F.explode(parts).alias("part"))
+    finer = F.xxhash64("key", "part", F.col("fp").bitwiseAND(block))
+    return split.select("t", F.when(F.col("part") < 0, F.col("key")).otherwise(finer).alias("key"), "fp", "node")
+
+
 def links(nodes: DataFrame, radius: int = 3, seeds: int = 1) -> DataFrame:
     """Distinct (a, b) with a > b of nodes (``node``, ``prints``), which span all sets linked by ``radius`` or fewer differing bits
     between two fingerprints of one seed."""
@@ -144,7 +165,8 @@ def links(nodes: DataFrame, radius: int = 3, seeds: int = 1) -> DataFrame:
                                 F.get("prints", F.lit(s)).bitwiseAND(F.lit(signed(m))).alias("key"))
                        for s in range(seeds) for i, m in enumerate(masks)])
     dealt = nodes.select("node", F.explode(tables).alias("bucket")).select("bucket.t", "bucket.key", "bucket.fp", "node")
-    free = [[b for b in range(64) if not m >> b & 1] for m in masks]
+    dealt = split_heavy(dealt, masks, radius)
+    free = [free_bits(m) for m in masks]
 
     def whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         """Runs of whole buckets; a bucket that goes on in the next batch waits for its end."""

@@ -66,6 +66,26 @@ def test_components_match_all_pairs(spark):
     assert sorted(map(sorted, by_root.values())) == sorted(sorted(values[i] for i in g) for g in expected)
 
 
+def test_heavy_buckets_are_split_without_loss(spark, monkeypatch):
+    calls, heavy_keys = [], simhash.heavy_keys
+
+    def eager(rows, key):
+        found = heavy_keys(rows, key, tasks=2000)
+        calls.append(found.count())
+        return found
+    monkeypatch.setattr(simhash, "heavy_keys", eager)
+    prints = clouds(random.Random(7), 2, 150, 4)
+    rows = [(int(p), [int(p)]) for p in np.unique(prints).view(np.int64)]
+    roots = {r.node: r.root for r in simhash.components(simhash.links(spark.createDataFrame(rows, "node long, prints array<long>"), 3)).collect()}
+    values = [p for p, _ in rows]
+    by_root = {}
+    for v in values:
+        by_root.setdefault(roots.get(v, v), []).append(v)
+    expected = near_sets(np.array(values, np.int64).view(np.uint64), 3)
+    assert calls[0] > 0
+    assert sorted(map(sorted, by_root.values())) == sorted(sorted(values[i] for i in g) for g in expected)
+
+
 def test_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(300)], "a long, b long")
     assert {r.root for r in simhash.components(edges).collect()} == {0}
