@@ -54,4 +54,4 @@ def test_awkward_and_empty(spark, awkward, nothing):
             assert rows <= 2 * docs.count()
     left = corpus_pipeline.near_dedup(spark, awkward, SF)
     assert left.columns == awkward.columns
-    assert sorted(r.doc_id for r in left.collect()) == [0, 3, 6, 7, 8, 9, 10, 10, 11]
+    assert sorted(r.doc_id for r in left.collect()) == [0, 2, 3, 6, 7, 8, 9, 10, 10, 11]  # 2 differs from 0 in more than 3 bits
