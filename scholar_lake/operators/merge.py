@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scholar_lake.operators.skew import skew_join
+from scholar_lake.operators.skew import heavy_keys, skew_join
 from scholar_lake.schemas import TableSpec
 from scholar_lake.sources.merged_ids import present_ids
 
@@ -47,6 +47,35 @@ def replace_rows(target: DataFrame, new: DataFrame, key: str, changed: DataFrame
     return delete_by_key(target, gone, key, hot_owners).unionByName(new.select(*target.columns))
 
 
+def exchange_rows(target: DataFrame, new: DataFrame, gone: list[DataFrame], owner: str, place: Column, sub_places: int = 1,
+                  hot_owners: bool = False) -> DataFrame:
+    """``replace_rows`` with one exchange: target rows, new rows and the ids (``id``) of all changed and deleted owners, brought together by ``place``.
+
+    ``place`` is a function of the owner (the bucket that its rows are stored in); the result has it as a column, its rows are partitioned by it, and go on
+    to a write by place as they are. An owner's ids come first among its rows and mark the target rows behind them, so nothing is joined or buffered.
+    Each place is dealt over ``sub_places`` tasks by owner; with ``hot_owners``, the rows of an owner that holds many of them over as many as its
+    share is worth, each of which gets the ids too.
+    """
+    ids = reduce(DataFrame.unionByName, [g.select(F.col("id").alias(owner)) for g in gone]).where(F.col(owner).isNotNull())
+    part = F.pmod(F.xxhash64(F.lit(1), F.col(owner)), F.lit(sub_places)).cast("int")
+    kinds = [df.select("*", F.lit(kind).alias("_kind"), place.alias("_place"), part.alias("_part"))
+             for kind, df in enumerate((ids, target, new.select(*target.columns)))]
+    if hot_owners:
+        heavy = F.broadcast(heavy_keys(target, owner))
+        salts = F.coalesce("salts", F.lit(1).cast("long"))
+        own = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in target.columns]), salts)).otherwise(0)
+        salt = [F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)), own, own]
+        kinds = [df.join(heavy, F.col(owner) == F.col("heavy_key"), "left").select(*df.columns, s.alias("_salt")) for df, s in zip(kinds, salt)]
+    else:
+        kinds = [df.withColumn("_salt", F.lit(0)) for df in kinds]
+    ids, old, fresh = kinds
+    rows = old.unionByName(fresh).unionByName(ids, allowMissingColumns=True).repartition("_place", "_part", "_salt")
+    # sorted by place and owner first, as a write by place wants them
+    by_owner = Window.partitionBy("_place", owner, "_part", "_salt").orderBy("_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = rows.withColumn("_first", F.first("_kind").over(by_owner))
+    return marked.where((F.col("_kind") == 2) | (F.col("_kind") == 1) & (F.col("_first") == 1)).select(*target.columns, "_place")
+
+
 def drop_stale(records: DataFrame, current: DataFrame, key: str = "id", version: str = "updated_date") -> DataFrame:
     """Records that are not older than the current row of the same key.
 

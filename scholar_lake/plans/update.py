@@ -17,7 +17,6 @@ from scholar_lake.functions.abstracts import abstract_text
 from scholar_lake.functions.ids import strip_id
 from scholar_lake.operators.dedup import latest_wins
 from scholar_lake.operators.flatten import flatten
-from scholar_lake.operators.merge import replace_rows
 from scholar_lake.operators.metrics import partition_metrics, unprocessed
 from scholar_lake.operators.search import search_documents
 from scholar_lake.operators.skew import heavy_keys, skew_join
@@ -228,9 +227,7 @@ def exchange(lake: LakeTables, specs: list[TableSpec], new_tables: dict[str, Dat
     lake.live_paths(specs[0].name)  # load the bucket map before the threads share it
 
     def write(spec: TableSpec) -> dict[int, bool]:
-        rows = replace_rows(lake.read(spec, buckets), new_tables[spec.name], spec.owner, changed, deleted,
-                            hot_owners=spec.is_link)
-        return lake.write(spec, rows, buckets)
+        return lake.replace(spec, new_tables[spec.name], [changed] if deleted is None else [changed, deleted], buckets)
 
     # the tables do not depend on each other, so their jobs share the cluster
     with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:

@@ -13,6 +13,8 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from scholar_lake.operators.dedup import latest_wins
+from scholar_lake.operators.merge import exchange_rows
 from scholar_lake.schemas import LOOKUP_COLUMNS, TableSpec
 
 DEFAULT_BUCKETS = 64
@@ -121,17 +123,36 @@ class LakeTables:
         rows = ids.select(bucket_of(F.col("id"), self.buckets).alias("b")).distinct().collect()
         return sorted(row["b"] for row in rows)
 
+    def replace(self, spec: TableSpec, new: DataFrame, gone: list[DataFrame], buckets: list[int]) -> dict[int, bool]:
+        """Write buckets without the rows of the changed or deleted owners and with the new rows, with one exchange for both."""
+        owner = F.col(spec.owner)
+        rows = exchange_rows(self.read(spec, buckets), new, gone, spec.owner, bucket_of(owner, self.buckets), self._parts(), spec.is_link)
+        return self._store(spec, rows.withColumnRenamed("_place", "bucket"), buckets)
+
+    def compete(self, spec: TableSpec, rows: DataFrame, order: list[Column], buckets: list[int]) -> dict[int, bool]:
+        """Write buckets with the first row of each key, in the given order, among the stored rows and the given ones, with one exchange for both."""
+        part = F.pmod(F.xxhash64(F.lit(1), F.col(spec.owner)), F.lit(self._parts())).cast("int")
+        every = self.read(spec, buckets).unionByName(rows).select("*", bucket_of(F.col(spec.owner), self.buckets).alias("bucket"), part.alias("_part"))
+        best = latest_wins(every.repartition("bucket", "_part"), ["bucket", "_part", *spec.key], order)
+        return self._store(spec, best.drop("_part"), buckets)
+
     def write(self, spec: TableSpec, rows: DataFrame, buckets: list[int]) -> dict[int, bool]:
         """Write the new content of some buckets into this run's folder; tells which of them hold rows.
 
         The rebalance hint gathers each bucket into files of the advisory size and splits a bucket that is far larger
-        than the rest over several tasks. Rows are sorted by owner so that row-group statistics serve id lookups;
-        bloom filters serve DOIs of works and authors of authorships.
+        than the rest over several tasks.
         """
         placed = rows.withColumn("bucket", bucket_of(F.col(spec.owner), self.buckets))
+        return self._store(spec, placed.hint("rebalance", F.col("bucket")), buckets)
+
+    def _parts(self) -> int:
+        """Tasks that share a bucket."""
+        return -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+
+    def _store(self, spec: TableSpec, placed: DataFrame, buckets: list[int]) -> dict[int, bool]:
+        """Rows are sorted by owner so that row-group statistics serve id lookups; bloom filters serve DOIs of works and authors of authorships."""
         path = f"{self.out}/tables/{spec.name}/run={self.run}"
-        writer = (placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", spec.owner)
-                  .write.mode("overwrite").partitionBy("bucket"))
+        writer = placed.sortWithinPartitions("bucket", spec.owner).write.mode("overwrite").partitionBy("bucket")
         for column in LOOKUP_COLUMNS.get(spec.name, ()):
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(path)

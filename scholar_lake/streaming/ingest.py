@@ -108,8 +108,8 @@ def stream_replace(stream: DataFrame, spec: TableSpec, out: str, checkpoint: str
         batch.write.mode("overwrite").parquet(staged)
         fresh = batch.sparkSession.read.schema(batch.schema).parquet(staged)
         touched = lake.touched(fresh.select(F.col(spec.owner).cast("string").alias("id")))
-        rows = latest_wins(lake.read(spec, touched).unionByName(fresh.select(*spec.columns)), list(spec.key), order)
-        lake.commit(number, {spec.name: lake.write(spec, rows, touched)}, label=label)
+        newest = latest_wins(fresh.select(*spec.columns), list(spec.key), order)
+        lake.commit(number, {spec.name: lake.compete(spec, newest, order, touched)}, label=label)
 
     run_to_completion(stream, apply, checkpoint)
     return lake.read(spec)

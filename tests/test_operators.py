@@ -1,12 +1,13 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
 from scholar_lake.functions.text import analyze_query, has_any, tokenize
 from scholar_lake.operators import lookups, search
 from scholar_lake.operators.dedup import latest_wins, unique_links
-from scholar_lake.operators.merge import delete_by_key, drop_stale, replace_rows
+from scholar_lake.operators.merge import delete_by_key, drop_stale, exchange_rows, replace_rows
 from scholar_lake.operators.metrics import unprocessed
 from scholar_lake.operators.skew import heavy_keys, skew_join
 
@@ -36,6 +37,12 @@ def test_heavy_keys(spark):
     assert rows(heavy_keys(spark.createDataFrame([(None,), (None,)], "k string"), "k")) == []
 
 
+def test_sketches_do_not_grow_with_the_number_of_tasks(spark):
+    assert (7, 502_000) in rows(heavy_keys(hot_fact(spark), "k", 1_000_000))
+    fact, dim = uneven(spark), spark.range(0, 20010, 3).select(F.col("id").alias("k"), F.lit("x").alias("d"))
+    assert skew_join(fact, dim, "k", tasks=130_000).count() == fact.join(dim, "k").count()
+
+
 def test_skew_join_equals_plain_join(spark):
     dim = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 3).alias("name"))
     for fact, tasks in ((hot_fact(spark), 16), (uneven(spark), 1000)):
@@ -87,6 +94,34 @@ def test_replace_children_of_a_record_that_lost_them(spark):
         assert rows(replace_rows(old, none, "owner", changed, hot_owners=hot)) == [("b", 1)]
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_exchange_equals_replace(spark, hot):
+    old = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), (None, 1), ("c", 1)] + [("h", n) for n in range(300)], "owner string, n int")
+    new = spark.createDataFrame([("b", 2), ("d", 2), ("d", 2), (None, 2)], "n_owner string, n int").withColumnRenamed("n_owner", "owner")
+    place = F.pmod(F.xxhash64("owner"), F.lit(3))
+    for changed in ([("a",), ("b",), (None,)], [("h",), ("h",), ("b",)], []):
+        changed = spark.createDataFrame(changed, "id string")
+        deleted = spark.createDataFrame([("d",), ("c",)], "id string")
+        got = exchange_rows(old, new, [changed, deleted], "owner", place, 4, hot)
+        expected = replace_rows(old, new, "owner", changed, deleted)
+        assert sorted(str(tuple(r)) for r in got.drop("_place").collect()) == sorted(str(tuple(r)) for r in expected.collect())
+        assert got.where(~F.col("_place").eqNullSafe(place)).isEmpty()
+
+
+def test_replacing_shuffles_the_target_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = hot_fact(spark)
+        changed = spark.range(5, 50).select(F.col("id"))
+        plan = exchange_rows(fact, fact.limit(0), [changed], "k", F.pmod(F.xxhash64("k"), F.lit(4)), 2)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+        hot = exchange_rows(fact, fact.limit(0), [changed], "k", F.pmod(F.xxhash64("k"), F.lit(4)), 2, True)
+        spread = hot.where("k = 7").groupBy(F.spark_partition_id()).count()
+        assert spread.count() > 1 or hot.where("k = 7").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_drop_stale(spark):
     fresh = spark.createDataFrame([("a", 1), ("b", 5), ("c", 1), ("d", None)], "id string, updated_date int")
     current = spark.createDataFrame([("a", 2), ("b", 2), ("d", 2)], "id string, updated_date int")
