@@ -30,6 +30,27 @@ def list_literal(items: Column) -> Column:
     return F.when(items.isNotNull(), F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}")))
 
 
+def array_literal(items: Column) -> Column:
+    """The text of a list as databases write it: items that are empty, the word NULL, or hold a brace, comma, quote, backslash or white space are
+    quoted, quotes and backslashes escaped; a null item is NULL."""
+    def written(item: Column) -> Column:
+        quoted = F.concat(F.lit('"'), F.regexp_replace(item, r'(["\\])', r"\\$1"), F.lit('"'))
+        return F.when(item.isNull(), "NULL").when(item.rlike(r'^$|^[Nn][Uu][Ll][Ll]$|[{}",\\\s]'), quoted).otherwise(item)
+    return F.when(items.isNotNull(), F.concat(F.lit("{"), F.array_join(F.transform(items, written), ","), F.lit("}")))
+
+
+def parse_literal(text: Column) -> Column:
+    """The list that such a text stands for; null for what is none. Of a nested list, each inner list is an item, to be parsed again."""
+    item = r'"(?:[^"\\]|\\.)*+"|\{(?:[^{}"]|"(?:[^"\\]|\\.)*+")*+\}|[^,{}"\s](?:[^,{}"]*[^,{}"\s])?'
+
+    def read(found: Column) -> Column:
+        bare = F.substr(found, F.lit(2), F.length(found) - 2)
+        return F.when(found.startswith('"'), F.regexp_replace(bare, r"(?s)\\(.)", "$1")).when(F.upper(found) != "NULL", found)
+    whole = F.trim(text).rlike(rf"(?s)^\{{\s*(?:(?:{item})\s*(?:,\s*(?:{item})\s*)*)?\}}$")
+    inner = F.substr(F.trim(text), F.lit(2), F.length(F.trim(text)) - 2)
+    return F.when(whole, F.transform(F.regexp_extract_all(inner, F.lit("(?s)" + item), F.lit(0)), read))
+
+
 def society_names(societies: Column) -> Column:
     """Organisation names of a list of societies, cleaned."""
     return clean_list(F.transform(societies, lambda s: s["organization"]))

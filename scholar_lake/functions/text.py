@@ -19,6 +19,25 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+#: Letters of scripts that put spaces between words, and marks that belong to the character before them.
+_LETTER = r"(?:[\p{L}\p{Nl}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}]][\p{M}\p{Cf}]*+)"
+_DIGIT = r"(?:\p{Nd}[\p{M}\p{Cf}]*+)"
+#: Fixed values of the Unicode word break rules: what may stand between two letters, between two digits, and what joins words.
+_IN_WORDS, _IN_NUMBERS, _JOINS = r"['’‘.:·․‧︓﹕．＇]", r"['’‘.,;․﹐﹔，．；＇]", r"[\p{Pc}]"
+_UNIT = f"(?:{_LETTER}++(?:{_IN_WORDS}{_LETTER}++)*+|{_DIGIT}++(?:{_IN_NUMBERS}{_DIGIT}++)*+)"
+#: One token: letters and digits with inner signs, a run of Katakana, one ideograph or Hiragana sign, or a run of a script without spaces.
+WORD_PATTERN = (f"{_JOINS}*+{_UNIT}(?:{_JOINS}*+{_UNIT})*+{_JOINS}*+|(?:[\\p{{IsKatakana}}ー]\\p{{M}}*+)++|[\\p{{IsHan}}\\p{{IsHiragana}}]\\p{{M}}*+"
+                r"|[\p{L}\p{M}]++")
+
+
+def tokenize_words(text: Column) -> Column:
+    """Lower-cased tokens by the Unicode word break rules, in order: "can't" and "3,000.5" are one token each, every ideograph is one.
+
+    A pattern without backtracking: all its repetitions are possessive, so long texts take time in proportion.
+    """
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
+
+
 def drop_stop_words(tokens: Column, stop_words: Iterable[str] = ()) -> Column:
     """Tokens without stop words (given in any case)."""
     stops = sorted({word.lower() for word in stop_words})

@@ -65,6 +65,29 @@ def neighbours(edges: DataFrame, node: str, source: str, target: str) -> DataFra
     return out.unionByName(into)
 
 
+def closure(edges: DataFrame, source: str, target: str, folder: str, most_depth: int | None = None) -> DataFrame:
+    """``id, reached, depth``: all nodes that each node leads to, with the least number of edges; a node on a cycle reaches itself.
+
+    Breadth first: a level joins the pairs found last with the edges and drops pairs known before, so every pair is followed once and cycles end. Each
+    level is written below ``folder`` (shared by all machines) and read again, so plans stay small and a lost executor costs one level. Chains of length n
+    take n levels; null ends lead nowhere.
+    """
+    spark = edges.sparkSession
+    known = edges.where(F.col(source).isNotNull() & F.col(target).isNotNull())
+    steps = known.select(F.col(source).alias("at"), F.col(target).alias("next"))
+    found = known.select(F.col(source).alias("id"), F.col(target).alias("reached")).distinct()
+    depth, paths = 1, []
+    while True:
+        paths.append(f"{folder.rstrip('/')}/depth-{depth}")
+        found.withColumn("depth", F.lit(depth)).write.parquet(paths[-1])
+        latest = spark.read.parquet(paths[-1])
+        if depth == most_depth or latest.isEmpty():
+            return spark.read.parquet(*paths)
+        onward = latest.join(steps, F.col("reached") == F.col("at")).select("id", F.col("next").alias("reached")).distinct()
+        found = onward.join(spark.read.parquet(*paths).select("id", "reached"), ["id", "reached"], "left_anti")
+        depth += 1
+
+
 def register_views(read: Callable[[str], DataFrame], names: list[str], prefix: str = "") -> None:
     """Make the tables available to ``spark.sql`` under their names."""
     for name in names:

@@ -120,6 +120,89 @@ def match_phrase(index: DataFrame, terms: Terms) -> DataFrame:
     return found if len(ways) == 1 else found.distinct()
 
 
+def phrase_places(docs: DataFrame, text: str, terms: Terms, id: str = "id") -> DataFrame:
+    """``id, start`` as by ``match_phrase``, found inside each document's row: nothing is shuffled."""
+    ways = phrases(terms)
+
+    def places(tokens: Column, way: tuple[tuple[int, str], ...]) -> Column:
+        def start(token: Column, i: Column) -> Column:
+            others = [F.get(tokens, i + place) == word for place, word in way[1:]]
+            return F.when(reduce(Column.__and__, [token == way[0][1], *others]), i)
+        return F.filter(F.transform(tokens, start), lambda x: x.isNotNull())
+
+    def starts(tokens: Column) -> Column:
+        each = [places(tokens, way) for way in ways]
+        return F.array_distinct(F.concat(*each)) if len(each) > 1 else each[0]
+    if not ways:
+        return docs.select(F.col(id).alias("id"), F.lit(0).alias("start")).where("false")
+    lower = F.lower(F.col(text))
+    able = reduce(Column.__or__, [reduce(Column.__and__, [lower.contains(word) for _, word in way]) for way in ways])
+    return docs.where(able).select(F.col(id).alias("id"), F.explode(bind(tokenize(F.col(text)), starts)).alias("start"))
+
+
+def near(docs: DataFrame, text: str, terms: Terms, slop: int, id: str = "id") -> DataFrame:
+    """``id, start, width``: documents in which all terms (single words or synonyms of one word) stand within a window of at most ``slop`` more tokens than
+    there are terms; the smallest window, the first of equal ones.
+
+    The hits of a document are walked once; of each term the last place is kept, and each hit closes a window that starts at the least of them.
+    """
+    words = [sorted({form.words[0][1] for form in term.forms if len(form.words) == 1}) for term in distinct_terms(terms)]
+    n = len(words)
+    if not n or not all(words):
+        raise ValueError("every term needs a form of one word")
+    hits = F.filter(F.transform(tokenize(F.col(text)), lambda t, i: F.struct(
+        i.alias("pos"), F.array(*[t.isin(w) for w in words]).alias("is_term"))), lambda h: F.exists(h["is_term"], lambda x: x))
+    nothing = F.struct(F.array_repeat(F.lit(-1), n).alias("last"), F.lit(-1).alias("start"), F.lit(2 ** 31 - 1).alias("width"))
+
+    def walk(state: Column, hit: Column) -> Column:
+        last = F.transform(state["last"], lambda p, i: F.when(F.get(hit["is_term"], i), hit["pos"]).otherwise(p))
+        return bind(last, lambda places: bind(F.array_min(places), lambda least: F.when(
+            (least >= 0) & (hit["pos"] - least + 1 < state["width"]),
+            F.struct(places.alias("last"), least.alias("start"), (hit["pos"] - least + 1).alias("width")))
+            .otherwise(F.struct(places.alias("last"), state["start"].alias("start"), state["width"].alias("width")))))
+    lower = F.lower(F.col(text))
+    able = reduce(Column.__and__, [reduce(Column.__or__, [lower.contains(word) for word in w]) for w in words])
+    best = docs.where(able).select(F.col(id).alias("id"), F.aggregate(hits, nothing, walk).alias("w"))
+    return best.where(F.col("w.width") <= n + slop).select("id", F.col("w.start").alias("start"), F.col("w.width").alias("width"))
+
+
+def search_fields(docs: DataFrame, weights: dict[str, float], terms: Terms, id: str = "id", every: bool = False, k: int = 10, k1: float = 1.2,
+                  b: float = 0.75) -> DataFrame:
+    """The k best documents over several fields: ``id, score``, ties by id; with ``every`` only documents in which each term occurs in some field.
+
+    A term's frequencies are normed by each field's mean length, weighted, and added up before they are saturated (BM25 over fields). A document counts once in a term's
+    document frequency, in whatever field it has the term. One pass: lengths and frequencies are counted inside each row by field, and only they go on.
+    """
+    terms = distinct_terms(terms)
+    names, numbers = list(weights), range(len(terms))
+
+    def counts(tokens: Column) -> Column:
+        per_term = [sum((occurrences(tokens, form) for form in term.forms), F.lit(0)) for term in terms]
+        return F.struct(F.size(tokens).alias("length"), F.array(*per_term).alias("tf"))
+
+    def no_text(column: Column) -> Column:
+        return F.coalesce(column.cast("string"), F.lit(""))
+    counted = docs.select(F.col(id).alias("id"), *[bind(tokenize(no_text(F.col(f"`{f}`"))), counts).alias(f"c{i}") for i, f in enumerate(names)])
+    fields = range(len(names))
+    narrow = counted.select("id", F.array(*[F.col(f"c{i}.length") for i in fields]).alias("lengths"),
+                            F.array(*[F.col(f"c{i}.tf") for i in fields]).alias("tf")).repartition("id")
+
+    def has(t: int) -> Column:
+        return reduce(Column.__or__, [F.col("tf")[i][t] > 0 for i in fields])
+    stats = narrow.agg(F.struct(
+        F.count("*").cast("double").alias("n"), F.array(*[F.avg(F.col("lengths")[i]) for i in fields]).alias("means"),
+        F.array(*[F.count(F.when(has(t), 1)).cast("double") for t in numbers]).alias("df")).alias("s")).scalar()
+    hits = narrow.where(reduce(Column.__and__ if every else Column.__or__, [has(t) for t in numbers], F.lit(every)))
+    scored = hits.select("*", stats.alias("s"))
+
+    def score(t: int) -> Column:
+        idf = F.log(1 + (F.col("s.n") - F.col("s.df")[t] + 0.5) / (F.col("s.df")[t] + 0.5))
+        weighted = sum((F.lit(float(weights[f])) * F.col("tf")[i][t] / (1 - b + b * F.col("lengths")[i] / F.greatest(F.col("s.means")[i], F.lit(1e-9)))
+                        for i, f in enumerate(names)), F.lit(0.0))
+        return idf * weighted * (k1 + 1) / (weighted + k1)
+    return scored.select("id", sum((score(t) for t in numbers), F.lit(0.0)).alias("score")).orderBy(F.desc("score"), "id").limit(k)
+
+
 def bm25(index: DataFrame, lengths: DataFrame, terms: Terms, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The k best documents for the terms: ``id, score`` by the published BM25 formula, ties by id.
 
@@ -175,6 +258,21 @@ def facets(hits: DataFrame, fields: list[str]) -> DataFrame:
             .groupBy("field", "value").agg(F.count("*").alias("n")))
 
 
+def histogram(hits: DataFrame, field: str, start: float, gap: float, end: float, distinct: str | None = None) -> DataFrame:
+    """``low, n`` of the intervals [low, low + gap) from start to end that hold values of a number field, and of what lies ``before`` and ``after`` them; with
+    ``distinct`` also ``n_distinct``, about how many values of that field each interval holds, by a sketch of bounded size that merges on the map side.
+
+    ``part`` says which of the three a row is; nulls are not counted.
+    """
+    value = F.col(field).cast("double")
+    part = F.when(value < start, "before").when(value >= end, "after").otherwise("between")
+    low = F.when(part == "between", start + F.floor((value - start) / gap) * gap)
+    counts = [F.count("*").alias("n")]
+    if distinct:
+        counts.append(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(distinct))).alias("n_distinct"))
+    return hits.where(value.isNotNull()).groupBy(part.alias("part"), low.alias("low")).agg(*counts)
+
+
 def sort_missing_last(rows: DataFrame, field: str, descending: bool = False, then: str = "id") -> DataFrame:
     """Order by a field with missing values last in either direction."""
     column = F.col(field)

@@ -391,3 +391,44 @@ ORACLES["clear_tables"] = f"""
     SELECT 'loaded' AS step, count(*) AS n FROM edges UNION ALL SELECT 'cleared', 0
     UNION ALL SELECT 'loaded again', count(*) FROM edges JOIN orders ON work_a_id = 'W' || o_orderkey WHERE o_orderstatus = 'P'"""
 ORACLES["search_bm25_indexed"] = ORACLES["search_bm25"]
+
+# the texts are in Latin script, so the word break rules come down to letters and digits with inner signs
+_LETTERS, _DIGITS = r"(?:[\p{Latin}\p{Greek}\p{Cyrillic}][\pM\p{Cf}]*)+", r"(?:\p{Nd}[\pM\p{Cf}]*)+"
+_UNITS = rf"(?:{_LETTERS}(?:[''’‘.:·]{_LETTERS})*|{_DIGITS}(?:[''’‘.,;]{_DIGITS})*)"
+ORACLES["tokenize_words"] = rf"""
+    SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, ' ') AS tokens
+    FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{Pc}}*{_UNITS}(?:\p{{Pc}}*{_UNITS})*\p{{Pc}}*') AS toks FROM documents)"""
+ORACLES["literal_round_trip"] = r"""
+    SELECT doc_id, 6 AS n_items, concat_ws('|', coalesce(text, 'none'), coalesce(source, '(null)'), '', 'null', 'a"b\c,{d} ', coalesce(lang, '(null)')) AS items
+    FROM documents"""
+ORACLES["search_fields"] = """
+    WITH fields AS (
+        SELECT doc_id AS id, unnest([0, 1, 2, 3]) AS f, unnest([3.0, 1.0, 2.0, 0.5])::DOUBLE AS w,
+               unnest([array_to_string(string_split(text, ' ')[1:8], ' '), text, source, lang]) AS said FROM documents),
+    toks AS (SELECT id, f, w, regexp_extract_all(lower(coalesce(said, '')), '[\\p{L}\\p{N}]+') AS toks FROM fields),
+    means AS (SELECT f, avg(len(toks)) AS mean FROM toks GROUP BY f),
+    tf AS (SELECT id, f, w, length, CASE tok WHEN 'license' THEN 'licence' ELSE tok END AS term, count(*) AS tf
+           FROM (SELECT id, f, w, len(toks) AS length, unnest(toks) AS tok FROM toks) WHERE tok IN ('token', 'of', 'the', 'licence', 'license', 'en') GROUP BY ALL),
+    df AS (SELECT term, count(DISTINCT id) AS df FROM tf GROUP BY term),
+    weighted AS (SELECT id, term, sum(w * tf / (0.25 + 0.75 * length / mean)) AS x FROM tf JOIN means USING (f) GROUP BY id, term),
+    scored AS (SELECT id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * x * 2.2 / (x + 1.2)) AS score
+               FROM weighted JOIN df USING (term) CROSS JOIN (SELECT count(*) AS n FROM documents) GROUP BY id)
+    SELECT id, round(score, 6) AS score FROM scored ORDER BY scored.score DESC, id LIMIT 100"""
+ORACLES["search_near"] = f"""
+    WITH {POSTINGS}, hits AS (SELECT id, pos, tok = 'under' AS a FROM postings WHERE tok IN ('under', 'licence', 'license')),
+    lasts AS (SELECT id, pos, max(pos) FILTER (a) OVER w AS one, max(pos) FILTER (NOT a) OVER w AS other FROM hits
+              WINDOW w AS (PARTITION BY id ORDER BY pos)),
+    best AS (SELECT id, least(one, other) AS start, pos - least(one, other) + 1 AS width,
+                    row_number() OVER (PARTITION BY id ORDER BY pos - least(one, other), pos) AS n
+             FROM lasts WHERE one IS NOT NULL AND other IS NOT NULL)
+    SELECT id, CAST(start AS INTEGER) AS start, CAST(width AS INTEGER) AS width FROM best WHERE n = 1 AND width <= 5"""
+ORACLES["search_histogram"] = """
+    SELECT CASE WHEN n_chars < 500 THEN 'before' WHEN n_chars >= 10000 THEN 'after' ELSE 'between' END AS part,
+           CASE WHEN n_chars >= 500 AND n_chars < 10000 THEN 500 + floor((n_chars - 500) / 500) * 500 END AS low,
+           count(*) AS n, count(DISTINCT source) AS n_distinct
+    FROM documents WHERE n_chars IS NOT NULL GROUP BY 1, 2"""
+ORACLES["concept_closure"] = f"""
+    WITH RECURSIVE edges AS (SELECT DISTINCT concept_a_id AS id, concept_b_id AS reached FROM ({ORACLES["concept_ancestors"]})),
+    walk AS (SELECT id, reached, 1 AS depth FROM edges
+             UNION SELECT walk.id, edges.reached, depth + 1 FROM walk JOIN edges ON edges.id = walk.reached WHERE depth < 60)
+    SELECT id, reached, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY id, reached"""

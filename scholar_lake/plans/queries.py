@@ -12,8 +12,8 @@ from scholar_lake.functions.abstracts import abstract_text, blank_to_null, build
 from scholar_lake.functions.casting import empty_as_null, typed_load
 from scholar_lake.functions.documents import apc_value, grants_json, mesh_json, title_abstract
 from scholar_lake.functions.ids import partition_label, strip_id
-from scholar_lake.functions.lists import clean_list
-from scholar_lake.functions.text import analyze_query, has_any, tokenize
+from scholar_lake.functions.lists import array_literal, clean_list, parse_literal
+from scholar_lake.functions.text import analyze_query, has_any, tokenize, tokenize_words
 from scholar_lake.operators import flatten, lookups, search
 from scholar_lake.operators.dedup import latest_wins
 from scholar_lake.operators.merge import cascade_delete, delete_by_key, drop_stale, replace_rows
@@ -244,6 +244,18 @@ def tokenize_query(spark: SparkSession, sf: str) -> DataFrame:
                                                 F.array_join(tokens, " ").alias("tokens"))
 
 
+def tokenize_words_query(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = tokenize_words(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", F.size(tokens).alias("n_tokens"), F.array_join(tokens, " ").alias("tokens"))
+
+
+def literal_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of awkward items as their literal and back."""
+    items = F.array(F.coalesce("text", F.lit("none")), "source", F.lit(""), F.lit("null"), F.lit('a"b\\c,{d} '), "lang")
+    back = parse_literal(array_literal(items))
+    return table(spark, sf, "documents").select("doc_id", F.size(back).alias("n_items"), F.array_join(back, "|", "(null)").alias("items"))
+
+
 # -- projections --------------------------------------------------------------------------------------------------
 
 def works_projection(spark: SparkSession, sf: str) -> DataFrame:
@@ -479,6 +491,12 @@ def citation_counts(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.citation_counts(_citations(spark, sf))
 
 
+def concept_closure(spark: SparkSession, sf: str) -> DataFrame:
+    """Every concept above each concept, over any number of edges."""
+    edges = QUERIES["concept_ancestors"](spark, sf)
+    return lookups.closure(edges, "concept_a_id", "concept_b_id", work_dir(spark, "closure"))
+
+
 def citation_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.neighbours(_citations(spark, sf), "W40", "work_a_id", "work_b_id")
 
@@ -505,8 +523,7 @@ def search_all(spark: SparkSession, sf: str) -> DataFrame:
 
 def search_phrase(spark: SparkSession, sf: str) -> DataFrame:
     """Every place of a phrase."""
-    terms = analyze_query("Of the")
-    return search.match_phrase(search.postings(_search_docs(spark, sf), "text", terms=terms), terms).select("id", "start")
+    return search.phrase_places(_search_docs(spark, sf), "text", analyze_query("Of the"))
 
 
 def search_phrase_gap(spark: SparkSession, sf: str) -> DataFrame:
@@ -529,6 +546,23 @@ def search_bm25_indexed(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("id", F.round("score", 6).alias("score"))
 
 
+def search_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranking over four fields: the first words as a title, the text, and two short ones."""
+    docs = _search_docs(spark, sf).withColumn("title", F.substring_index("text", " ", 8))
+    best = search.search_fields(docs, {"title": 3.0, "text": 1.0, "source": 2.0, "lang": 0.5}, analyze_query(QUERY + " en", synonyms=SYNONYMS), k=100)
+    return best.select("id", F.round("score", 6).alias("score"))
+
+
+def search_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with "under" and "licence" within five words."""
+    return search.near(_search_docs(spark, sf), "text", analyze_query("under licence", synonyms=SYNONYMS), 3)
+
+
+def search_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by length, and how many sources they come from."""
+    return search.histogram(table(spark, sf, "documents"), "n_chars", 500, 500, 10000, distinct="source")
+
+
 def search_facets(spark: SparkSession, sf: str) -> DataFrame:
     docs = _search_docs(spark, sf).where(has_any(tokenize(F.col("text")), analyze_query("token licence", synonyms=SYNONYMS)))
     return search.facets(docs, ["lang", "source"])
@@ -593,6 +627,8 @@ QUERIES = {
     "apc_union": apc_union,
     "typed_load": typed_load_query,
     "tokenize": tokenize_query,
+    "tokenize_words": tokenize_words_query,
+    "literal_round_trip": literal_round_trip,
     "works_projection": works_projection,
     "authors_projection": authors_projection,
     "institutions_projection": institutions_projection,
@@ -633,6 +669,7 @@ QUERIES = {
     "works_of_one_author": works_of_one_author,
     "sql_views": sql_views,
     "citation_counts": citation_counts,
+    "concept_closure": concept_closure,
     "citation_neighbours": citation_neighbours,
     "search_any": search_any,
     "search_all": search_all,
@@ -640,6 +677,9 @@ QUERIES = {
     "search_phrase_gap": search_phrase_gap,
     "search_bm25": search_bm25,
     "search_bm25_indexed": search_bm25_indexed,
+    "search_fields": search_fields,
+    "search_near": search_near,
+    "search_histogram": search_histogram,
     "search_facets": search_facets,
     "csv_round_trip": csv_round_trip,
     "json_round_trip": json_round_trip,

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from scholar_lake.functions.lists import list_literal
+from scholar_lake.functions.lists import array_literal, parse_literal
 from scholar_lake.schemas import TableSpec
 
 
 def write_csv(rows: DataFrame, spec: TableSpec, path: str) -> None:
     """Gzipped CSV with a header in the table's column order; other columns are left out, null is an empty field."""
     flat = rows.select(*[
-        list_literal(F.col(name)).alias(name) if kind.startswith("array") else F.col(name)
+        array_literal(F.col(name)).alias(name) if kind.startswith("array") else F.col(name)
         for name, kind in spec.columns.items()])
     (flat.write.mode("overwrite").option("header", True).option("compression", "gzip").option("escape", '"')
      .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -26,8 +26,7 @@ def read_csv(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     for name, kind in spec.columns.items():
         value = F.nullif(F.col(name), F.lit(""))
         if kind.startswith("array"):
-            inner = F.substr(value, F.lit(2), F.length(value) - 2)
-            columns.append(F.split(inner, ",", -1).alias(name))
+            columns.append(parse_literal(value).alias(name))
         else:
             columns.append(value.try_cast(kind).alias(name))
     return text.select(*columns)
@@ -45,6 +44,6 @@ def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]
     Lists are written as their literal, since not every database has an array type.
     """
     lists = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.ArrayType)}
-    flat = rows.select(*[list_literal(F.col(c)).alias(c) if c in lists else F.col(c) for c in rows.columns])
+    flat = rows.select(*[array_literal(F.col(c)).alias(c) if c in lists else F.col(c) for c in rows.columns])
     (flat.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
      .option("numPartitions", partitions).option("batchsize", batch).options(**(properties or {})).save())

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -7,8 +8,8 @@ from scholar_lake.functions.abstracts import abstract_text, build_index, read_in
 from scholar_lake.functions.casting import empty_as_null, typed_load
 from scholar_lake.functions.documents import apc_value, biblio_json, grants_json, is_primary, title_abstract
 from scholar_lake.functions.ids import partition_label, strip_id
-from scholar_lake.functions.lists import clean_list, list_literal, society_names, unique_items
-from scholar_lake.functions.text import analyze_query, drop_stop_words, has_any, tokenize
+from scholar_lake.functions.lists import array_literal, clean_list, list_literal, parse_literal, society_names, unique_items
+from scholar_lake.functions.text import analyze_query, drop_stop_words, has_any, tokenize, tokenize_words
 
 P = "https://scholar.test/"
 
@@ -151,3 +152,33 @@ def test_empty_as_null_and_typed_load(spark):
     good, rejects = typed_load(df, {"n": "int", "d": "date"})
     assert [r.n for r in good.collect()] == [1]
     assert sorted(r.reject_reason for r in rejects.collect()) == ["d", "n"]
+
+
+@pytest.mark.parametrize("text, tokens", [
+    ("The quick (“brown”) fox can’t jump 32.3 feet, right?", "the quick brown fox can’t jump 32.3 feet right"),
+    ("don't 'quoted' o'clock' x.y.z end.", "don't quoted o'clock x.y.z end"), ("1,000.5 a,b 3,a 1. .5", "1,000.5 a b 3 a 1 5"),
+    ("snake_case __init__ a_1 _ __", "snake_case __init__ a_1"), ("abc123 4g e.2", "abc123 4g e 2"),
+    ("日本語 です カタカナ テスト", "日 本 語 で す カタカナ テスト"), ("한국어 단어", "한국어 단어"), ("naïve cafe\u0301s", "naïve cafe\u0301s"), ("a\u00ADb", "a\u00ADb"),
+    ("user@example.com and/or", "user example.com and or"), ("ÉTÉ", "été"), ("", ""), (" .,;!", "")])
+def test_word_breaks(spark, text, tokens):
+    got = spark.createDataFrame([(text,)], "t string").select(tokenize_words(F.col("t"))).first()[0]
+    assert got == tokens.split(" ") if tokens else got == []
+
+
+def test_word_breaks_take_linear_time(spark):
+    long = spark.range(1).select(F.repeat(F.lit("a.b'c_1,2."), 200_000).alias("t"))
+    assert long.select(F.size(tokenize_words(F.col("t")))).first()[0] > 0
+
+
+def test_array_literals(spark):
+    lists = [["a", "b"], [], None, [""], [None], ["null", "NULL", None], ["a,b", "{c}", 'd"e', "f\\g", " h ", "i j", "\n", "ü", "\\"], ['"', '""', "{}", ","]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "id int, x array<string>")
+    back = df.select("id", parse_literal(array_literal(F.col("x"))).alias("x")).orderBy("id").collect()
+    assert [r.x for r in back] == lists
+
+
+@pytest.mark.parametrize("text, items", [
+    ("{a,b}", ["a", "b"]), ("{}", []), (" { a , b } ", ["a", "b"]), ('{"a,b",NULL,"NULL",c d}', ["a,b", None, "NULL", "c d"]), ("{a", None), ("a,b", None),
+    ("{a,}", None), ("{,}", None), ('{"a}', None), ('{"a""b"}', None), (None, None), ("{{a,b},{c}}", ["{a,b}", "{c}"]), ('{{"x,}",y},{}}', ['{"x,}",y}', "{}"])])
+def test_parse_literal(spark, text, items):
+    assert spark.createDataFrame([(text,)], "t string").select(parse_literal(F.col("t"))).first()[0] == items

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -224,3 +225,85 @@ def test_salting_spreads_a_hot_owner(spark):
     finally:
         for name in plain:
             spark.conf.unset(name)
+
+
+def brute_window(tokens, words):
+    """Width, end and start of the smallest window with all words, the first of equal ones."""
+    best = None
+    for i in range(len(tokens)):
+        for j in range(i, len(tokens)):
+            if set(words) <= set(tokens[i:j + 1]):
+                best = min(best or (j - i + 1, j, i), (j - i + 1, j, i))
+                break
+    return best
+
+
+def test_near_equals_brute_force(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 25))) for _ in range(150)] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for words, slop in (("a b c", 2), ("a", 0), ("a b a", 4)):
+        n, expected = len(set(words.split())), []
+        for i, text in enumerate(texts):
+            best = brute_window((text or "").split(), words.split())
+            if best and best[0] <= n + slop:
+                expected.append((i, best[2], best[0]))
+        assert rows(search.near(docs, "text", analyze_query(words), slop)) == expected
+
+
+def test_phrases_in_the_row_equal_votes(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 30))) for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for query, stops, synonyms in (("a b", (), None), ("a b a", ("b",), None), ("b c", (), {"c": ["a a", "c c"]}), ("a", (), None), ("b", ("b",), None)):
+        terms = analyze_query(query, stops, synonyms)
+        voted = search.match_phrase(search.postings(docs, "text", stop_words=stops), terms).select("id", "start")
+        found = search.phrase_places(docs, "text", terms)
+        assert rows(found) == rows(voted)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_search_over_fields(spark):
+    docs = [(1, "fish fish", "about birds"), (2, "birds", "fish and birds and cats"), (3, None, "fish"), (4, "cats", None), (5, None, None)]
+    weights, query = {"title": 3.0, "body": 1.0}, ["fish", "birds"]
+    fields = {i: {"title": (t or "").split(), "body": (b or "").split()} for i, t, b in docs}
+    means = {f: sum(len(d[f]) for d in fields.values()) / len(docs) for f in weights}
+    df = {w: sum(any(w in d[f] for f in weights) for d in fields.values()) for w in query}
+
+    def score(doc):
+        total = 0
+        for w in query:
+            x = sum(weights[f] * doc[f].count(w) / (0.25 + 0.75 * len(doc[f]) / means[f]) for f in weights)
+            total += math.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5)) * x * 2.2 / (x + 1.2)
+        return total
+    table = spark.createDataFrame(docs, "id long, title string, body string")
+    for every in (False, True):
+        hits = [i for i, d in fields.items() if (all if every else any)(any(w in d[f] for f in weights) for w in query)]
+        expected = sorted(((i, score(fields[i])) for i in hits), key=lambda r: (-r[1], r[0]))
+        got = [tuple(r) for r in search.search_fields(table, weights, analyze_query("fish birds"), every=every).collect()]
+        assert [i for i, _ in got] == [i for i, _ in expected] and all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(got, expected))
+
+
+def test_histogram(spark):
+    values = spark.createDataFrame([(v, str(v % 3)) for v in (-5, 0, 4, 5, 19, 20, 99)] + [(None, "x")], "v int, kind string")
+    got = {(r.part, r.low): (r.n, r.n_distinct) for r in search.histogram(values, "v", 0, 5, 20, "kind").collect()}
+    assert got == {("before", None): (1, 1), ("between", 0.0): (2, 2), ("between", 5.0): (1, 1), ("between", 15.0): (1, 1), ("after", None): (2, 2)}
+
+
+def test_closure_follows_cycles_and_chains(spark, tmp_path):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "x"), ("a", "d"), ("a", "b"), (None, "a"), ("e", None)]
+    df = spark.createDataFrame(edges, "s string, t string")
+    steps = {}
+    for s, t in edges:
+        if s and t:
+            steps.setdefault(s, set()).add(t)
+    expected = []
+    for start in steps:
+        depth, seen, front = 1, {}, steps[start]
+        while front - seen.keys():
+            seen.update({n: depth for n in front - seen.keys()})
+            front, depth = {t for n in front for t in steps.get(n, ())}, depth + 1
+        expected += [(start, n, d) for n, d in seen.items()]
+    assert rows(lookups.closure(df, "s", "t", str(tmp_path / "all"))) == sorted(expected)
+    assert rows(lookups.closure(df, "s", "t", str(tmp_path / "two"), 2)) == sorted(r for r in expected if r[2] <= 2)
+    assert lookups.closure(df.limit(0), "s", "t", str(tmp_path / "none")).count() == 0
