@@ -15,6 +15,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from scholar_lake.functions.abstracts import bind
+
 
 def _either_case(word: str) -> str:
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
@@ -27,10 +29,14 @@ ACCESS = "AKIA[A-Z0-9]{12,}"  # as AKIA[A-Z0-9]+ of 16 characters and more: a ru
 HEX = "[0-9a-f]{32,}"  # as runs of 32 and more
 
 WINDOW = 24
+PART = 256
+_THREE_DIGITS = "[0-9][^0-9]*[0-9][^0-9]*[0-9]"
 #: Class: its characters, the least entropy in bits of a suspicious window, and what a run must contain.
 CLASSES = {
     "entropy_hex": ("0-9A-Fa-f", 3.0, ("[0-9]", "[A-Fa-f]")),
     "entropy_base64": ("A-Za-z0-9+/_=-", 4.0, ("[0-9]", "[A-Z]", "[a-z]")),
+    "entropy_lower": ("a-z0-9", 3.7, (_THREE_DIGITS, "[a-z]")),
+    "entropy_upper": ("A-Z0-9", 3.7, (_THREE_DIGITS, "[A-Z]")),
 }
 #: Runs that are long and mixed, yet no secrets.
 ALLOWED = ("(?i)example", "(?i)placeholder", "(?i)0123456789abcdef", "(?i)abcdefghijklmnopqrstuvwxyz",
@@ -40,7 +46,10 @@ SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
 def matches(text: Column, pattern: str, guard: str | None = None) -> Column:
-    """Leftmost non-overlapping matches as an array of (start, hit), start in code points. Texts without a match of guard give none."""
+    """Leftmost non-overlapping matches as an array of (start, hit), start in code points. Texts without a match of guard give none.
+
+    Starts are added up within parts of PART matches, then over the parts: an array that grows by a match a step is copied in each.
+    """
     pairs = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
                        lambda gap, hit: F.struct(F.length(gap).cast("bigint").alias("gap"), hit.alias("hit")))
     none = F.array().cast("array<struct<start:bigint,hit:string>>")
@@ -50,8 +59,16 @@ def matches(text: Column, pattern: str, guard: str | None = None) -> Column:
         more = F.concat(so_far["found"], F.array(F.struct(start.alias("start"), x["hit"].alias("hit"))))
         return F.struct((start + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
                         F.when(x["hit"].isNull(), so_far["found"]).otherwise(more).alias("found"))
-    found = F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")), step, lambda r: r["found"])
-    return F.when(text.rlike(guard or pattern), found).otherwise(none)
+
+    def in_parts(all_pairs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_pairs) - 1) / PART).cast("int")), lambda i: F.aggregate(
+            F.slice(all_pairs, i * PART + 1, PART), F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")), step))
+
+    def joined(parts: Column) -> Column:
+        begins = F.aggregate(parts, F.array(F.lit(0).cast("bigint")), lambda b, p: F.concat(b, F.array(F.element_at(b, -1) + p["at"])))
+        return bind(begins, lambda b: F.flatten(F.transform(parts, lambda p, j: F.transform(p["found"], lambda m: F.struct(
+            (m["start"] + F.get(b, j)).alias("start"), m["hit"].alias("hit"))))))
+    return F.when(text.rlike(guard or pattern), bind(bind(pairs, in_parts), joined)).otherwise(none)
 
 
 def _spans(found: Column, kind: str) -> Column:

@@ -56,6 +56,22 @@ def test_matches_brute_force(spark, awkward):
     assert secrets.find_secrets(awkward).count() == awkward.count()
 
 
+def test_keys_of_one_case(spark):
+    rng = random.Random(9)
+    lower, upper = ("".join(rng.choice(a) for _ in range(40)) for a in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
+    texts = [f"key {lower} end", f"key {upper} end", "internationalisation2internationalisation", "A" * 30 + "123", "1234567890" * 4]
+    rows = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [[(s.start, KINDS[s.kind], s.end) for s in r.method_spans] for r in rows] == [[(4, "entropy_lower", 44)], [(4, "entropy_upper", 44)], [], [], []]
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    for n in (255, 256, 257, 100_000):
+        docs = spark.createDataFrame([("é token=abcdefgh1" * n,)], "text string")
+        spans = docs.select(secrets.matches(F.col("text"), secrets.ASSIGN).alias("m")).select(
+            F.size("m").alias("n"), F.element_at("m", -1).alias("last"), F.get("m", F.lit(n // 2)).alias("middle")).first()
+        assert (spans.n, spans.last.start, spans.middle.start) == (n, 17 * (n - 1) + 2, 17 * (n // 2) + 2)
+
+
 def test_no_rows(nothing):
     assert secrets.find_secrets(nothing).count() == 0
 
