@@ -90,9 +90,10 @@ def turns_of_records(df: DataFrame, record: str, layouts: dict = LAYOUTS) -> Dat
 
 
 def turns_of_table(df: DataFrame) -> DataFrame:
-    """One row per turn (conv_id, ordinal from 0, role, text), from a table whose columns have the fingerprint of turn rows, in any order,
+    """One row per turn (conv_id, ordinal from 0, role, text), from a table with columns of the fingerprint of turn rows, in any order and among others,
     or from turns_of_records with a column conv_id."""
-    found = fingerprint(table_skeleton(df.schema))
+    named = df.select(*[c for c in ("conv_id", "role", "text", "turn") if c in df.columns])
+    found = fingerprint(table_skeleton(named.schema))
     if found == fingerprint(TURN_ROWS):
         order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
         return df.select("conv_id", (F.row_number().over(order) - 1).alias("ordinal"),

@@ -44,3 +44,9 @@ def test_round_trip(spark):
 def test_fingerprint_of_a_table(spark):
     df = spark.createDataFrame([], "b struct<y:array<struct<q:int,p:string>>,x:array<int>>, a string")
     assert chat.table_skeleton(df.schema) == "OBJECT<a, b: OBJECT<x: ARRAY, y: ARRAY<OBJECT<p, q>>>>"
+
+
+def test_other_columns_are_not_looked_at(spark):
+    rows = [(1, 0, "user", "a", [1], "x"), (1, 1, "assistant", "b", None, "y")]
+    turns = chat.turns_of_table(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted array<int>, chat_head string"))
+    assert [tuple(r) for r in turns.orderBy("ordinal").collect()] == [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
