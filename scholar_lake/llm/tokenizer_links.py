@@ -30,7 +30,8 @@ from scholar_lake.llm.common import settle
 
 FOLDER = "/opt/tokenizers"
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-HEAVY = 4096
+#: So many pairs at most are broadcast, 17 bytes each.
+HEAVY = 1 << 18
 LONG = 100_000
 #: Fixed value: how byte-level vocabularies split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
