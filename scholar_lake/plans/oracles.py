@@ -67,6 +67,12 @@ ORACLES = {
                 CASE WHEN event_type = 'error' THEN 'missing associated_institutions[].relationship' END,
                 CASE WHEN event_type = 'click' THEN 'unknown type' END) END AS reject_reason
         FROM events""",
+    "quarantine_fields": """
+        SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'no JSON' ELSE concat_ws(',',
+            CASE WHEN user_id % 6 = 0 THEN 'cited_by_count' END,
+            CASE WHEN event_type = 'error' THEN 'counts_by_year' WHEN user_id % 4 IN (0, 2) THEN 'counts_by_year[].year' END,
+            CASE WHEN event_id % 7 = 0 THEN 'geo' WHEN user_id % 5 = 0 THEN 'geo.latitude' END) END AS wrong_types
+        FROM events""",
     "resume_skip_processed": f"""
         SELECT DISTINCT e.event_type, {DAY} AS day FROM events e
         WHERE NOT EXISTS (SELECT 1 FROM events f WHERE f.value > 240 AND f.event_type = e.event_type
@@ -326,6 +332,9 @@ ORACLES = {
     "works_by_year": f"""
         SELECT 'W' || o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS publication_year, {ORDER_DAY} AS publication_date
         FROM orders WHERE year(o_orderdate) IN (1996, 1997)""",
+    "works_by_year_pruned": f"""
+        SELECT 'W' || o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS publication_year, {ORDER_DAY} AS publication_date
+        FROM orders WHERE year(o_orderdate) IN (1996, 1997)""",
     "works_by_fields": f"""
         SELECT 'W' || o_orderkey AS id, {LANGUAGE} AS language, {ORDER_DAY} AS publication_date, {TYPE} AS type
         FROM orders WHERE o_custkey % 2 = 0 AND o_orderstatus = 'O' AND o_orderpriority <> '5-LOW'

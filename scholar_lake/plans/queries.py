@@ -26,7 +26,7 @@ from scholar_lake.sinks.exports import read_csv, write_csv, write_json
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.merged_ids import list_merge_files, present_ids, read_merged_ids
 from scholar_lake.sources.snapshot import CORRUPT, list_files, pending_counts, read_entity
-from scholar_lake.sources.validation import mark, not_null_split
+from scholar_lake.sources.validation import mark, not_null_split, with_wrong_types
 from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
 
 SINCE = "2024-01-15"
@@ -159,6 +159,20 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return mark(parsed.select("event_id", "r.*"), "institution").select("event_id", "reject_reason")
 
 
+def quarantine_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Institution records with values of wrong types; every record with the paths of these."""
+    key, kind, user = F.col("event_id"), F.col("event_type"), F.col("user_id")
+    year = F.when(user % 4 == 0, "1.5").when(user % 4 == 1, "2001").when(user % 4 == 2, '"2001"').otherwise("null")
+    lines = _dealt(table(spark, sf, "events")).select(key, F.concat(
+        F.lit('{"id": 7, "cited_by_count": '), F.when(user % 6 == 0, '"many"').otherwise(user.cast("string")),
+        F.lit(', "geo": '), F.when(key % 7 == 0, '"here"').otherwise(F.concat(
+            F.lit('{"latitude": '), F.when(user % 5 == 0, '"north"').otherwise("12.5"), F.lit("}"))),
+        F.lit(', "counts_by_year": '), F.when(kind == "error", '{"year": 2001}').otherwise(F.concat(
+            F.lit('[{"year": 2000}, {"year": '), year, F.lit("}]"))),
+        F.when(kind != "purchase", "}").otherwise("")).alias(CORRUPT))
+    return with_wrong_types(lines, "institution").select("event_id", "wrong_types")
+
+
 def resume_skip_processed(spark: SparkSession, sf: str) -> DataFrame:
     """Pending inputs (one per event type and day) without those an earlier run has finished."""
     events = _events_day(table(spark, sf, "events"))
@@ -451,6 +465,13 @@ def works_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.by_year(_works(spark, sf), 1996, 1997).select("id", "publication_year", "publication_date")
 
 
+def works_by_year_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the stored table, whose files are ordered by year, type and id together."""
+    lake, spec = LakeTables(spark, work_dir(spark, "lake"), buckets=4), TABLES["works"]
+    lake.commit(1, {spec.name: lake.write(spec, _works(spark, sf), list(range(4)))})
+    return lookups.by_year(lake.read(spec), 1996, 1997).select("id", "publication_year", "publication_date")
+
+
 def works_by_fields(spark: SparkSession, sf: str) -> DataFrame:
     chosen = lookups.select_works(_works(spark, sf), language=["en", "de"], is_oa=True,
                                   publication_date=("1997-03-01", "1999-12-31"), is_paratext=False)
@@ -615,6 +636,7 @@ QUERIES = {
     "snapshot_resume": snapshot_resume,
     "watermark_advance": watermark_advance,
     "quarantine": quarantine,
+    "quarantine_fields": quarantine_fields,
     "resume_skip_processed": resume_skip_processed,
     "empty_as_null": empty_as_null_query,
     "strip_id": strip_id_query,
@@ -664,6 +686,7 @@ QUERIES = {
     "lookup_doi": lookup_doi,
     "lookup_id": lookup_id,
     "works_by_year": works_by_year,
+    "works_by_year_pruned": works_by_year_pruned,
     "works_by_fields": works_by_fields,
     "works_of_author": works_of_author,
     "works_of_one_author": works_of_one_author,

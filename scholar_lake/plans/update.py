@@ -24,7 +24,7 @@ from scholar_lake.schemas import ENTITIES, SEARCH_TABLE, TABLES, TableSpec, tabl
 from scholar_lake.sinks.tables import LakeTables
 from scholar_lake.sources.merged_ids import list_merge_files, read_merged_ids
 from scholar_lake.sources.snapshot import EPOCH, list_files, read_entity
-from scholar_lake.sources.validation import REASON, SEARCH_REASON, mark, split
+from scholar_lake.sources.validation import REASON, SEARCH_REASON, mark, split, with_wrong_types
 
 
 TABLES_AT_A_TIME = 4
@@ -104,7 +104,7 @@ def run_part(spark: SparkSession, settings: Settings, tables: bool, search: bool
         report.metrics[entity], staged = stage_records(
             read_entity(spark, settings.root, entity, since, provenance=True, files=paths(files)),
             entity, f"{stage}/records", REASON if tables else SEARCH_REASON)
-        set_aside(staged, [REASON] * tables + [SEARCH_REASON] * (f"{entity} search" in targets),
+        set_aside(staged, entity, [REASON] * tables + [SEARCH_REASON] * (f"{entity} search" in targets),
                   f"{settings.out}/quarantine/{number}/{entity}")
         if tables:
             records = newest_records(split(staged)[0], f"{stage}/newest")
@@ -154,12 +154,12 @@ def for_targets(files: DataFrame, targets: list[str]) -> DataFrame:
     return files.select(F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"), "file_path")
 
 
-def set_aside(staged: DataFrame, reasons: list[str], path: str) -> None:
-    """Write the records that any of the targets rejects, with the reasons."""
+def set_aside(staged: DataFrame, entity: str, reasons: list[str], path: str) -> None:
+    """Write the records that any of the targets rejects, with the reasons and the paths of wrong types."""
     rejected = reduce(Column.__or__, [F.col(reason) != "" for reason in reasons], F.lit(False))
     bad = staged.where(rejected)
     if not bad.isEmpty():
-        bad.write.mode("overwrite").parquet(path)
+        with_wrong_types(bad, entity).write.mode("overwrite").parquet(path)
 
 
 def staged_files(files: DataFrame, lake: LakeTables, targets: list[str], path: str, override: bool) -> DataFrame:

@@ -138,7 +138,10 @@ RECORDS: dict[str, dict[str, str]] = {
 }
 
 #: Columns that are looked up by value, beside the owner id: they get bloom filters.
-LOOKUP_COLUMNS = {"works": ("id_doi",), "works_authorships": ("author_id",)}
+LOOKUP_COLUMNS = {"works": ("id", "id_doi"), "works_authorships": ("author_id",)}
+
+#: Columns by which a table's files are ordered together; other tables are ordered by their owner's id.
+CLUSTER_COLUMNS = {"works": ("publication_year", "type", "id")}
 
 #: The fields of a work that its search document needs.
 SEARCH_FIELDS = (

@@ -13,9 +13,10 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from scholar_lake.operators.cluster import with_cluster_key
 from scholar_lake.operators.dedup import latest_wins
 from scholar_lake.operators.merge import exchange_rows
-from scholar_lake.schemas import LOOKUP_COLUMNS, TableSpec
+from scholar_lake.schemas import CLUSTER_COLUMNS, LOOKUP_COLUMNS, TableSpec
 
 DEFAULT_BUCKETS = 64
 COMMIT_DDL = "commit bigint, kind string, name string, bucket int, value string"
@@ -150,9 +151,15 @@ class LakeTables:
         return -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
 
     def _store(self, spec: TableSpec, placed: DataFrame, buckets: list[int]) -> dict[int, bool]:
-        """Rows are sorted by owner so that row-group statistics serve id lookups; bloom filters serve DOIs of works and authors of authorships."""
+        """Rows are sorted by owner, or by several columns at once, so that row-group statistics serve lookups by them; bloom filters serve ids and
+        DOIs of works and authors of authorships."""
         path = f"{self.out}/tables/{spec.name}/run={self.run}"
-        writer = placed.sortWithinPartitions("bucket", spec.owner).write.mode("overwrite").partitionBy("bucket")
+        if spec.name in CLUSTER_COLUMNS:
+            keyed = with_cluster_key(placed, CLUSTER_COLUMNS[spec.name])
+            placed = keyed.sortWithinPartitions("bucket", "_cluster", spec.owner).drop("_cluster")
+        else:
+            placed = placed.sortWithinPartitions("bucket", spec.owner)
+        writer = placed.write.mode("overwrite").partitionBy("bucket")
         for column in LOOKUP_COLUMNS.get(spec.name, ()):
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(path)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from scholar_lake.functions.abstracts import bind
 from scholar_lake.functions.casting import unparsable
 from scholar_lake.functions.ids import strip_id
-from scholar_lake.schemas import ENUMERATIONS, REQUIRED
+from scholar_lake.schemas import ENUMERATIONS, REQUIRED, record_ddl
 from scholar_lake.sources.snapshot import CORRUPT
 
 REASON = "reject_reason"
@@ -66,6 +69,47 @@ def mark(records: DataFrame, entity: str) -> DataFrame:
     return marked.withColumn(SEARCH_REASON, broken(basic_rules(records.columns))) if entity == "work" else marked
 
 
+def type_tests(kind: T.DataType, path: str = "") -> list[tuple[str, Callable[[Column], Column]]]:
+    """For a declared type and all types inside it the path, where ``a[].b`` is b in the elements of the list a, and a test whether a variant has a value there
+    that the parser does not take. Text takes any value, and null is a value of any type."""
+    def other_than(pattern: str) -> Callable[[Column], Column]:
+        return lambda v: F.coalesce(~F.schema_of_variant(v).rlike(f"^(VOID|{pattern})"), F.lit(False))
+
+    def inside(step: str, test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda v: test(F.try_variant_get(v, step, "variant"))
+
+    def in_any(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda v: F.coalesce(F.exists(F.try_variant_get(v, "$", "array<variant>"), test), F.lit(False))
+    if isinstance(kind, T.StructType):
+        fields = [(inner, inside(f"$['{f.name}']", test)) for f in kind.fields
+                  for inner, test in type_tests(f.dataType, f"{path}.{f.name}" if path else f.name)]
+        return [(path, other_than("OBJECT")), *fields]
+    if isinstance(kind, T.ArrayType):
+        return [(path, other_than("ARRAY")), *[(inner, in_any(test)) for inner, test in type_tests(kind.elementType, f"{path}[]")]]
+    if isinstance(kind, T.MapType):
+        return [(path, other_than("OBJECT"))]
+    if isinstance(kind, T.BooleanType):
+        return [(path, other_than("BOOLEAN"))]
+    if isinstance(kind, T.IntegralType):
+        return [(path, other_than("BIGINT"))]
+    if isinstance(kind, T.NumericType):
+        return [(path, other_than("BIGINT|DECIMAL|DOUBLE|FLOAT"))]
+    return []
+
+
+def with_wrong_types(rows: DataFrame, entity: str) -> DataFrame:
+    """Add ``wrong_types``: of a malformed record the paths whose values are not of the declared type, sorted and joined by commas; ``no JSON`` where the text
+    cannot be parsed; null for a record that is not malformed. The text is parsed once, and only in malformed records."""
+    if CORRUPT not in rows.columns:
+        return rows.withColumn("wrong_types", F.lit(None).cast("string"))
+    tests = type_tests(T.StructType.fromDDL(record_ddl(entity)))
+
+    def paths(value: Column) -> Column:
+        found = F.array(*[F.when(test(value), F.lit(path or "record")) for path, test in tests])
+        return F.when(value.isNull(), "no JSON").otherwise(F.array_join(F.array_sort(F.array_compact(found)), ","))
+    return rows.withColumn("wrong_types", F.when(F.col(CORRUPT).isNotNull(), bind(F.try_parse_json(F.col(CORRUPT)), paths)))
+
+
 def split(marked: DataFrame, reason: str = REASON) -> tuple[DataFrame, DataFrame]:
     """``(good, quarantine)`` of marked records, by the rules of one target."""
     return (marked.where(F.col(reason) == "").drop(REASON, SEARCH_REASON, CORRUPT), marked.where(F.col(reason) != ""))

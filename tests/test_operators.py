@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from conftest import SF
 from scholar_lake.functions.text import analyze_query, has_any, tokenize
 from scholar_lake.operators import lookups, search
+from scholar_lake.operators.cluster import interleave, with_cluster_key
 from scholar_lake.operators.dedup import latest_wins, unique_links
 from scholar_lake.operators.merge import delete_by_key, drop_stale, exchange_rows, replace_rows
 from scholar_lake.operators.metrics import unprocessed
 from scholar_lake.operators.skew import heavy_keys, skew_join
+from scholar_lake.sources.snapshot import CORRUPT
+from scholar_lake.sources.validation import with_wrong_types
 
 
 def rows(df):
@@ -307,3 +310,34 @@ def test_closure_follows_cycles_and_chains(spark, tmp_path):
     assert rows(lookups.closure(df, "s", "t", str(tmp_path / "all"))) == sorted(expected)
     assert rows(lookups.closure(df, "s", "t", str(tmp_path / "two"), 2)) == sorted(r for r in expected if r[2] <= 2)
     assert lookups.closure(df.limit(0), "s", "t", str(tmp_path / "none")).count() == 0
+
+
+def test_cluster_key_against_brute_force(spark):
+    """Ranks among quantiles in the columns' order, nulls first; their bits alternate."""
+    rows = spark.createDataFrame([(i, None if i % 10 == 0 else f"k{i % 7}") for i in range(64)], "n int, k string")
+    assert interleave_of(spark, [(0b101, 0b010), (0b111, 0b000)]) == [0b100110, 0b101010]
+    one, other = with_cluster_key(rows, ("n",), "a", 3), with_cluster_key(rows, ("k",), "b", 3)
+    got = one.join(other, ["n"]).drop(other["k"]).join(with_cluster_key(rows, ("n", "k"), "c", 3).drop("k"), ["n"]).collect()
+    by_n = sorted(got, key=lambda r: r["n"])
+    assert [r["a"] for r in by_n] == sorted(r["a"] for r in by_n) and len({r["a"] for r in by_n}) == 8
+    assert {r["b"] for r in got if r["k"] is None} == {0}
+    with_k = sorted((r for r in got if r["k"]), key=lambda r: r["k"])
+    assert [r["b"] for r in with_k] == sorted(r["b"] for r in with_k)
+    for r in got:
+        assert r["c"] == sum((r["a"] >> i & 1) << (2 * i + 1) | (r["b"] >> i & 1) << (2 * i) for i in range(3))
+    nothing = rows.limit(0)
+    assert with_cluster_key(nothing, ("n", "k")).collect() == []
+
+
+def interleave_of(spark, pairs):
+    return [r[0] for r in spark.createDataFrame(pairs, "a int, b int").select(interleave([F.col("a"), F.col("b")], 3)).collect()]
+
+
+def test_wrong_types(spark):
+    """Paths in lists and structs; text takes anything, nulls and absent fields are right; whole numbers in decimals are."""
+    lines = ['{"id": 5, "geo": {"latitude": 3, "city": 4}, "cited_by_count": null}', '{"counts_by_year": [{"year": 1}, {"year": "x"}], "geo": [1]}',
+             "[1]", "{", None, '{"cited_by_count": 1.5, "international": 3}']
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], f"n int, {CORRUPT} string")
+    got = [r["wrong_types"] for r in with_wrong_types(rows, "institution").orderBy("n").collect()]
+    assert got[:5] == ["", "counts_by_year[].year,geo", "record", "no JSON", None] and got[5].startswith("cited_by_count")
+    assert with_wrong_types(rows.select("n"), "institution").where("wrong_types is not null").isEmpty()
