@@ -64,7 +64,7 @@ def chat_format(spark: SparkSession, sf: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    chats = chat.format_chats(chat.turns_of_table(rows))
+    chats = chat.format_chats(chat.through_records(chat.turns_of_table(rows)))
     read = chats.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
                         chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("learnt"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

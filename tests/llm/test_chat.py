@@ -14,7 +14,7 @@ def test_layouts_are_told_apart(spark):
     ]
     texts = [json.dumps(r) for r in records] + [None, "no json", "3"]
     rows = chat.turns_of_records(spark.createDataFrame(list(enumerate(texts)), "conv_id long, record string"), "record").orderBy("conv_id").collect()
-    assert [r.layout for r in rows] == ["prompt", "prompt", "instruction_input", "messages", None, None, "from_value", None, "nested_messages",
+    assert [r.layout for r in rows] == ["prompt", "prompt", "instruction_input", "messages", None, None, "from_value", "prompt", "nested_messages",
                                        None, None, None]
     assert [tuple(t) for t in rows[2].turns] == [("user", "i"), ("user", "n"), ("assistant", "5")]
     assert [tuple(t) for t in rows[6].turns] == [("user", "a"), ("assistant", "b")]
@@ -41,9 +41,45 @@ def test_round_trip(spark):
     assert chat.format_chats(turns.where("false")).count() == 0
 
 
-def test_fingerprint_of_a_table(spark):
-    df = spark.createDataFrame([], "b struct<y:array<struct<q:int,p:string>>,x:array<int>>, a string")
-    assert chat.table_skeleton(df.schema) == "OBJECT<a, b: OBJECT<x: ARRAY, y: ARRAY<OBJECT<p, q>>>>"
+def test_fields_outside_the_layouts_are_not_looked_at(spark):
+    records = [
+        {"id": 7, "conversations": [{"from": "human", "value": "a", "weight": 0}, {"from": "gpt", "value": "b"}], "system_hint": {"prompt": "x"}},
+        {"messages": [{"role": "user", "content": "a", "name": "n", "meta": {"value": 1}}], "data": {"source": "s"}},
+        {"prompt": "p", "completion": "c", "answer": "two layouts at once"}, {"prompt": "p"}, {"messages": [1, "text"]}, {"meta": {"messages": []}},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "conv_id long, record string")
+    mapped = chat.turns_of_records(df, "record")
+    rows = mapped.orderBy("conv_id").collect()
+    assert [r.layout for r in rows] == ["from_value", "messages", None, None, None, None]
+    assert [tuple(t) for t in rows[0].turns] == [("user", "a"), ("assistant", "b")] and [tuple(t) for t in rows[1].turns] == [("user", "a")]
+    left = chat.rejects(mapped)
+    assert left.columns == df.columns and sorted(r.conv_id for r in left.collect()) == [2, 3, 4, 5]
+
+
+def test_turns_through_records_of_all_layouts(spark):
+    texts = ["", r"\### Assistant: </turn> ok", '"quoted" \\ {"role": 1}', "é\n\t\u0001\U0001F600", "5", "null"]
+    roles = [["user", "assistant"], ["user", "user", "assistant"], ["system", "user", "assistant"], ["user"] * 3, ["user", "assistant"] * 9, ["human", "bot"],
+             ["", "we: ird"]]
+    rows = [(c if c else None, t, role, texts[(c * 5 + t) % 6]) for c in range(140) for t, role in enumerate(roles[c % 7])]
+    rows += [(1000, 0, "user", "x" * (chat.LARGEST + 1)), (1000, 1, "assistant", "y")]
+    turns = chat.turns_of_table(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    records = chat.records_of_turns(turns)
+    used = {r.layout for r in chat.turns_of_records(records, "record").where("rest IS NULL").collect()}
+    assert used == set(chat.LAYOUTS)
+    assert records.where("rest IS NOT NULL").select("conv_id").distinct().count() == 21 and records.where("rest IS NULL AND record IS NULL").count() == 0
+    back = chat.through_records(turns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, turns.select(back.columns).collect()))
+    assert chat.through_records(turns.where("false")).count() == 0
+
+
+def test_a_layout_of_ones_own(spark):
+    layouts = {"dialogue": ("$.log.lines", "$.who", "$.said"), "pair": [("user", "$.q"), ("assistant", "$.a")]}
+    turns = spark.createDataFrame([(c, t, "user", f"{c}{t}") for c in range(5) for t in range(c)] + [(9, 0, "user", "q"), (9, 1, "assistant", "a")],
+                                  "conv_id long, ordinal long, role string, text string")
+    records = chat.turns_of_records(chat.records_of_turns(turns, layouts), "record", layouts)
+    assert {r.layout for r in records.collect()} == set(layouts)
+    assert sorted(map(tuple, chat.turns_of_table(records).collect())) == sorted(map(tuple, turns.collect()))
+    assert set(chat.turns_of_records(records.select("conv_id", "record"), "record").select("layout").distinct().toPandas()["layout"]) == {None}
 
 
 def test_other_columns_are_not_looked_at(spark):
