@@ -9,21 +9,21 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def found(name: str, pattern: str, keep: str = "true") -> str:
+def found(name: str, pattern: str, keep: str = "true", text: str = "text") -> str:
     """A CTE of all matches of a pattern: rid, start and hit. Places come from the lengths of matches and of what lies between."""
     return f"""
 {name} AS (SELECT rid, start, hit FROM (
     SELECT rid, i, hit, sum(len(gap) + len(hit)) OVER (PARTITION BY rid ORDER BY i) - len(hit) AS start FROM (
         SELECT rid, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM (
-            SELECT rid, regexp_extract_all(text, {quoted(pattern)}) AS hits, string_split_regex(text, {quoted(pattern)}) AS gaps
-            FROM docs WHERE regexp_matches(text, {quoted(pattern)})))) WHERE {keep})"""
+            SELECT rid, regexp_extract_all({text}, {quoted(pattern)}) AS hits, string_split_regex({text}, {quoted(pattern)}) AS gaps
+            FROM docs WHERE regexp_matches({text}, {quoted(pattern)})))) WHERE {keep})"""
 
 
 def entropy_spans(kind: str) -> str:
     """CTEs of the method's spans of one character class, before those inside base spans go."""
     characters, least, needs = secrets.CLASSES[kind]
-    fit = " AND ".join([f"regexp_matches(hit, {quoted(n)})" for n in needs] + [f"NOT regexp_matches(hit, {quoted(a)})" for a in secrets.ALLOWED])
-    return found(f"{kind}_runs", f"[{characters}]{{{secrets.WINDOW},}}", fit) + f""",
+    fit = " AND ".join(f"regexp_matches(hit, {quoted(n)})" for n in needs)
+    return found(f"{kind}_runs", f"[{characters}]{{{secrets.WINDOW},}}", fit, "blanked") + f""",
 {kind}_spans AS (
     SELECT rid, min(start + s) AS start, {secrets.KINDS.index(kind)} AS kind, max(start + s + {secrets.WINDOW}) AS stop FROM (
         SELECT rid, start, s, list_aggregate(string_split(substr(hit, s + 1, {secrets.WINDOW}), ''), 'entropy') AS bits FROM (
@@ -33,9 +33,12 @@ def entropy_spans(kind: str) -> str:
 
 def secret_scan() -> str:
     kinds = ", ".join(quoted(k) for k in secrets.KINDS)
+    blanked = "coalesce(text, '')"
+    for pattern, length in secrets.ALLOWED:
+        blanked = f"regexp_replace({blanked}, {quoted(pattern)}, {quoted(' ' * length)}, 'g')"
     listed = f"string_agg([{kinds}][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop)"
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {blanked} AS blanked FROM documents),
 {found("assigned", secrets.ASSIGN, f"len(regexp_extract(hit, {quoted(secrets.ASSIGN)}, 2)) >= 8")},
 {found("accesses", secrets.ACCESS)},
 {found("hexes", secrets.HEX)},

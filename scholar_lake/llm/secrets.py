@@ -2,8 +2,9 @@
 
 Only built-in functions, no shuffle. Positions come from the lengths of what lies between the matches. A candidate is a maximal run of one
 class's characters; its window of WINDOW characters slides by one, and the sum of c*log2(c) over the window's counts changes by the count
-of the character that leaves and of the one that comes, so a run costs time in proportion to its length. Runs on the allow-list and
-method spans inside a base span are left out; base spans always stay.
+of the character that leaves and of the one that comes, so a run costs time in proportion to its length. What the allow-list names is blanked
+before runs are cut out, so it suppresses the windows that it touches and no others. Method spans inside a base span are left out; base spans
+always stay.
 
 Defined results: null text is empty; equal rows give equal rows; spans at one start are in the order of KINDS; an empty table gives an
 empty table; input columns that bear the name of a computed one are replaced.
@@ -38,10 +39,13 @@ CLASSES = {
     "entropy_lower": ("a-z0-9", 3.7, (_THREE_DIGITS, "[a-z]")),
     "entropy_upper": ("A-Z0-9", 3.7, (_THREE_DIGITS, "[A-Z]")),
 }
-#: Runs that are long and mixed, yet no secrets.
-ALLOWED = ("(?i)example", "(?i)placeholder", "(?i)0123456789abcdef", "(?i)abcdefghijklmnopqrstuvwxyz",
-           r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", "^[0-9]{4}-[0-9]{2}-[0-9]{2}", "(?i)^sha(256|384|512)-")
+#: Patterns of what is long and mixed, yet no secret, each with the number of characters that it takes; applied in this order.
+ALLOWED = (
+    ("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}", 36), ("[0-9]{4}-[0-9]{2}-[0-9]{2}", 10), (_either_case("sha") + "(256|384|512)-", 7),
+    *[(_either_case(word), len(word)) for word in ("example", "placeholder", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz")],
+)
 KINDS = ("assign", "access", "hex", *CLASSES)
+ANY_CLASS = "A-Za-z0-9+/_=-"  # the characters of all classes
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -112,7 +116,16 @@ def hot_stretch(run: Column, least: float, window: int = WINDOW) -> Column:
     return F.struct(slid["first"].alias("first"), slid["last"].alias("last"))
 
 
-def entropy_spans(text: Column, kind: str, allowed: tuple[str, ...] = ALLOWED, window: int = WINDOW) -> Column:
+def blanked(text: Column, allowed: tuple[tuple[str, int], ...] = ALLOWED) -> Column:
+    """text with spaces in place of what is allowed; empty where no run of any class is long enough."""
+    left = text
+    for pattern, length in allowed:
+        left = F.regexp_replace(left, pattern, " " * length)
+    return F.when(text.rlike(f"[{ANY_CLASS}]{{{WINDOW}}}"), left).otherwise(F.lit(""))
+
+
+def entropy_spans(text: Column, kind: str, window: int = WINDOW) -> Column:
+    """Spans of one class in a text without what is allowed."""
     characters, least, needs = CLASSES[kind]
     runs = matches(text, f"(?<![{characters}])[{characters}]{{{window},}}+")
 
@@ -120,8 +133,6 @@ def entropy_spans(text: Column, kind: str, allowed: tuple[str, ...] = ALLOWED, w
         ok = F.lit(True)
         for need in needs:
             ok = ok & m["hit"].rlike(need)
-        for pattern in allowed:
-            ok = ok & ~m["hit"].rlike(pattern)
         return ok
     hot = F.transform(F.filter(runs, suspicious), lambda m: F.struct(m["start"].alias("start"), hot_stretch(m["hit"], least, window).alias("hot")))
     return F.transform(F.filter(hot, lambda m: m["hot"]["first"].isNotNull()), lambda m: F.struct(
@@ -129,14 +140,15 @@ def entropy_spans(text: Column, kind: str, allowed: tuple[str, ...] = ALLOWED, w
         (m["start"] + m["hot"]["last"]).alias("end"))).cast(SPAN)
 
 
-def find_secrets(docs: DataFrame, text: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", allowed: tuple[tuple[str, int], ...] = ALLOWED) -> DataFrame:
     """docs with ``base_spans`` and ``method_spans``: arrays of (start, kind as a place in KINDS, end), sorted."""
     whole = F.coalesce(F.col(text), F.lit(""))
     assigned = F.filter(matches(whole, ASSIGN, ASSIGN_LONG), lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 2)) >= 8)
     base = F.array_sort(F.concat(_spans(assigned, "assign"), _spans(matches(whole, ACCESS), "access"), _spans(matches(whole, HEX), "hex")))
-    with_base = docs.withColumn("base_spans", base).withColumn("method_all", F.concat(*[entropy_spans(whole, k, allowed) for k in CLASSES]))
+    with_base = docs.withColumns({"base_spans": base, "method_text": blanked(whole, allowed)})
+    with_base = with_base.withColumn("method_all", F.concat(*[entropy_spans(F.col("method_text"), k) for k in CLASSES]))
     alone = F.filter("method_all", lambda s: ~F.exists("base_spans", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
-    return with_base.withColumn("method_spans", F.array_sort(alone)).drop("method_all")
+    return with_base.withColumn("method_spans", F.array_sort(alone)).drop("method_all", "method_text")
 
 
 def listed(spans: Column) -> Column:

@@ -24,12 +24,18 @@ def entropy(window):
     return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
 
 
+ALLOWED = [r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9]{4}-[0-9]{2}-[0-9]{2}", "(?ai:sha)(?:256|384|512)-", "(?ai:example)",
+           "(?ai:placeholder)", "(?ai:0123456789abcdef)", "(?ai:abcdefghijklmnopqrstuvwxyz)"]
+
+
 def method(text):
-    found = []
+    found, whole = [], text or ""
+    for pattern in ALLOWED:
+        whole = re.sub(pattern, lambda m: " " * len(m[0]), whole)
     for kind, (characters, least, needs) in secrets.CLASSES.items():
-        for m in re.finditer(f"[{characters}]{{{secrets.WINDOW},}}", text or ""):
+        for m in re.finditer(f"[{characters}]{{{secrets.WINDOW},}}", whole):
             run = m[0]
-            if not all(re.search(n, run) for n in needs) or any(re.search(a, run) for a in secrets.ALLOWED):
+            if not all(re.search(n, run) for n in needs):
                 continue
             hot = [i for i in range(len(run) - secrets.WINDOW + 1) if entropy(run[i:i + secrets.WINDOW]) >= least - 1e-9]
             if hot:
@@ -45,7 +51,7 @@ def test_matches_brute_force(spark, awkward):
              "123e4567-e89b-12d3-a456-426614174000", "password:" + "a" * 100000]
     for _ in range(60):
         parts = ["".join(rng.choice(alphabet[:rng.choice([16, 22, 33])]) for _ in range(rng.randint(5, 60))) for _ in range(6)]
-        texts.append("é ".join(rng.choice(["", "token=", "Secret : "]) + p for p in parts))
+        texts.append("é ".join(rng.choice(["", "token=", "Secret : ", "eXample", "2024-01-01-", "Sha256-", "/placeholder/"]) + p for p in parts))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string").withColumn("base_spans", F.lit(1))
     rows = secrets.find_secrets(docs).select("text", "base_spans", "method_spans", secrets.listed(F.col("base_spans")).alias("l")).collect()
     assert len(rows) == 2 * len(texts) and any(r.method_spans for r in rows)
@@ -64,6 +70,15 @@ def test_keys_of_one_case(spark):
     assert [[(s.start, KINDS[s.kind], s.end) for s in r.method_spans] for r in rows] == [[(4, "entropy_lower", 44)], [(4, "entropy_upper", 44)], [], [], []]
 
 
+def test_allowed_words_suppress_only_what_they_touch(spark):
+    key = "q7Xn2Lp9Vb4Tz8Rk1Wd6Ys3Hf5Jm0Gcu"
+    texts = [f"2024-01-01-{key}", f"/example/{key}", f"{key}placeholder{key}", f"{key[:16]}EXAMPLE{key[16:]}", "x 123e4567-e89b-12d3-a456-426614174000 y",
+             f"sha512-{key}", f"{key}123e4567-e89b-12d3-a456-426614174000"]
+    rows = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    spans = [[(s.start, s.end) for s in r.method_spans if KINDS[s.kind] == "entropy_base64"] for r in rows]
+    assert spans == [[(10, 43)], [(8, 41)], [(0, 32), (43, 75)], [], [], [(7, 39)], [(0, 32)]]
+
+
 def test_many_matches_take_time_in_proportion(spark):
     for n in (255, 256, 257, 100_000):
         docs = spark.createDataFrame([("é token=abcdefgh1" * n,)], "text string")
