@@ -36,7 +36,8 @@ STRETCH = (PASSAGE - N + 2) // 2
 MATCH, MISMATCH, GAP = 2, 1, 1
 FILTER_BITS = 22
 SLICE_BYTES = 1 << 20
-PAIRS_AT_ONCE = 512
+#: Pairs that are aligned together, and the most words that their windows have when padded (one pair may have more: 2.7 times its item's words).
+PAIRS_AT_ONCE, PADDED_WORDS = 512, 1 << 20
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,6 +156,16 @@ def rows_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, pad: int, ba
     return np.where(inside, words[np.where(inside, at, 0)], np.uint64(pad))
 
 
+def aligned_together(widths: np.ndarray) -> Iterator[slice]:
+    """Runs of pairs, by the widths of their windows, that are few enough to be padded to the widest and aligned at once."""
+    at = 0
+    while at < len(widths):
+        widest = np.maximum.accumulate(widths[at:at + PAIRS_AT_ONCE])
+        fit = int((widest * np.arange(1, len(widest) + 1) <= PADDED_WORDS).sum())
+        yield slice(at, at + max(fit, 1))
+        at += max(fit, 1)
+
+
 def leaks(words: np.ndarray, first: np.ndarray, items: Items, least: float) -> tuple[np.ndarray, ...]:
     """(text, item, score, first word, last word) of the best alignment of each text and item that is to be reported."""
     places, hashes = ngrams(words, first)
@@ -174,8 +185,8 @@ def leaks(words: np.ndarray, first: np.ndarray, items: Items, least: float) -> t
     score, end, begin = np.zeros(len(text)), np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
     reached = np.zeros(len(text), bool)
     order = np.argsort(length, kind="stable")
-    for i in range(0, len(order), PAIRS_AT_ONCE):
-        own = order[i:i + PAIRS_AT_ONCE]
+    for run in aligned_together((stop - start)[order]):
+        own = order[run]
         item_from, item_to = items.first[item[own]], items.first[item[own] + 1]
         a, b = rows_of(items.words, item_from, item_to, 0), rows_of(words, start[own], stop[own], 1)
         best, at = align(a, b)

@@ -107,3 +107,40 @@ def test_partial_copies_of_long_items(spark):
     assert {(r.doc_id, r.item_id) for r in rows} == expected
     at = {r.doc_id: (r.first_word, r.last_word) for r in rows}
     assert at[0][0] <= 80 and at[0][1] >= 269 and at[1] == (0, 99) and at[3][0] <= 40 and at[3][1] == 69
+
+
+def test_against_full_alignment_of_all_pairs(spark):
+    """Every document with every item, without seeds and windows: nothing more may be reported, and at most one in fifty is missed."""
+    rng = random.Random(21)
+    common, words = vocabulary(rng, 10), vocabulary(rng, 400)
+    say = lambda n: [rng.choice(common if rng.random() < 0.5 else words) for _ in range(n)]
+    items = [say(rng.randint(3, 45)) for _ in range(25)]
+    docs = []
+    for d in range(150):
+        copy = []
+        for word in items[d % 25]:  # a copy with up to a third of its words changed, left out or followed by others
+            kind = rng.random() / (d // 25 * 0.07 or 0.001)
+            copy += [rng.choice(words)] if kind < 0.4 else [] if kind < 0.7 else [word, rng.choice(common)] if kind < 1 else [word]
+        docs.append(say(rng.randint(0, 60)) + copy + say(rng.randint(0, 60)))
+    expected = {(d, i) for d, text in enumerate(docs) for i, item in enumerate(items)
+                if smith_waterman(item, text) >= decontam.least_score(np.array([len(item)]), 0.5)[0]}
+    found = reported(spark, [" ".join(d) for d in docs], [" ".join(i) for i in items])
+    print(f"{len(found)} of {len(expected)} pairs")
+    assert found <= expected and len(expected) > 100 and len(found) >= 0.98 * len(expected)
+
+
+def test_long_items_are_aligned_in_bounded_memory(monkeypatch):
+    widths = np.array([5, 5, 6, 1000, 1 << 20, 1 << 22, 3])
+    for pairs in (1, 2, 512):
+        monkeypatch.setattr(decontam, "PAIRS_AT_ONCE", pairs)
+        runs = list(decontam.aligned_together(widths))
+        assert [i for r in runs for i in range(r.start, r.stop)] == list(range(7))
+        assert all(r.stop - r.start <= pairs and (r.stop - r.start == 1 or (r.stop - r.start) * widths[r].max() <= decontam.PADDED_WORDS) for r in runs)
+    rng = np.random.default_rng(2)
+    words = rng.integers(10, 1000, 3000).astype(np.uint64)
+    items = decontam.Items(np.arange(2), words, np.array([0, 1500, 3000]), *decontam.Items.index(*decontam.ngrams(words, np.array([0, 1500, 3000])),
+                                                                                           np.array([0, 1500, 3000])))
+    whole = decontam.leaks(words, np.array([0, 1500, 3000]), items, 0.5)
+    monkeypatch.setattr(decontam, "PADDED_WORDS", 1)
+    alone = decontam.leaks(words, np.array([0, 1500, 3000]), items, 0.5)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, alone)) and list(whole[0]) == [0, 1]
