@@ -82,7 +82,7 @@ def stream_update(spark: SparkSession, settings: Settings, entity: str, files_pe
             return
         number, stage = lake.next_commit(), f"{settings.out}/staging/{lake.run}/{entity}"
         _, staged = stage_records(batch, entity, f"{stage}/records")
-        set_aside(staged, [REASON] + [SEARCH_REASON] * (entity == "work"), f"{settings.out}/quarantine/{number}/{entity}")
+        set_aside(staged, entity, [REASON] + [SEARCH_REASON] * (entity == "work"), f"{settings.out}/quarantine/{number}/{entity}")
         records = not_stale(newest_records(split(staged)[0], f"{stage}/newest"), specs[0])
         written = exchange(lake, tables_of(entity), flatten(records, entity), record_ids(records))
         if entity == "work":
