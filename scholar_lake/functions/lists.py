@@ -31,11 +31,11 @@ def list_literal(items: Column) -> Column:
 
 
 def array_literal(items: Column) -> Column:
-    """The text of a list as databases write it: items that are empty, the word NULL, or hold a brace, comma, quote, backslash or white space are
-    quoted, quotes and backslashes escaped; a null item is NULL."""
+    """The text of a list as databases read it: items that are empty, the word NULL, hold a brace, comma, quote or backslash, or begin or end with
+    white space are quoted, quotes and backslashes escaped; a null item is NULL."""
     def written(item: Column) -> Column:
         quoted = F.concat(F.lit('"'), F.regexp_replace(item, r'(["\\])', r"\\$1"), F.lit('"'))
-        return F.when(item.isNull(), "NULL").when(item.rlike(r'^$|^[Nn][Uu][Ll][Ll]$|[{}",\\\s]'), quoted).otherwise(item)
+        return F.when(item.isNull(), "NULL").when(item.rlike(r'^$|^[Nn][Uu][Ll][Ll]$|[{}",\\]|^\s|\s\z'), quoted).otherwise(item)
     return F.when(items.isNotNull(), F.concat(F.lit("{"), F.array_join(F.transform(items, written), ","), F.lit("}")))
 
 

@@ -177,6 +177,12 @@ def test_array_literals(spark):
     assert [r.x for r in back] == lists
 
 
+def test_array_literals_quote_only_where_needed(spark):
+    df = spark.createDataFrame([(["i j", " h", "h ", "a\tb\nc", "a\n"],)], "x array<string>")
+    assert df.select(array_literal(F.col("x"))).first()[0] == '{i j," h","h ",a\tb\nc,"a\n"}'
+    assert df.select(parse_literal(array_literal(F.col("x")))).first()[0] == ["i j", " h", "h ", "a\tb\nc", "a\n"]
+
+
 @pytest.mark.parametrize("text, items", [
     ("{a,b}", ["a", "b"]), ("{}", []), (" { a , b } ", ["a", "b"]), ('{"a,b",NULL,"NULL",c d}', ["a,b", None, "NULL", "c d"]), ("{a", None), ("a,b", None),
     ("{a,}", None), ("{,}", None), ('{"a}', None), ('{"a""b"}', None), (None, None), ("{{a,b},{c}}", ["{a,b}", "{c}"]), ('{{"x,}",y},{}}', ['{"x,}",y}', "{}"])])
