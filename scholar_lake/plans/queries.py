@@ -5,6 +5,8 @@ Results are plain columns: lists joined to text, time stamps as text, 32-bit num
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scholar_lake.config import work_dir
@@ -30,6 +32,8 @@ from scholar_lake.sources.validation import mark, not_null_split, with_wrong_typ
 from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
 
 SINCE = "2024-01-15"
+#: Rows of a table of numbers that one task makes nested records from.
+ROWS_PER_TASK = 1 << 18
 
 
 def plain(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
@@ -51,12 +55,19 @@ def plain(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _records(nest, spark: SparkSession, sf: str, source: str) -> DataFrame:
-    return nest(_dealt(table(spark, sf, source)))
+    return nest(_dealt(table(spark, sf, source), 0 if source == "documents" else ROWS_PER_TASK))
+
 
+def _dealt(rows: DataFrame, per_task: int = 0) -> DataFrame:
+    """Rows by their first column: the tables come as one unsplittable file, which building nested records would keep on one core.
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows by their first column: the tables come as one unsplittable file, which building nested records would keep on one core."""
-    return rows.repartition(rows.columns[0])
+    Tasks are as large as Spark makes them by the bytes that they read, or, with ``per_task``, have about so many rows. That is for tables of numbers: a dozen
+    bytes of them become kilobytes of nested records and of aggregation, so that bytes read say nothing about memory.
+    """
+    if not per_task:
+        return rows.repartition(rows.columns[0])
+    # counted from the footers of the files
+    return rows.repartition(max(ceil(rows.count() / per_task), rows.sparkSession.sparkContext.defaultParallelism), rows.columns[0])
 
 
 def _events_day(events: DataFrame) -> DataFrame:

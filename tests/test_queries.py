@@ -6,12 +6,13 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from check import TABLES, digest
 from conftest import SF
 from scholar_lake.plans.oracles import ORACLES
-from scholar_lake.plans.queries import QUERIES
+from scholar_lake.plans.queries import QUERIES, _dealt
 
 
 @pytest.fixture(scope="module")
@@ -40,5 +41,13 @@ def test_query_matches_sql(spark, db, name):
     assert digest(QUERIES[name](spark, SF).toPandas()) == digest(db.execute(ORACLES[name]).df())
 
 
+def test_tasks_over_tables_of_numbers_are_sized_by_rows(spark):
+    """A few bytes of such rows become much nested data, so the bytes that a task reads say nothing about its memory."""
+    rows = spark.range(0, 100_000, 1, 1).withColumnRenamed("id", "l_orderkey")
+    counted = _dealt(rows, 1000).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    assert counted.agg(F.max("n")).first()[0] < 2000 and counted.agg(F.sum("n")).first()[0] == 100_000
+    assert _dealt(rows.limit(0), 1000).count() == 0
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
