@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from scholar_lake.functions.abstracts import build_index
+from scholar_lake.functions.abstracts import bind, build_index
 
 #: 21 characters, as every id prefix of the format.
 PREFIX = "https://scholar.test/"
@@ -109,21 +109,28 @@ def line_works(lineitem: DataFrame) -> DataFrame:
                         F.lit(None).cast("string").alias("license"), where.alias("source"), pdf.alias("pdf_url"),
                         version.alias("version"))
 
-    pdf = F.when(F.col("l_returnflag") == "A", _text("https://pdf.test/", part))
-    status = F.col("l_linestatus")
-    return lineitem.select(
-        url("W", F.col("l_orderkey")).alias("id"),
-        F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
+    def institution(k: Column) -> Column:
+        return F.struct(url("I", k).alias("id"), _text("Institution ", k).alias("display_name"),
+                        F.lit(None).cast("string").alias("ror"), F.lit(None).cast("string").alias("country_code"),
+                        F.lit("education").alias("type"))
+
+    def authorship(i: Column, line: Column) -> Column:
+        return F.struct(
             F.struct(F.when((supp + i) % 11 > 0, url("A", (supp * i) % 1000)).alias("id"),
-                     _text("Author ", supp, " ", i).alias("display_name"),
+                     F.concat(line["author"], i.cast("string")).alias("display_name"),
                      F.lit(None).cast("string").alias("orcid")).alias("author"),
             F.when(i == 1, F.lit("first")).when(i == n, F.lit("last")).otherwise("middle").alias("author_position"),
-            F.transform(F.array(supp % 25, i.cast("long"), supp % 25), lambda k: F.struct(
-                url("I", k).alias("id"), _text("Institution ", k).alias("display_name"),
-                F.lit(None).cast("string").alias("ror"), F.lit(None).cast("string").alias("country_code"),
-                F.lit("education").alias("type"))).alias("institutions"),
+            F.array(line["home"], institution(i.cast("long")), line["home"]).alias("institutions"),
             (i == 1).alias("is_corresponding"), F.lit("").alias("raw_affiliation_string"),
-            _text("A. ", supp).alias("raw_author_name"))).alias("authorships"),
+            line["raw"].alias("raw_author_name"))
+
+    # what all authors of a line share is made once
+    shared = F.struct(institution(supp % 25).alias("home"), _text("Author ", supp, " ").alias("author"), _text("A. ", supp).alias("raw"))
+    pdf = F.when(F.col("l_returnflag") == "A", _text("https://pdf.test/", part))
+    status = F.col("l_linestatus")
+    return lineitem.select(
+        url("W", F.col("l_orderkey")).alias("id"),
+        bind(shared, lambda line: F.transform(F.sequence(F.lit(1), n), lambda i: authorship(i, line))).alias("authorships"),
         location(F.when(n != 2, source(part)), pdf, status).alias("primary_location"),
         F.array(location(source(part), pdf, status),
                 location(source(part), pdf, F.when(n == 3, status)),
