@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -11,25 +12,31 @@ from scholar_lake.schemas import TableSpec
 from scholar_lake.sources.merged_ids import present_ids
 
 
-def delete_by_key(target: DataFrame, ids: DataFrame, key: str, hot_owners: bool = False) -> DataFrame:
+def delete_by_key(target: DataFrame, ids: DataFrame, key: str, hot_owners: bool = False, parts: int = 0) -> DataFrame:
     """Target rows whose key is not in ``ids``; null keys and null ids never match.
 
     The ids are made distinct first. Whether they are broadcast is left to Spark's measured size limit. With
     ``hot_owners`` (child tables, in which one owner may have very many rows) heavy keys of the target are salted: Spark's
-    own splitting of skewed joins does not apply where one side comes straight from an aggregate, as the distinct ids do.
+    own splitting of skewed joins does not apply where one side comes straight from an aggregate, as the distinct ids do. With ``parts``
+    the join has so many tasks: Spark sizes them by bytes, of which rows of a few numbers have so few that a task would hold millions of them.
     """
     doomed = present_ids(ids).withColumnRenamed("id", key)
     if hot_owners:
-        return skew_join(target, doomed, key, "left_anti")
+        return skew_join(target, doomed, key, "left_anti", parts=parts)
+    if parts:
+        target, doomed = target.repartition(parts, key), doomed.repartition(parts, key)
     return target.join(doomed, key, "left_anti")
 
 
-def cascade_delete(tables: dict[str, DataFrame], specs: list[TableSpec], ids: DataFrame) -> dict[str, DataFrame]:
+def cascade_delete(tables: dict[str, DataFrame], specs: list[TableSpec], ids: DataFrame,
+                   rows_per_task: int = 0) -> dict[str, DataFrame]:
     """Delete the ids from an entity's table and, by owner column, from its link tables.
 
-    References from the other side (for instance ``work_b_id``) stay.
+    References from the other side (for instance ``work_b_id``) stay. With ``rows_per_task`` the tables are counted and dealt accordingly, for stored
+    tables of few bytes a row.
     """
-    return {spec.name: delete_by_key(tables[spec.name], ids, spec.owner, spec.is_link) for spec in specs}
+    parts = {s.name: ceil(tables[s.name].count() / rows_per_task) if rows_per_task else 0 for s in specs}
+    return {s.name: delete_by_key(tables[s.name], ids, s.owner, s.is_link, parts[s.name]) for s in specs}
 
 
 def replace_rows(target: DataFrame, new: DataFrame, key: str, changed: DataFrame | None = None,

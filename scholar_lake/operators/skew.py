@@ -36,12 +36,12 @@ def heavy_keys(rows: DataFrame, key: str, tasks: int | None = None) -> DataFrame
 
 
 def skew_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner", heavy: DataFrame | None = None,
-              tasks: int | None = None) -> DataFrame:
+              tasks: int | None = None, parts: int = 0) -> DataFrame:
     """Join ``rows`` to ``other`` (one row per key) on ``key``; each heavy key of ``rows`` is spread over as many tasks as its share asks for.
 
     Only the matching rows of ``other`` are repeated, once per salt, in all at most tasks + tasks / HEAVY_TIMES; all other keys
     join as usual. The table of heavy keys is broadcast: it has at most MOST_COUNTERS / 16 rows. The salt is a hash of the row's content, so a task that is
-    run again sends every row where it went before. ``how``: inner, left, left_semi or left_anti.
+    run again sends every row where it went before. With ``parts`` the join has that many tasks, whatever their bytes. ``how``: inner, left, left_semi or left_anti.
     """
     heavy = F.broadcast(heavy_keys(rows, key, tasks) if heavy is None else heavy)
     content = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != key])
@@ -50,4 +50,6 @@ def skew_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner", h
     spread = (other.join(heavy, F.col(key) == F.col("heavy_key"), "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1).cast("long")) - 1)))
               .drop("heavy_key", "salts"))
+    if parts:
+        salted, spread = (df.repartition(parts, key, "_salt") for df in (salted, spread))
     return salted.join(spread, [key, "_salt"], how).drop("_salt")

@@ -32,7 +32,7 @@ from scholar_lake.sources.validation import mark, not_null_split, with_wrong_typ
 from scholar_lake.streaming.ingest import stream_replace as run_stream_replace
 
 SINCE = "2024-01-15"
-#: Rows of a table of numbers that one task makes nested records from.
+#: Rows of a table of numbers that one task makes nested records from, or compares with deleted ids.
 ROWS_PER_TASK = 1 << 18
 
 
@@ -356,7 +356,7 @@ def cascade_delete_query(spark: SparkSession, sf: str) -> DataFrame:
               "works_references": lines.select(F.col("l_orderkey").alias("work_a_id"), F.col("l_partkey").alias("work_b_id"))}
     ids = table(spark, sf, "events").where(F.col("event_type") == "error").select(F.col("event_id").alias("id"))
     specs = [TABLES[name] for name in tables]
-    left = cascade_delete(tables, specs, ids)
+    left = cascade_delete(tables, specs, ids, ROWS_PER_TASK)
     counts = [left[s.name].groupBy(F.col(s.owner).alias("id")).agg(F.count("*").alias("n"))
               .select(F.lit(s.name).alias("table_name"), "id", "n") for s in specs]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])

@@ -9,9 +9,10 @@ from scholar_lake.functions.text import analyze_query, has_any, tokenize
 from scholar_lake.operators import lookups, search
 from scholar_lake.operators.cluster import interleave, with_cluster_key
 from scholar_lake.operators.dedup import latest_wins, unique_links
-from scholar_lake.operators.merge import delete_by_key, drop_stale, exchange_rows, replace_rows
+from scholar_lake.operators.merge import cascade_delete, delete_by_key, drop_stale, exchange_rows, replace_rows
 from scholar_lake.operators.metrics import unprocessed
 from scholar_lake.operators.skew import heavy_keys, skew_join
+from scholar_lake.schemas import TABLES
 from scholar_lake.sources.snapshot import CORRUPT
 from scholar_lake.sources.validation import with_wrong_types
 
@@ -75,6 +76,17 @@ def test_unique_links(spark):
     assert unique_links(links, ()).count() == 3
 
 
+def test_cascade_delete_deals_by_rows(spark):
+    """Rows of a few bytes: by bytes, Spark would give a task all of them."""
+    spec = TABLES["works_references"]
+    rows = spark.range(0, 40_000).select((F.col("id") % 20_000).cast("string").alias("work_a_id"), F.col("id").cast("string").alias("work_b_id"))
+    ids = spark.range(0, 20_000, 2).select(F.col("id").cast("string").alias("id"))
+    left = cascade_delete({spec.name: rows}, [spec], ids, 1000)[spec.name]
+    most, n = left.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    assert n == 20_000 and most < 2000
+    assert n == cascade_delete({spec.name: rows}, [spec], ids)[spec.name].count()
+
+
 def test_delete_ignores_nulls(spark):
     target = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
     ids = spark.createDataFrame([("a",), (None,), ("a",)], "id string")
