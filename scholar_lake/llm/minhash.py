@@ -11,8 +11,8 @@ Buckets are dealt by ranges of (band, key, node), so that a large one is spread
 1. In each task a bucket's nodes are compared with its centre, the node nearest to the majority of the sketches, and what is not similar to that with the next centre, up to
    CENTRES times. Confirmed links give the first components; a group of copies of one text is one star.
 2. Buckets with more than one component are open. The nodes outside their largest component are compared with all other nodes of the bucket, which are dealt over as
-   many tasks as the bucket has blocks of BLOCK nodes. For each node, the few nearest nodes of other components are confirmed; this is repeated until nothing
-   is linked and nothing was held back, so no candidate is left out.
+   many tasks as the bucket has blocks of BLOCK nodes. For each node, the few nearest nodes of other components are confirmed. Nodes of which candidates were held
+   back are compared again, in these buckets only, until none is held back, so no candidate is left out.
 
 Defined results: a text of fewer words than a shingle is one shingle; null and blank texts have an empty set and are linked with nothing, not even each other; rows with
 equal texts are one node; null ids are documents too, and a component's id is its smallest id that is not null; an empty table gives an empty table; only doc_id and text are looked
@@ -41,6 +41,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS, PARITY_BITS = 512, 1024
 SIGMAS = 6
 CENTRES, BLOCK, NEAREST = 4, 4096, 4
+#: Pairs whose ends are broadcast: 8 MB of numbers at most.
+FEW = 1 << 19
 _factors = arrays.mixed(np.arange(1, SAMPLES + 1)) | np.uint64(1)
 _shifts = arrays.mixed(np.arange(SAMPLES + 1, 2 * SAMPLES + 1))
 DESCRIBED = "doc_id bigint, doc_key bigint, node bigint, n_shingles bigint, bands array<bigint>, sketch binary"
@@ -224,37 +226,39 @@ def open_buckets(labelled: DataFrame) -> DataFrame:
 
 
 def across(members: DataFrame, nearest: int) -> DataFrame:
-    """Candidate links between components of open buckets, up to ``nearest`` for each node outside the largest component; a row with a = b where more were held back.
+    """Candidate links (a, b) between components of open buckets, up to ``nearest`` for each node that is ``asked``; a row with a = b, band and key where more were
+    held back.
 
-    A block has its own part of the bucket's nodes, and all nodes outside the largest component.
+    A block has its own part of the bucket's nodes, and all nodes that are asked. Of two that are, the greater one is.
     """
     all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.select("*", own.alias("own_block"), F.explode(F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(all_blocks)).alias("block"))
+    dealt = members.select("*", own.alias("own_block"), F.explode(F.when(F.col("asked"), all_blocks).otherwise(F.array(own))).alias("block"))
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in bucket_parts(batches, ("band", "key", "block"), 0):
-            c = {n: part.column(n).to_numpy() for n in ("node", "n_shingles", "label", "main", "own_block", "block")}
+            c = {n: part.column(n).to_numpy(zero_copy_only=False) for n in ("node", "n_shingles", "label", "asked", "own_block", "block")}
             sketches, whole = bitmaps(part.column("sketch"))
             mine = np.flatnonzero(c["own_block"] == c["block"])
-            outside = np.flatnonzero(c["label"] != c["main"])
-            found_a, found_b = [], []
-            for i in outside.tolist():
+            found_a, found_b, held = [], [], []
+            for i in np.flatnonzero(c["asked"]).tolist():
                 others = mine[c["label"][mine] != c["label"][i]]
-                others = others[(c["label"][others] == c["main"][others]) | (c["node"][others] < c["node"][i])]
+                others = others[~c["asked"][others] | (c["node"][others] < c["node"][i])]
                 near, bits = similar(sketches[i], whole[i], c["n_shingles"][i], sketches[others], whole[others], c["n_shingles"][others])
                 if len(near) > nearest:
                     near = near[np.argsort(bits[near], kind="stable")[:nearest]]
-                    found_a.append(c["node"][[i]])
-                    found_b.append(c["node"][[i]])
+                    held.append(i)
                 partner = c["node"][others[near]]
                 found_a.append(np.maximum(partner, c["node"][i]))
                 found_b.append(np.minimum(partner, c["node"][i]))
             if found_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
-    wanted = dealt.select("band", "key", "block", "own_block", "node", "n_shingles", "label", "main", "sketch")
+                a, b = (np.concatenate((*found, c["node"][held])) for found in (found_a, found_b))
+                known = np.arange(len(a)) < len(a) - len(held)  # a link may be found in many buckets and needs none
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), part.column("band")[0].as_py(), np.int32), mask=known),
+                                                  pa.array(np.full(len(a), part.column("key")[0].as_py(), np.int64), mask=known)], names=["a", "b", "band", "key"])
+    wanted = dealt.select("band", "key", "block", "own_block", "node", "n_shingles", "label", "asked", "sketch")
     keys = ("band", "key", "block")
-    return wanted.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(each, "a bigint, b bigint").distinct()
+    return wanted.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(each, "a bigint, b bigint, band int, key bigint").distinct()
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -270,8 +274,11 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that reach the limit on their full sets."""
+    """The pairs that reach the limit on their full sets. The pairs are counted first and should be written already."""
     low, high = LIMIT.numerator, LIMIT.denominator
+    if pairs.count() <= FEW:  # far fewer than there are sets: the others need not travel
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+        sets = sets.join(F.broadcast(ends), F.col("member") == F.col("end"), "left_semi")
     a, b = sets.toDF("a", "x"), sets.toDF("b", "y")
     shared = F.size(F.array_intersect("x", "y"))
     both = pairs.join(a, "a").join(b, "b").withColumn("shared", shared)
@@ -285,14 +292,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("least"), F.min("doc_key").alias("doc_key"), *[F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
     members = settle(busy_rows(nodes).join(nodes.select("node", "n_shingles", "sketch"), "node"))
     sets = settle(full_sets(docs, nodes.join(members.select("node").distinct(), "node", "left_semi")))
-    roots = settle(components(confirmed(stars(members), sets)))
-    nearest = NEAREST
+    roots = settle(components(confirmed(settle(stars(members)), sets)))
+    places, sketched = members.select("band", "key", "node"), nodes.select("node", "n_shingles", "sketch")
+    nearest, held = NEAREST, None
     while True:
         labels = roots.select(F.col("node").alias("leaf"), "root")
-        labelled = members.join(labels, F.col("node") == F.col("leaf"), "left").withColumn("label", F.coalesce("root", "node")).drop("leaf", "root")
-        candidates = settle(across(labelled.join(open_buckets(labelled), ["band", "key"]), nearest))
-        new = settle(confirmed(candidates.where("a <> b"), sets))
-        held_back = not candidates.where("a = b").isEmpty()
+        if held is not None:  # in all other buckets, every candidate has been looked at
+            places = members.select("band", "key", "node").join(held.select("band", "key").distinct(), ["band", "key"], "left_semi")
+        labelled = places.join(labels, F.col("node") == F.col("leaf"), "left").withColumn("label", F.coalesce("root", "node")).drop("leaf", "root")
+        opened = labelled.join(open_buckets(labelled), ["band", "key"])
+        if held is None:
+            asked = opened.withColumn("asked", F.col("label") != F.col("main"))
+        else:
+            asked = opened.join(held.withColumn("again", F.lit(True)), ["band", "key", "node"], "left").withColumn("asked", F.col("again").isNotNull()).drop("again")
+        candidates = settle(across(asked.join(sketched, "node"), nearest))
+        new = settle(confirmed(candidates.where("a <> b").select("a", "b"), sets))
+        held = candidates.where("a = b").select("band", "key", F.col("a").alias("node")).distinct()
+        held_back = not held.isEmpty()
         if not new.isEmpty():
             roots = settle(components(new.union(roots.select("node", "root"))))
         elif held_back:

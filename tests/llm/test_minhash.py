@@ -62,6 +62,19 @@ def test_large_buckets_in_many_blocks(spark, families, monkeypatch):
     assert found(spark, families) == expected(families)
 
 
+def test_only_nodes_with_candidates_held_back_are_compared_again(spark, families, monkeypatch):
+    monkeypatch.setattr(minhash, "NEAREST", 1)
+    monkeypatch.setattr(minhash, "CENTRES", 1)
+    asked, across = [], minhash.across
+
+    def counted(members, nearest):
+        asked.append(members.where("asked").count())
+        return across(members, nearest)
+    monkeypatch.setattr(minhash, "across", counted)
+    assert found(spark, families) == expected(families)
+    assert len(asked) > 1 and asked[0] > asked[-1] > 0
+
+
 def test_exact_limit_and_short_texts(spark):
     letters = [f"t{i}" for i in range(40)]
     rows = [(1, "one"), (2, "ONE"), (3, "one two"), (4, "one  two"), (5, "a b c"), (6, "a b c d"), (7, None), (8, ""), (9, " \n"), (None, "one"), (None, None),
